@@ -161,6 +161,26 @@ def json_source(spark, sf_dir):
     return files.read_population_json(spark, path).select("code", "name", "population")
 
 
+def run_metrics(spark, sf_dir):
+    """One full refresh of the test feeds; row counts of every published table."""
+    from tallyhouse.plans import refresh as R
+    root = fresh_scratch_path(spark, "warehouse")
+    R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root, FIXED_RUN_TS)
+    return R.table_counts(spark, root)
+
+
+def full_refresh(spark, sf_dir):
+    """Two refresh runs of the same feeds into one warehouse: the audit log of the
+    published runs reads first_load, then unchanged, for every source."""
+    from tallyhouse.plans import refresh as R
+    from tallyhouse.sources.warehouse import Warehouse
+    root = fresh_scratch_path(spark, "warehouse")
+    for i in range(2):
+        R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root,
+                      FIXED_RUN_TS + dt.timedelta(days=i), hash_method="md5")
+    return Warehouse(spark, root).audit_history().drop("observed_at")
+
+
 def queries() -> dict[str, Query]:
     return {
         "raw_employment": _layer("raw_employment", SIX),
@@ -185,4 +205,6 @@ def queries() -> dict[str, Query]:
         "ntile_distributed": ntile_distributed,
         "csv_source": csv_source,
         "json_source": json_source,
+        "run_metrics": run_metrics,
+        "full_refresh": full_refresh,
     }
