@@ -31,11 +31,18 @@ def ntile(df: DataFrame, n: int, order: Sequence, out: str = "ntile",
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [_sort_col(c) for c in order]
     # An explicit partition count: AQE keeps it (no coalescing), so spark_partition_id()
-    # is the index of the key range. Both uses below share this one exchange.
+    # is the index of the key range. Both uses below share this one exchange (the plan
+    # shows a ReusedExchange), so they see the same range bounds.
     ranged = (df.repartitionByRange(partitions, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_part", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Range bounds come from sampling; without exchange reuse the two branches
+        # below could sample differently. Materialise the numbered rows once instead.
+        from tallyhouse.session import shared_dir
+        shared_dir(spark)
+        ranged = ranged.checkpoint()
     numbered = ranged.withColumn(
         "_local", F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33))
 
@@ -48,12 +55,13 @@ def ntile(df: DataFrame, n: int, order: Sequence, out: str = "ntile",
         F.sum("_cnt").over(everything).alias("_total"))
 
     ranked = numbered.join(F.broadcast(offsets), on="_part", how="inner")
-    r = F.col("_offset") + F.col("_local")          # 0-based global rank
-    total = F.col("_total")
-    big = F.floor(total / n).cast("long")
-    rem = (total % n).cast("long")
-    head = rem * (big + 1)                           # rows in the larger buckets
-    bucket = F.when(r < head, F.floor(r / (big + 1)) + 1).otherwise(
-        rem + F.floor((r - head) / F.greatest(big, F.lit(1))) + 1)
+    # Exact integer arithmetic on the 0-based global rank r.
+    bucket = F.expr(f"""
+        CASE WHEN (_offset + _local) < (_total % {n}) * (_total div {n} + 1)
+             THEN (_offset + _local) div (_total div {n} + 1) + 1
+             ELSE _total % {n}
+                  + ((_offset + _local) - (_total % {n}) * (_total div {n} + 1))
+                    div greatest(_total div {n}, 1) + 1
+        END""")
     return ranked.withColumn(out, bucket.cast("int")).drop(
         "_part", "_mid", "_local", "_offset", "_total")

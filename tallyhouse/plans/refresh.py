@@ -9,6 +9,7 @@ observed while the tables are written, so no table is scanned a second time for
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -43,6 +44,7 @@ class RunResult:
     run_id: str
     metrics: dict[str, int] = field(default_factory=dict)
     snapshots: dict[str, tuple[int, int]] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 def feeds_from_files(spark: SparkSession, employment_csv, unemployment_csv, population_json,
@@ -72,6 +74,7 @@ def run_refresh(spark: SparkSession, feeds: Feeds, warehouse_root: str,
     at = F.lit(run_ts).cast("timestamp_ntz")
 
     def write(df: DataFrame, layer: str, table: str, fingerprint_cols=None) -> DataFrame:
+        started = time.perf_counter()
         obs = Observation(table)
         metrics = [_count()]
         if fingerprint_cols is not None:
@@ -81,7 +84,8 @@ def run_refresh(spark: SparkSession, feeds: Feeds, warehouse_root: str,
         result.metrics[table] = int(got["rows"])
         if fingerprint_cols is not None:
             result.snapshots[table] = (int(got["rows"]), int(got["fp"]))
-        return wh.read(layer, table, run_id)
+        result.seconds[table] = round(time.perf_counter() - started, 3)
+        return wh.read(layer, table, run_id, schema=df.schema)
 
     six = schemas.RATE_FILE_COLUMNS
     # Ingestion: land both rate feeds as text, plus the validated population objects.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import schemas
+from tallyhouse.sources.spread import spread_if_undersplit
 
 
 def read_rate_csv(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
@@ -35,7 +36,8 @@ def read_rate_csv(spark: SparkSession, path, multi_line: bool = True) -> DataFra
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )
-    return df.select(*schemas.RATE_FILE_COLUMNS, pos.alias("_pos"))
+    # Positions are taken at the scan; spreading afterwards does not change them.
+    return spread_if_undersplit(df.select(*schemas.RATE_FILE_COLUMNS, pos.alias("_pos")), ["_pos"])
 
 
 def write_rate_csv(df: DataFrame, path: str) -> None:
@@ -62,7 +64,8 @@ def read_population_json(spark: SparkSession, path) -> DataFrame:
     checked = F.when(items.isNull(),
                      F.raise_error(F.concat(F.lit("population payload is not a list: "),
                                             F.col("file")))).otherwise(items)
-    exploded = docs.select("file", F.posexplode(checked).alias("idx", "item"))
+    exploded = spread_if_undersplit(
+        docs.select("file", F.posexplode(checked).alias("idx", "item")), ["file", "idx"])
     return exploded.select(
         F.try_variant_get("item", "$.alpha3Code", "string").alias("code"),
         F.try_variant_get("item", "$.name", "string").alias("name"),

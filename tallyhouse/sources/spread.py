@@ -1,0 +1,27 @@
+"""Spread an under-split input over the cluster before per-row work.
+
+A file that cannot be split (one Parquet row group, one multi-line CSV, one JSON
+document) is read by a single task, and every narrow step after it (joins against a
+broadcast side, projections, the write) stays in that task. When an input arrives in
+fewer splits than the session's parallelism, the rows are spread round-robin once, right
+after the scan. A large input read in many splits is left untouched: no shuffle is added
+where the scan already parallelises.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def target_parallelism(df: DataFrame) -> int:
+    return int(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def spread_if_undersplit(df: DataFrame, keys=(), minimum: int | None = None) -> DataFrame:
+    """Hash-spread on ``keys`` (deterministic, no sort; a later join or aggregation on
+    the same keys reuses the partitioning), round-robin when no key is given."""
+    want = minimum or target_parallelism(df)
+    have = df.rdd.getNumPartitions()
+    if have >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

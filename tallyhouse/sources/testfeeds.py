@@ -11,9 +11,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyhouse.sources.spread import spread_if_undersplit
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None, key=None) -> DataFrame:
+    """A benchmark table, pruned to ``columns``; hash-spread on ``key`` if it arrives in
+    fewer splits than the session's parallelism."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread_if_undersplit(df, [key] if key else [])
 
 
 def _iso(nationkey: Column) -> Column:
@@ -29,16 +36,25 @@ def _obs(amount: Column, modulus: int) -> Column:
                     F.lpad((k % 1000).cast("string"), 3, "0"))
 
 
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation dimension: 25 rows at every scale factor, so it is always broadcast."""
+    n = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey", "n_name")
+    return F.broadcast(n)
+
+
 def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the natural key columns of both rate feeds."""
-    o = table(spark, sf_dir, "orders").select(
+    """One row per order with the natural key columns of both rate feeds.
+
+    orders and customer both grow with the data, so they meet in a shuffle (sort-merge)
+    join on the customer key, never a broadcast sized by a file-size guess.
+    """
+    o = table(spark, sf_dir, "orders", [
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
-        "o_totalprice")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        "o_totalprice"], key="o_custkey")
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"], key="c_custkey")
+    cn = c.join(nations(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
     ok = F.col("o_orderkey")
-    joined = (o.join(c, o.o_custkey == c.c_custkey)
-               .join(n, c.c_nationkey == n.n_nationkey))
+    joined = o.join(cn.hint("merge"), o.o_custkey == cn.c_custkey)
     return joined.select(
         ok,
         "o_totalprice",
@@ -75,9 +91,10 @@ def employment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unemployment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unemployment rate rows: one per line item, keyed by its order."""
     k = order_keys(spark, sf_dir).drop("o_totalprice")
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    j = li.join(k, li.l_orderkey == k.o_orderkey)
+    li = table(spark, sf_dir, "lineitem", [
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
+        key="l_orderkey")
+    j = li.join(k.hint("merge"), li.l_orderkey == k.o_orderkey)
     pos = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                    "l_extendedprice", "l_quantity")
     return j.select("iso_code", "country", "sex", "age", "year",
@@ -91,9 +108,9 @@ def population_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     Nation 24 gets a code that is not ISO-3 shaped; nation 7 (``NAH``) has no population
     entry at all, so the inner join of the slice with population drops that country.
     """
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(n, c.c_nationkey == n.n_nationkey).filter(F.col("c_nationkey") != 7)
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"], key="c_custkey")
+    j = c.join(nations(spark, sf_dir), c.c_nationkey == F.col("n_nationkey")).filter(
+        F.col("c_nationkey") != 7)
     code = F.when(F.col("c_nationkey") == 24, F.lit("x24")).otherwise(_iso(F.col("c_nationkey")))
     return j.select(
         code.alias("code"),

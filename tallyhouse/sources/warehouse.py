@@ -98,9 +98,13 @@ class Warehouse:
             raise RuntimeError(f"no published run under {self.root}")
         return runs[-1]
 
-    def read(self, layer: str, table: str, run_id: str | None = None) -> DataFrame:
+    def read(self, layer: str, table: str, run_id: str | None = None,
+             schema=None) -> DataFrame:
+        """A table of a run; with ``schema`` (known from the write) no file footer has to
+        be read to plan the scan."""
         run_id = run_id or self.current_run()
-        df = self.spark.read.parquet(self.table_path(run_id, layer, table))
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        df = reader.parquet(self.table_path(run_id, layer, table))
         if table in YEAR_PARTITIONED:
             df = df.withColumn("year", F.col("year").cast("int")).select(*COLUMN_ORDER[table])
         return df
