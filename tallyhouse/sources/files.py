@@ -87,4 +87,7 @@ def write_population_json(objects: DataFrame, path: str, rows_per_file: int = 50
     ranged = cols.repartitionByRange(files, "_pos").withColumn("_f", F.spark_partition_id())
     per_file = ranged.groupBy("_f").agg(F.sort_array(F.collect_list(F.struct(
         "_pos", F.struct("alpha3Code", "name", "population").alias("o")))).alias("l"))
-    per_file.select(F.to_json(F.col("l.o")).alias("value")).write.mode("overwrite").text(path)
+    # One directory per document, named so that path order is element order.
+    docs = per_file.select(F.lpad(F.col("_f").cast("string"), 6, "0").alias("doc"),
+                           F.to_json(F.col("l.o")).alias("value"))
+    docs.write.mode("overwrite").partitionBy("doc").text(path)
