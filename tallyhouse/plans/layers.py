@@ -45,8 +45,9 @@ FIXED_RUN_TS = dt.datetime(2025, 1, 1, 0, 0, 0)
 
 
 def feeds_from_tables(spark: SparkSession, sf_dir: str) -> Feeds:
-    return Feeds(testfeeds.employment_feed(spark, sf_dir),
-                 testfeeds.unemployment_feed(spark, sf_dir),
+    keys = testfeeds.order_keys(spark, sf_dir)   # one plan object shared by both rate feeds
+    return Feeds(testfeeds.employment_feed(spark, sf_dir, keys),
+                 testfeeds.unemployment_feed(spark, sf_dir, keys),
                  testfeeds.population_objects(spark, sf_dir))
 
 

@@ -76,9 +76,9 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 RATE_COLUMNS = ["iso_code", "country", "sex", "age", "year", "obs_value"]
 
 
-def employment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def employment_feed(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """Employment rate rows: one per order, arrival order = order key."""
-    k = order_keys(spark, sf_dir)
+    k = keys if keys is not None else order_keys(spark, sf_dir)
     ok = F.col("o_orderkey")
     obs = (F.when(ok % 7 == 0, F.lit("0"))
             .when(ok % 61 == 0, F.lit("n/a"))
@@ -88,9 +88,9 @@ def employment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.struct(ok.alias("o_orderkey")).alias("_pos"))
 
 
-def unemployment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unemployment_feed(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """Unemployment rate rows: one per line item, keyed by its order."""
-    k = order_keys(spark, sf_dir).drop("o_totalprice")
+    k = (keys if keys is not None else order_keys(spark, sf_dir)).drop("o_totalprice")
     li = table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
         key="l_orderkey")
