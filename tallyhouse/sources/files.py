@@ -67,14 +67,30 @@ def read_population_json(spark: SparkSession, path) -> DataFrame:
     exploded = spread_if_undersplit(
         docs.select("file", F.posexplode(checked).alias("idx", "item")), ["file", "idx"])
     return exploded.select(
-        F.try_variant_get("item", "$.alpha3Code", "string").alias("code"),
-        F.try_variant_get("item", "$.name", "string").alias("name"),
+        _truthy_text("item", "alpha3Code").alias("code"),
+        _truthy_text("item", "name").alias("name"),
         F.try_variant_get("item", "$.population", "bigint").alias("population"),
         F.struct(F.col("file"), F.lit(0).cast("bigint").alias("block"),
                  F.col("idx").cast("bigint").alias("seq")).alias("_pos"),
     )
 
 
+def _truthy_text(item: str, field: str):
+    """A JSON field as text the way the API client read it: NULL when the value is
+    missing or falsy (null, false, 0, "", [], {}), otherwise its text, with ``true``
+    spelled ``True``."""
+    value = F.try_variant_get(item, f"$.{field}", "variant")
+    kind = F.schema_of_variant(value)
+    text = F.try_variant_get(item, f"$.{field}", "string")
+    numeric = kind.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)")
+    falsy = (value.isNull() | (kind == "VOID")
+             | ((kind == "BOOLEAN") & (text == "false"))
+             | (numeric & (text.try_cast("double") == 0))
+             | (text == "") | (kind.startswith("ARRAY") & (text == "[]"))
+             | (kind.startswith("OBJECT") & (text == "{}")))
+    return F.when(~falsy, F.when(kind == "BOOLEAN", F.lit("True")).otherwise(text))
+
+
 def write_population_json(objects: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
     """Write population objects as JSON list documents, ``rows_per_file`` elements each.
 

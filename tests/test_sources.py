@@ -80,6 +80,22 @@ def test_json_population_coercion(spark):
     assert got == {"AAA": ("a2", 7), "BBB": ("b", 12), "CCC": ("c", 12), "DDD": ("d", 1)}
 
 
+def test_json_falsy_code_or_name_skipped(spark):
+    p = _json(spark, """[
+      {"alpha3Code": 0, "name": "zero", "population": 5},
+      {"alpha3Code": false, "name": "f", "population": 5},
+      {"alpha3Code": null, "name": "n", "population": 5},
+      {"alpha3Code": [], "name": "a", "population": 5},
+      {"alpha3Code": "AAA", "name": 0, "population": 5},
+      {"alpha3Code": "BBB", "name": {}, "population": 5},
+      {"alpha3Code": 123, "name": true, "population": 5},
+      {"alpha3Code": "CCC", "name": "c", "population": 5}
+    ]""")
+    got = {r.iso_code: r.country for r in
+           S.validate_population(files.read_population_json(spark, p)).collect()}
+    assert got == {"123": "True", "CCC": "c"}
+
+
 def test_json_top_level_object_fails(spark):
     p = _json(spark, '{"alpha3Code": "AAA", "name": "a", "population": 1}')
     with pytest.raises((PySparkException, Py4JJavaError)):
