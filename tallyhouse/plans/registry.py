@@ -110,16 +110,15 @@ def audit_change_log(spark, sf_dir):
     return history.drop("observed_at")
 
 
-def _staged_employment_run(spark, sf_dir, run):
-    raw = S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, run), FIXED_RUN_TS)
-    return raw
+def _raw_employment_run(spark, sf_dir, run):
+    return S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, run), FIXED_RUN_TS)
 
 
 def upsert_do_nothing(spark, sf_dir):
     """Staging rerun without emptying: delivery B inserted-or-ignored into the staging
     table built from delivery A (existing keys keep A's row)."""
-    raw_a = _staged_employment_run(spark, sf_dir, "A")
-    raw_b = _staged_employment_run(spark, sf_dir, "B")
+    raw_a = _raw_employment_run(spark, sf_dir, "A")
+    raw_b = _raw_employment_run(spark, sf_dir, "B")
     target = S.stage_rates(raw_a, "employment_rate")
     source = S.validated_rates(raw_b, "employment_rate")
     return insert_ignore(target, source, schemas.RATE_KEYS, ["_pos"])
@@ -128,11 +127,11 @@ def upsert_do_nothing(spark, sf_dir):
 def upsert_do_update(spark, sf_dir):
     """Slice mart rerun without emptying: the slice from delivery B upserted into the
     slice from delivery A on (iso_code, year); all metrics update, the country does not."""
-    feeds = feeds_from_tables(spark, sf_dir)
+    feeds_b = feeds_from_tables(spark, sf_dir)
     feeds_a = feeds_from_tables(spark, sf_dir)
     feeds_a.employment = testfeeds.audit_run_feed(spark, sf_dir, "A")
     total_a = build_layers(feeds_a).total
-    total_b = build_layers(feeds).total
+    total_b = build_layers(feeds_b).total
     update = [c for c in M.SLICE_COLUMNS if c not in ("iso_code", "year", "country")]
     return upsert(total_a, total_b, schemas.SLICE_KEYS, update)
 

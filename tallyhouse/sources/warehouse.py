@@ -70,12 +70,16 @@ class Warehouse:
         """Write one table of a run; ``metrics`` are observed during the same pass."""
         path = self.table_path(run_id, layer, table)
         if observation is not None:
+            # No exchange between the observation and the write: the metrics are taken in
+            # the result stage, where a retried task's update is applied only once.
             df = df.observe(observation, *metrics)
-        writer = df.write.mode("overwrite")
         if table in YEAR_PARTITIONED:
-            df_sorted = df.sortWithinPartitions("year", "iso_code")
-            writer = df_sorted.write.mode("overwrite").partitionBy("year")
-        writer.parquet(path)
+            # Sorted within tasks by year then country: one file per year per task, and
+            # row groups clustered by iso_code for the single-country queries.
+            (df.sortWithinPartitions("year", "iso_code").write.mode("overwrite")
+               .partitionBy("year").parquet(path))
+        else:
+            df.write.mode("overwrite").parquet(path)
         return path
 
     def publish(self, run_id: str, published_at: dt.datetime) -> None:
