@@ -1,14 +1,25 @@
 """NTILE(n) over a global order without funnelling all rows into one task.
 
 ``ntile(n).over(Window.orderBy(...))`` has no PARTITION BY, so Spark moves every row to a
-single partition. Here the rows are range-partitioned on the order columns instead, each
-partition numbers its rows locally, and only one count per partition (a table with as
-many rows as partitions, so its size is bounded) is brought together to turn local
-numbers into global ranks. Buckets follow the SQL rule: with ``N`` rows, ``big = N // n``
-and ``rem = N % n``, the first ``rem`` buckets hold ``big + 1`` rows, the rest ``big``.
-
-The order columns must be a total order (add a unique tie-breaker): rows that tie may
-otherwise land in either of two adjacent buckets, exactly as with the window function.
+single partition. Here the rows are cut into key ranges instead:
+
+1. a seeded sample of the order key (about ``sample_per_range`` keys per range, a bounded
+   number of rows) is sorted and collected once; evenly spaced sample keys become the range
+   bounds, fixed as literals from then on;
+2. every row gets its range index from a binary-search CASE over the bounds (no shuffle);
+3. rows per range are counted with partial aggregation; the counts (one row per range, a
+   table whose size is bounded by the number of ranges) give each range's offset;
+4. rows are numbered within their range by a window partitioned by range index, and the
+   broadcast offsets turn local numbers into global ranks.
+
+Because the bounds are literals, the counting pass and the numbering pass always agree
+(no dependence on exchange reuse or on a sampler re-running identically), and a task
+retried after an executor loss assigns the same ranges. Buckets follow the SQL rule: with
+``N`` rows, ``big = N div n`` and ``rem = N % n``, the first ``rem`` buckets hold
+``big + 1`` rows, the rest ``big``.
+
+The order columns are ascending (NULLs first, as ``Window.orderBy``) and must form a total
+order (add a unique tie-breaker); rows that tie on the whole key stay in one range.
 """
 
 from __future__ import annotations
@@ -17,45 +28,75 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+MAX_RANGES = 512
+
 
 def _sort_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _key(cols: list[Column]) -> Column:
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+
+
+def _bound_literal(values, types) -> Column:
+    return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, types))])
+
+
+def _range_index(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
+    """Number of bounds strictly below ``key``, by binary search over sorted bounds."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(key <= bounds[mid], _range_index(key, bounds, lo, mid)).otherwise(
+        _range_index(key, bounds, mid + 1, hi))
+
+
 def ntile(df: DataFrame, n: int, order: Sequence, out: str = "ntile",
-          partitions: int | None = None) -> DataFrame:
+          partitions: int | None = None, sample_per_range: int = 40, seed: int = 17) -> DataFrame:
     if n < 1:
         raise ValueError("ntile needs n >= 1")
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, min(partitions, MAX_RANGES))
     order_cols = [_sort_col(c) for c in order]
-    # An explicit partition count: AQE keeps it (no coalescing), so spark_partition_id()
-    # is the index of the key range. Both uses below share this one exchange (the plan
-    # shows a ReusedExchange), so they see the same range bounds.
-    ranged = (df.repartitionByRange(partitions, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_part", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Range bounds come from sampling; without exchange reuse the two branches
-        # below could sample differently. Materialise the numbered rows once instead.
-        from tallyhouse.session import shared_dir
-        shared_dir(spark)
-        ranged = ranged.checkpoint()
-    numbered = ranged.withColumn(
-        "_local", F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33))
-
-    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
+    key_df = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order_cols)])
+    types = [f.dataType for f in key_df.schema.fields]
+
+    # 1. range bounds from a bounded, seeded sample (one count, one small collect)
+    total = df.count()
+    bounds: list[Column] = []
+    if ranges > 1 and total > 0:
+        fraction = min(1.0, ranges * sample_per_range / total)
+        sample = key_df.sample(False, fraction, seed) if fraction < 1.0 else key_df
+        keys = sample.orderBy(*key_df.columns).collect()
+        picked, last = [], None
+        for j in range(1, ranges):
+            if not keys:
+                break
+            row = tuple(keys[min(len(keys) - 1, (j * len(keys)) // ranges)])
+            if row != last:
+                picked.append(row)
+                last = row
+        bounds = [_bound_literal(r, types) for r in picked]
+
+    # 2. range index per row
+    key = _key(order_cols)
+    with_range = df.withColumn("_range", _range_index(key, bounds, 0, len(bounds)))
+
+    # 3. rows per range -> offsets (one row per range)
+    counts = with_range.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "_part",
+        "_range",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_cnt").over(everything).alias("_total"))
+        F.lit(total).cast("long").alias("_total"))
 
-    ranked = numbered.join(F.broadcast(offsets), on="_part", how="inner")
-    # Exact integer arithmetic on the 0-based global rank r.
+    # 4. local numbering inside each range, then global rank and bucket
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols)) - 1
+    ranked = (with_range.withColumn("_local", local)
+              .join(F.broadcast(offsets), on="_range", how="inner"))
     bucket = F.expr(f"""
         CASE WHEN (_offset + _local) < (_total % {n}) * (_total div {n} + 1)
              THEN (_offset + _local) div (_total div {n} + 1) + 1
@@ -63,5 +104,4 @@ def ntile(df: DataFrame, n: int, order: Sequence, out: str = "ntile",
                   + ((_offset + _local) - (_total % {n}) * (_total div {n} + 1))
                     div greatest(_total div {n}, 1) + 1
         END""")
-    return ranked.withColumn(out, bucket.cast("int")).drop(
-        "_part", "_mid", "_local", "_offset", "_total")
+    return ranked.withColumn(out, bucket.cast("int")).drop("_range", "_local", "_offset", "_total")

@@ -56,11 +56,16 @@ def test_ntile_matches_window(spark, n, buckets):
     assert got == expected
 
 
-def test_ntile_no_single_partition_exchange(spark):
-    df = spark.range(1000).withColumn("v", F.col("id") % 13)
-    plan = ntile(df, 4, ["v", "id"])._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchange allowed is the one over per-partition counts
-    assert "rangepartitioning" in plan
+def test_ntile_rows_never_meet_in_one_partition(spark):
+    df = spark.range(5000).withColumn("v", F.col("id") % 13)
+    out = ntile(df, 4, ["v", "id"], partitions=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # rows are numbered per key range (hash exchange on the range index) ...
+    assert "hashpartitioning(_range" in plan
+    # ... the only single-partition exchange is over the per-range counts
+    assert plan.count("SinglePartition") == 1
+    sizes = out.groupBy("ntile").count().collect()
+    assert sorted(r["count"] for r in sizes) == [1250] * 4
 
 
 def test_insert_ignore(spark):
