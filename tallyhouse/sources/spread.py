@@ -1,27 +1,25 @@
 """Spread an under-split input over the cluster before per-row work.
 
-A file that cannot be split (one Parquet row group, one multi-line CSV, one JSON
-document) is read by a single task, and every narrow step after it (joins against a
-broadcast side, projections, the write) stays in that task. When an input arrives in
-fewer splits than the session's parallelism, the rows are spread round-robin once, right
-after the scan. A large input read in many splits is left untouched: no shuffle is added
-where the scan already parallelises.
+A table that cannot be split (one Parquet row group) is read by a single task, and every
+narrow step after it (broadcast joins, projections, the write) stays in that task. When
+such an input feeds a shuffle join on ``keys``, hash-partitioning it on those keys into
+``spark.sql.shuffle.partitions`` partitions right after the scan costs nothing extra: it is
+exactly the exchange the join would add (the join's required distribution is then already
+satisfied), only placed earlier so the steps in between run in parallel. A table that
+already arrives in at least that many splits is left untouched, and the join plans its
+own exchange as usual.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
+from collections.abc import Sequence
 
-def target_parallelism(df: DataFrame) -> int:
-    return int(df.sparkSession.sparkContext.defaultParallelism)
+from pyspark.sql import DataFrame
 
 
-def spread_if_undersplit(df: DataFrame, keys=(), minimum: int | None = None) -> DataFrame:
-    """Hash-spread on ``keys`` (deterministic, no sort; a later join or aggregation on
-    the same keys reuses the partitioning), round-robin when no key is given."""
-    want = minimum or target_parallelism(df)
+def spread_if_undersplit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    want = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     have = df.rdd.getNumPartitions()
     if have >= want:
         return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
+    return df.repartition(want, *keys)

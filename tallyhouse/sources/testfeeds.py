@@ -14,13 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyhouse.sources.spread import spread_if_undersplit
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns=None, key=None) -> DataFrame:
-    """A benchmark table, pruned to ``columns``; hash-spread on ``key`` if it arrives in
-    fewer splits than the session's parallelism."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread_if_undersplit(df, [key] if key else [])
+def table(spark: SparkSession, sf_dir: str, name: str, columns, key: str) -> DataFrame:
+    """A benchmark table pruned to ``columns``; ``key`` is the column it is joined on next,
+    used to spread the table when it arrives in too few splits."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
+    return spread_if_undersplit(df, [key])
 
 
 def _iso(nationkey: Column) -> Column:

@@ -95,3 +95,34 @@ def test_run_from_files_matches_tables(spark):
     lazy = layers_from_tables(spark, SMALL).marts()
     for name in ("fact", "total", "population", "with_population"):
         assert rows(getattr(pub, name)) == rows(getattr(lazy, name)), name
+
+
+def _landed_inputs(spark, employment_extra: str = "", population_text: str | None = None):
+    import os
+    d = fresh_scratch_path(spark, "inputs")
+    for name in ("employment", "unemployment", "population"):
+        os.makedirs(f"{d}/{name}")
+    header = "iso_code,country,sex,age,year,obs_value\n"
+    with open(f"{d}/employment/e.csv", "w") as f:
+        f.write(header + "AAA,A,Total,15+,2000,10.5\n" + employment_extra)
+    with open(f"{d}/unemployment/u.csv", "w") as f:
+        f.write(header + "AAA,A,Total,15+,2000,5.25\n")
+    with open(f"{d}/population/p.json", "w") as f:
+        f.write(population_text or '[{"alpha3Code": "AAA", "name": "A", "population": 1000}]')
+    return R.feeds_from_files(spark, f"{d}/employment", f"{d}/unemployment", f"{d}/population")
+
+
+@pytest.mark.parametrize("bad", ["csv_fields", "json_object"])
+def test_bad_file_input_fails_and_keeps_previous_run(spark, bad):
+    root = fresh_scratch_path(spark, "wh")
+    good = R.run_refresh(spark, _landed_inputs(spark), root, T0)
+    pub = R.published_marts(spark, root)
+    assert [(r.iso_code, str(r.unemployment_persons_est)) for r in pub.with_population.collect()] == [
+        ("AAA", "52.50")]
+    if bad == "csv_fields":
+        feeds = _landed_inputs(spark, employment_extra="BBB,B,Total,15+,2000\n")
+    else:
+        feeds = _landed_inputs(spark, population_text='{"alpha3Code": "AAA"}')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        R.run_refresh(spark, feeds, root, T0 + dt.timedelta(days=1))
+    assert Warehouse(spark, root).current_run() == good.run_id
