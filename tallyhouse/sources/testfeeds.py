@@ -34,10 +34,15 @@ def _obs(amount: Column, modulus: int) -> Column:
                     F.lpad((k % 1000).cast("string"), 3, "0"))
 
 
+# The nation dimension has 25 rows at every scale factor; it is broadcast only after its
+# row count has been checked against this limit.
+NATION_BROADCAST_MAX_ROWS = 10_000
+
+
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation dimension: 25 rows at every scale factor, so it is always broadcast."""
+    """The nation dimension, broadcast when its counted size is within the limit."""
     n = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey", "n_name")
-    return F.broadcast(n)
+    return F.broadcast(n) if n.count() <= NATION_BROADCAST_MAX_ROWS else n
 
 
 def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
