@@ -3,12 +3,13 @@
 ``ntile(n).over(Window.orderBy(...))`` has no PARTITION BY, so Spark moves every row to a
 single partition. Here the rows are cut into key ranges instead:
 
-1. a seeded sample of the order key (about ``sample_per_range`` keys per range, a bounded
-   number of rows) is sorted and collected once; evenly spaced sample keys become the range
-   bounds, fixed as literals from then on;
+1. a seeded random sample of the order key (``sample_per_range`` keys per range, taken as
+   a per-partition top-k on a random number, so a bounded number of rows) is sorted and
+   collected once; evenly spaced sample keys become the range bounds, fixed as literals;
 2. every row gets its range index from a binary-search CASE over the bounds (no shuffle);
 3. rows per range are counted with partial aggregation; the counts (one row per range, a
-   table whose size is bounded by the number of ranges) give each range's offset;
+   table whose size is bounded by the number of ranges) give each range's offset and the
+   total row count;
 4. rows are numbered within their range by a window partitioned by range index, and the
    broadcast offsets turn local numbers into global ranks.
 
@@ -64,12 +65,11 @@ def ntile(df: DataFrame, n: int, order: Sequence, out: str = "ntile",
     key_df = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order_cols)])
     types = [f.dataType for f in key_df.schema.fields]
 
-    # 1. range bounds from a bounded, seeded sample (one count, one small collect)
-    total = df.count()
+    # 1. range bounds from a bounded random sample: a per-partition top-k on a seeded random
+    #    number, merged (never more than ranges * sample_per_range rows reach the driver)
     bounds: list[Column] = []
-    if ranges > 1 and total > 0:
-        fraction = min(1.0, ranges * sample_per_range / total)
-        sample = key_df.sample(False, fraction, seed) if fraction < 1.0 else key_df
+    if ranges > 1:
+        sample = key_df.orderBy(F.rand(seed)).limit(ranges * sample_per_range)
         keys = sample.orderBy(*key_df.columns).collect()
         picked, last = [], None
         for j in range(1, ranges):
@@ -91,7 +91,7 @@ def ntile(df: DataFrame, n: int, order: Sequence, out: str = "ntile",
     offsets = counts.select(
         "_range",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
-        F.lit(total).cast("long").alias("_total"))
+        F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
 
     # 4. local numbering inside each range, then global rank and bucket
     local = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols)) - 1
