@@ -45,10 +45,11 @@ FIXED_RUN_TS = dt.datetime(2025, 1, 1, 0, 0, 0)
 
 
 def feeds_from_tables(spark: SparkSession, sf_dir: str) -> Feeds:
-    keys = testfeeds.order_keys(spark, sf_dir)   # one plan object shared by both rate feeds
+    nation = testfeeds.nations(spark, sf_dir)           # size-checked once
+    keys = testfeeds.order_keys(spark, sf_dir, nation)  # one plan shared by both rate feeds
     return Feeds(testfeeds.employment_feed(spark, sf_dir, keys),
                  testfeeds.unemployment_feed(spark, sf_dir, keys),
-                 testfeeds.population_objects(spark, sf_dir))
+                 testfeeds.population_objects(spark, sf_dir, nation))
 
 
 def build_layers(feeds: Feeds, loaded_at=FIXED_RUN_TS, strict: bool = False) -> Layers:

@@ -45,7 +45,7 @@ def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return F.broadcast(n) if n.count() <= NATION_BROADCAST_MAX_ROWS else n
 
 
-def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_keys(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None) -> DataFrame:
     """One row per order with the natural key columns of both rate feeds.
 
     orders and customer both grow with the data, so they meet in a shuffle (sort-merge)
@@ -55,7 +55,8 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
         "o_totalprice"], key="o_custkey")
     c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"], key="c_custkey")
-    cn = c.join(nations(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
+    n = nation if nation is not None else nations(spark, sf_dir)
+    cn = c.join(n, c.c_nationkey == F.col("n_nationkey"))
     ok = F.col("o_orderkey")
     joined = o.join(cn.hint("merge"), o.o_custkey == cn.c_custkey)
     return joined.select(
@@ -105,14 +106,15 @@ def unemployment_feed(spark: SparkSession, sf_dir: str, keys: DataFrame | None =
                     pos.alias("_pos"))
 
 
-def population_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def population_objects(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None) -> DataFrame:
     """Population API objects (already field-extracted): one per customer.
 
     Nation 24 gets a code that is not ISO-3 shaped; nation 7 (``NAH``) has no population
     entry at all, so the inner join of the slice with population drops that country.
     """
     c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"], key="c_custkey")
-    j = c.join(nations(spark, sf_dir), c.c_nationkey == F.col("n_nationkey")).filter(
+    n = nation if nation is not None else nations(spark, sf_dir)
+    j = c.join(n, c.c_nationkey == F.col("n_nationkey")).filter(
         F.col("c_nationkey") != 7)
     code = F.when(F.col("c_nationkey") == 24, F.lit("x24")).otherwise(_iso(F.col("c_nationkey")))
     return j.select(
