@@ -29,8 +29,9 @@ def validated_rates(raw: DataFrame, value_column: str, order: Sequence[str] = ("
                     strict: bool = False) -> DataFrame:
     """Rows that pass every staging rule, typed; duplicates of a key still present.
 
-    Invalid rows are dropped silently. A NULL iso_code in a row that is otherwise valid
-    aborts the job (NOT NULL column of the staging table).
+    Invalid rows are dropped silently. A NULL iso_code or country in a row that is
+    otherwise valid aborts the job: every valid row is an insert attempt into NOT NULL
+    columns, and the constraint is checked before the key conflict is.
     """
     typed = raw.select(
         "iso_code", "country", "sex", "age",
@@ -39,21 +40,19 @@ def validated_rates(raw: DataFrame, value_column: str, order: Sequence[str] = ("
         *order,
     )
     valid = typed.filter(rate_row_ok("year", "sex", "age", value_column))
-    # The NOT NULL check of the key runs on valid rows only, before grouping on it.
-    return valid.select(assert_not_null("iso_code", value_column), "country", "sex", "age",
+    # NOT NULL checks run on valid rows only, before grouping.
+    return valid.select(assert_not_null("iso_code", value_column),
+                        assert_not_null("country", value_column), "sex", "age",
                         "year", value_column, *order)
 
 
 def stage_rates(raw: DataFrame, value_column: str, order: Sequence[str] = ("_pos",),
                 strict: bool = False) -> DataFrame:
     """Validated, typed rate rows; the first valid row per (iso_code, sex, age, year) wins
-    (insert-or-ignore in arrival order). A NULL country in a kept row aborts the job."""
+    (insert-or-ignore in arrival order)."""
     valid = validated_rates(raw, value_column, order, strict)
     first = keep_first(valid, schemas.RATE_KEYS, order, ["country", value_column])
-    return first.select(
-        "iso_code",
-        assert_not_null("country", value_column),
-        "sex", "age", "year", value_column)
+    return first.select("iso_code", "country", "sex", "age", "year", value_column)
 
 
 def validate_population(objects: DataFrame) -> DataFrame:

@@ -65,6 +65,13 @@ def test_null_country_in_valid_row_fails(spark):
         staged(spark, [("AAA", None, "Total", "15+", "2000", "5")]).collect()
 
 
+def test_null_country_in_later_duplicate_fails(spark):
+    rows = [("AAA", "first", "Total", "15+", "2000", "5"),
+            ("AAA", None, "Total", "15+", "2000", "6")]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        staged(spark, rows).collect()
+
+
 def test_null_key_in_invalid_row_is_just_rejected(spark):
     assert staged(spark, [(None, "A", "Total", "15+", "1800", "5")]).count() == 0
 
