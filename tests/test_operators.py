@@ -131,3 +131,16 @@ def test_classify_all_cases(spark):
     assert types == [("first_load", None, 10, 0), ("row_count_changed", 2, 2, 0),
                      ("content_changed_same_count", 0, 0, 0), ("unchanged", 0, 0, 0),
                      ("row_count_changed", -3, 0, 3)]
+
+
+def test_ntile_nulls_strings_decimals(spark):
+    from decimal import Decimal
+    rnd = random.Random(5)
+    rows = [(i, None if i % 11 == 0 else f"s{rnd.randrange(40):02d}",
+             None if i % 13 == 0 else Decimal(rnd.randrange(10000)) / 100) for i in range(700)]
+    df = spark.createDataFrame(rows, "id int, s string, d decimal(10,2)")
+    w = Window.orderBy("s", "d", "id")
+    expected = {r.id: r.b for r in df.select("id", F.ntile(9).over(w).alias("b")).collect()}
+    got = {r.id: r.b for r in ntile(df, 9, ["s", "d", "id"], out="b", partitions=6,
+                                     sample_per_range=5).collect()}
+    assert got == expected
