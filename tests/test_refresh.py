@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyhouse.plans import queries as Q
 from tallyhouse.plans import refresh as R
-from tallyhouse.plans.layers import Feeds, feeds_from_tables, layers_from_tables
+from tallyhouse.plans.layers import feeds_from_tables, layers_from_tables
 from tallyhouse.session import fresh_scratch_path
 from tallyhouse.sources import files, testfeeds
-from tallyhouse.sources.warehouse import MART, Warehouse
+from tallyhouse.sources.warehouse import Warehouse
 from tests.conftest import SMALL
 
 T0 = dt.datetime(2025, 3, 1, 12, 0, 0)
