@@ -42,12 +42,18 @@ def shared_dir(spark: SparkSession) -> str:
     created and registered, so later calls and ``DataFrame.checkpoint`` agree on it.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    context = None
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        pass
+    if not current and context is not None:
+        current = context.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="tallyhouse-")
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
+        if context is not None:
+            context.setCheckpointDir(current)
     return current.rstrip("/")
 
 

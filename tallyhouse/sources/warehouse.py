@@ -41,11 +41,20 @@ COLUMN_ORDER = {
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the cluster's Hadoop file system client."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """Existence check through the cluster's Hadoop file system client (or, without a
+    JVM gateway as under Spark Connect, by trying to read the path)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
 
 
 class Warehouse:
