@@ -65,11 +65,24 @@ def run_refresh(spark: SparkSession, feeds: Feeds, warehouse_root: str,
 
     Raises (and publishes nothing) on: a malformed CSV row, a NULL key in a valid row,
     a non-list population payload, zero valid population rows, an out-of-range rate
-    under ``strict``.
+    under ``strict``. A failed run is rolled back: its directory is deleted.
     """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = run_ts.strftime("%Y%m%dT%H%M%S%f")
     wh = Warehouse(spark, warehouse_root)
+    try:
+        return _run(spark, feeds, wh, run_id, run_ts, strict, hash_method)
+    except BaseException:
+        try:  # best effort: the original error is what the caller must see
+            if run_id not in wh.published_runs():
+                wh.discard(run_id)
+        except Exception:  # noqa: BLE001
+            pass
+        raise
+
+
+def _run(spark: SparkSession, feeds: Feeds, wh: Warehouse, run_id: str, run_ts: dt.datetime,
+         strict: bool, hash_method: str) -> RunResult:
     result = RunResult(run_id)
     at = F.lit(run_ts).cast("timestamp_ntz")
 

@@ -91,6 +91,21 @@ class Warehouse:
             df.write.mode("overwrite").parquet(path)
         return path
 
+    def discard(self, run_id: str) -> bool:
+        """Delete the files of an unpublished run (the rollback of a failed run).
+        Refuses to touch a published run. Returns False when deletion is unavailable."""
+        if run_id in self.published_runs():
+            raise ValueError(f"run {run_id} is published")
+        try:
+            jvm = self.spark.sparkContext._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(self.run_path(run_id))
+            fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            if fs.exists(hpath):
+                fs.delete(hpath, True)
+            return True
+        except Exception:  # noqa: BLE001 - no JVM gateway: leave the unpublished files
+            return False
+
     def publish(self, run_id: str, published_at: dt.datetime) -> None:
         marker = self.spark.createDataFrame(
             [(run_id, published_at)], "run_id string, published_at timestamp_ntz")

@@ -69,6 +69,10 @@ def test_failed_run_leaves_previous_published(spark, warehouse):
     wh = Warehouse(spark, root)
     assert wh.current_run() == second.run_id
     assert wh.audit_history().count() == 6
+    # rolled back: nothing of the failed run is left on storage
+    import os
+    failed = (T0 + dt.timedelta(days=2)).strftime("%Y%m%dT%H%M%S%f")
+    assert not os.path.exists(wh.run_path(failed).replace("file:", ""))
 
 
 def test_null_key_fails_run(spark):
