@@ -30,6 +30,8 @@ def main(argv=None) -> int:
     run.add_argument("--population", required=True, help="population JSON file or folder")
     run.add_argument("--warehouse", required=True, help="warehouse root on shared storage")
     run.add_argument("--strict", action="store_true", help="fail on out-of-range rate values")
+    run.add_argument("--splittable-csv", action="store_true",
+                     help="fields never contain line breaks: let Spark split large CSV files")
     query = sub.add_parser("query", help="query the published marts")
     query.add_argument("--warehouse", required=True)
     query.add_argument("name_or_sql", help="q01..q19, or a SQL statement over mart.* views")
@@ -42,7 +44,8 @@ def main(argv=None) -> int:
     from tallyhouse.plans.catalog import register_views
 
     if args.command == "run":
-        feeds = R.feeds_from_files(spark, args.employment, args.unemployment, args.population)
+        feeds = R.feeds_from_files(spark, args.employment, args.unemployment, args.population,
+                                   multi_line=not args.splittable_csv)
         result = R.run_refresh(spark, feeds, args.warehouse, strict=args.strict)
         print(f"published run {result.run_id}")
         for table, rows in result.metrics.items():
