@@ -112,3 +112,23 @@ def test_json_round_trip_keeps_order(spark, tmp_path):
     a = S.validate_population(objs).orderBy("iso_code").collect()
     b = S.validate_population(back).orderBy("iso_code").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+def test_split_csv_file_keeps_file_order(spark):
+    """One file read in many byte-range splits: (file, block, seq) is still file order."""
+    from tallyhouse.plans.layers import layers_from_tables
+    from tests.conftest import SMALL
+    from tallyhouse.sources import testfeeds
+    path = fresh_scratch_path(spark, "split-csv")
+    feed = testfeeds.employment_feed(spark, SMALL).orderBy("_pos").coalesce(1)
+    files.write_rate_csv(feed, path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = files.read_rate_csv(spark, path, multi_line=False)
+        assert raw.rdd.getNumPartitions() > 5
+        got = sorted(tuple(r) for r in S.stage_rates(raw, "employment_rate").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expected = sorted(tuple(r) for r in layers_from_tables(spark, SMALL).stg_employment.collect())
+    assert got == expected
