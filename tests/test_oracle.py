@@ -21,7 +21,7 @@ def con():
 def canon(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     def v(x):
-        return "NULL" if x is None else (repr(round(x, 9)) if isinstance(x, float) else str(x))
+        return "NULL" if x is None else (repr(x) if isinstance(x, float) else str(x))
     return sorted("|".join(v(r[i]) for i in order) for r in rows)
 
 
