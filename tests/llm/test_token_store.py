@@ -1,0 +1,73 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tallyhouse.llm import token_store
+from tallyhouse.llm.common import fresh_path
+from tests.llm.docs import AWKWARD, SCHEMA, awkward, random_docs
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def ids_of(text):
+    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [2]
+
+
+def crc(ids):
+    return zlib.crc32(np.asarray(ids, "<u4").tobytes())
+
+
+def test_word_by_word_equals_whole_text():
+    r = np.random.default_rng(0)
+    bits = ["don't", "DON'T", "'s", "x's", "<|endoftext|>", "a<|startoftext|>b", "12 34", "é", "́", " ", " ",
+            "Σίγμας", "ΣΑΣ", "İ", "日本語", "😀😀", "...", "a.b", "\x1c", "\x85", "​", "ﬁ", "\x00", "'", "'l", "l"]
+    texts = ["".join(bits[i] + str(r.choice(["", " ", "\n", "\t ", "\r\n", "\x0b", "\f"])) for i in r.integers(0, len(bits), 30))
+             for _ in range(300)] + ["", " ", "\n"]
+    encoder = token_store.Encoder(PATH)
+    whole = Tokenizer.from_file(PATH)
+    for t, x in zip(texts, encoder.encode(texts)):
+        assert x.tolist() == whole.encode(t, add_special_tokens=False).ids + [2], repr(t)
+
+
+def check(rows, out):
+    have = sorted(out, key=lambda r: r.start)
+    assert [r.doc_id for r in have] == sorted((r[0] for r in rows), key=lambda d: (d is not None, d))
+    start = 0
+    want = sorted(((d, crc(ids_of(t))) for d, t, *_ in rows), key=str)
+    assert sorted(((r.doc_id, r.ids_crc32) for r in have), key=str) == want
+    for r in have:
+        assert r.start == start
+        start += r.n_tokens
+
+
+def test_awkward_rows(spark):
+    check(AWKWARD, token_store.digest(awkward(spark, extra="part offset")).collect())
+    assert token_store.digest(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_round_trip_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(token_store, "SLICE_BYTES", 700)
+    monkeypatch.setattr(token_store, "CACHE_WORDS", 50)
+    rows = random_docs(400, 5)
+    path = fresh_path(spark, "store")
+    token_store.write_store(spark.createDataFrame(rows, SCHEMA).repartition(4), path, PATH)
+    check(rows, token_store.read_store(spark, path).collect())
+    head = spark.read.parquet(f"{path}/dictionary").first()
+    assert len(head.dictionary) > 0 and head.width == 2
+    for d in (0, 17, 399):
+        assert token_store.lookup(spark, path, d) == [ids_of(rows[d][1])]
+    assert token_store.lookup(spark, path, 4000) == []
+
+
+def test_wrong_dictionary_is_refused(spark):
+    path, other = fresh_path(spark, "store"), fresh_path(spark, "store")
+    rows = random_docs(50, 6)
+    token_store.write_store(spark.createDataFrame(rows, SCHEMA), path, PATH)
+    token_store.write_store(spark.createDataFrame(random_docs(500, 7), SCHEMA), other, PATH)
+    spark.read.parquet(f"{other}/dictionary").write.mode("overwrite").parquet(f"{path}/dictionary")
+    with pytest.raises(Exception, match="another dictionary"):
+        token_store.read_store(spark, path).collect()
