@@ -25,9 +25,9 @@ def canon(rows, cols):
     return sorted("|".join(v(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.warehouse_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SMALL)
+    df = E.warehouse_queries()[name](spark, SMALL)
     srows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     assert sql is not None, f"{name} has no oracle"
