@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, sharding, token_store
+from . import exact_dedup, language, mixing, sharding, token_store, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,10 +17,18 @@ def op1_mix_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_documents(spark, sf_dir))
 
 
+def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(_documents(spark, sf_dir))
+
+
 def op4_shard_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_documents(spark, sf_dir))
 
 
+def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(_documents(spark, sf_dir))
 
@@ -30,6 +38,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_cube, op4_shard_feistel, op8_block_names, op10_token_store)}
+    f.__name__: f for f in (op1_mix_cube, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity,
+                                  op8_block_names, op10_token_store)}
 
 SQL: dict[str, str] = {"op8_block_names": exact_dedup.SQL}
