@@ -91,7 +91,7 @@ def features(texts: list[str], lexicon: Lexicon) -> np.ndarray:
     """One row of FEATURES per text."""
     out = np.zeros((len(texts), len(FEATURES)))
     arr = pa.array(texts, pa.string())
-    split = pc.split_pattern_regex(arr, r"[ \t\n\v\f\r]+")
+    split = pc.ascii_split_whitespace(arr)
     edge = split.offsets.to_numpy() - split.offsets[0].as_py()
     words = split.flatten().dictionary_encode()
     if not len(words):
