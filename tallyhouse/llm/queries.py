@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, sharding, token_store, toxicity
+from . import exact_dedup, language, mixing, ngram_join, sharding, token_store, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(_documents(spark, sf_dir))
+
+
 def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(_documents(spark, sf_dir))
 
@@ -39,6 +43,6 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_cube, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity,
-                                  op8_block_names, op10_token_store)}
+                                 op7_parity_join,                                  op8_block_names, op10_token_store)}
 
 SQL: dict[str, str] = {"op8_block_names": exact_dedup.SQL}
