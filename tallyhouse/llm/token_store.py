@@ -20,13 +20,17 @@ texts' hash; only doc_id and text are read.
 
 Tokenizing splits at ASCII white space and looks up each distinct word of a batch once: the
 tokenizer drops white space and its patterns never cross it, so the ids of a text are those of
-its words in order. ``whole_texts`` turns that off for tokenizers where it does not hold.
+its words in order. It also lower-cases and cuts between letters and signs, so both are done
+first unless a special token's string occurs; a word of ASCII letters goes to its model at once. ``whole_texts`` turns all that off for tokenizers
+where it does not hold.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +44,9 @@ from .common import fresh_path, partitions
 DICT_BYTES = 1 << 16       # size of the zstandard dictionary
 SAMPLE_DOCS = 1_000        # documents it is trained on (smallest hashes) ...
 SAMPLE_CHARS = 20_000      # ... of those no longer than this
-LEVEL = 6
+LEVEL = 3
 CHUNK_BYTES = 4 << 20
-SLICE_BYTES = 2 << 20      # text tokenized at once in a task
+SLICE_BYTES = 4 << 20      # text tokenized at once in a task
 CACHE_WORDS = 200_000      # words a task remembers
 FRAMES = ("part int, chunk int, dict_hash string, payload binary, doc_id array<bigint>, "
           "offset array<bigint>, n_tokens array<bigint>")
@@ -52,55 +56,92 @@ class Encoder:
     """Ids of whole texts by a tokenizers file, word by word with a bounded memory."""
 
     def __init__(self, path: str, end_id: int | None = 2, whole_texts: bool = False):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = [] if end_id is None else [end_id]
         self.whole = whole_texts
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         top = max([self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, *self.end])
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.code = "H" if top < 1 << 16 else "I"
+        self.young: dict[str, bytes] = {}     # two generations: words in use outlive the others
+        self.old: dict[str, bytes] = {}
 
     def _lookup(self, words: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
-        for i in range(0, len(new), 2000):
-            some = new[i:i + 2000]
+        young, old = self.young, self.old
+        new = []
+        for w in words:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    new.append(w)
+        tokenize, code = self.tokenizer.model.tokenize, self.code
+        other = []
+        for w in new:
+            if w.isascii() and w.isalpha() and w.islower():   # one piece that nothing rewrites
+                young[w] = array(code, [t.id for t in tokenize(w)]).tobytes()
+            else:
+                other.append(w)
+        for i in range(0, len(other), 2000):
+            some = other[i:i + 2000]
             for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.cache[w] = np.asarray(e.ids, dtype=self.dtype).tobytes()
-        return [self.cache[w] for w in words]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, with the end id."""
-        end = np.asarray(self.end, dtype=self.dtype)
+                young[w] = array(code, e.ids).tobytes()
+        found = list(map(young.__getitem__, words))
+        if len(young) > CACHE_WORDS:
+            self.young, self.old = {}, young
+        return found
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Serialised ids of each text, with the end id."""
+        end = np.asarray(self.end, dtype=self.dtype).tobytes()
         if self.whole:
-            return [np.r_[np.asarray(e.ids, dtype=self.dtype), end] for e in
-                    self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        split = pc.split_pattern_regex(pa.array(texts, pa.string()), r"[ \t\n\v\f\r]+")
+            return [array(self.code, e.ids).tobytes() + end for e in
+                    self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        lower = pc.ascii_lower(texts)
+        if not any(pc.any(pc.match_substring(lower, t.lower())).as_py() for t in self.special):
+            # fewer distinct words: the tokenizer lower-cases, and cuts between a letter and a sign
+            texts = pc.replace_substring_regex(lower, r"([a-z])([.,:;!?%&$#*])", r"\1 \2")
+        split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        vocab = self._lookup(words.dictionary.to_pylist())
+        vocab = self._lookup(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         at = words.indices.to_numpy(zero_copy_only=False)
-        n = np.fromiter(map(len, vocab), np.int64, len(vocab)) // self.dtype.itemsize
-        first = np.cumsum(n) - n
+        # a slice is a few MB, or one text of at most 2 GB: 32 bits count its ids
+        n = np.fromiter(map(len, vocab), np.int32, len(vocab)) // self.dtype.itemsize
+        first = np.cumsum(n, dtype=np.int32) - n
         flat = np.frombuffer(b"".join(vocab), self.dtype)
         count = n[at]
-        stop = np.cumsum(count)
-        where = np.arange(stop[-1] if len(stop) else 0) + np.repeat(first[at] - (stop - count), count)
-        ids = flat[where]
-        edge = np.r_[0, stop][split.offsets.to_numpy() - split.offsets[0].as_py()]
-        return [np.r_[ids[i:j], end] for i, j in zip(edge[:-1], edge[1:])]
+        stop = np.cumsum(count, dtype=np.int32)
+        where = np.repeat(first[at] - (stop - count), count)
+        where += np.arange(len(where), dtype=np.int32)
+        raw = flat[where].tobytes()
+        edge = np.r_[0, stop][split.offsets.to_numpy() - split.offsets[0].as_py()] * self.dtype.itemsize
+        edge = edge.tolist()
+        return [raw[i:j] + end for i, j in zip(edge[:-1], edge[1:])]
+
+
+def encoder(path: str, end_id: int | None, whole_texts: bool) -> Encoder:
+    """The worker process's own encoder: reused by the tasks that run in it one after another."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_encoders_of_this_process", {})
+    key = (path, end_id, whole_texts)
+    if key not in kept:
+        kept.clear()
+        kept[key] = Encoder(path, end_id, whole_texts)
+    return kept[key]
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= SLICE_BYTES:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about SLICE_BYTES."""
+    if not len(texts):
+        return
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    cut = np.flatnonzero(np.diff(size // SLICE_BYTES)) + 1
+    for i, j in zip(np.r_[0, cut], np.r_[cut, len(texts)]):
+        yield texts.slice(i, j - i)
 
 
 def train_dictionary(serialised: list[bytes], size: int = DICT_BYTES) -> bytes:
@@ -130,8 +171,8 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | N
     sample = (base.filter(F.length("text").between(1, SAMPLE_CHARS))
               .orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(SAMPLE_DOCS))
     local = Encoder(tokenizer, end_id, whole_texts)
-    ids = local.encode([r.text for r in sample.select("text").collect()])
-    dictionary = train_dictionary([x.tobytes() for x in ids])
+    learn = pa.array([r.text for r in sample.select("text").collect()], pa.string())
+    dictionary = train_dictionary([x for part in _slices(learn) for x in local.encode(part)])
     mark, width = hashlib.sha256(dictionary).hexdigest(), local.dtype.itemsize
     spark.createDataFrame([(mark, bytearray(dictionary), width)],
                           "dict_hash string, dictionary binary, width int").coalesce(1).write.parquet(
@@ -141,7 +182,7 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | N
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encoder = Encoder(tokenizer, end_id, whole_texts)
+        texts_to_ids = encoder(tokenizer, end_id, whole_texts)
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zstd(shared.value))
         part, chunk = None, 0
         docs: list = []
@@ -159,15 +200,15 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | N
                 "n_tokens": pa.array([counts], pa.list_(pa.int64()))})
 
         for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            names = iter(batch.column("doc_id").to_pylist())
             if part is None and batch.num_rows:
                 part = batch.column("part")[0].as_py()
-            for i, j in _slices(texts):
-                for name, x in zip(names[i:j], encoder.encode(texts[i:j])):
-                    frame = squeeze.compress(x.tobytes())
-                    docs.append(name)
+            for texts in _slices(batch.column("text")):
+                for x in texts_to_ids.encode(texts):
+                    frame = squeeze.compress(x)
+                    docs.append(next(names))
                     frames.append(frame)
-                    counts.append(len(x))
+                    counts.append(len(x) // width)
                     held += len(frame)
                     if held >= CHUNK_BYTES:
                         yield full()

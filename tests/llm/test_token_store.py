@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -24,12 +25,15 @@ def test_word_by_word_equals_whole_text():
     r = np.random.default_rng(0)
     bits = ["don't", "DON'T", "'s", "x's", "<|endoftext|>", "a<|startoftext|>b", "12 34", "é", "́", " ", " ",
             "Σίγμας", "ΣΑΣ", "İ", "日本語", "😀😀", "...", "a.b", "\x1c", "\x85", "​", "ﬁ", "\x00", "'", "'l", "l"]
-    texts = ["".join(bits[i] + str(r.choice(["", " ", "\n", "\t ", "\r\n", "\x0b", "\f"])) for i in r.integers(0, len(bits), 30))
+    texts = ["".join(str(bits[i]) + str(r.choice(["", " ", "\n", "\t ", "\r\n", "\x0b", "\f"])) for i in r.integers(0, len(bits), 30))
              for _ in range(300)] + ["", " ", "\n"]
+    texts += [t.replace("<|", "<") for t in texts] + ["<|ENDOFTEXT|> a"]
     encoder = token_store.Encoder(PATH)
     whole = Tokenizer.from_file(PATH)
-    for t, x in zip(texts, encoder.encode(texts)):
-        assert x.tolist() == whole.encode(t, add_special_tokens=False).ids + [2], repr(t)
+    coded = [x for t in texts for x in encoder.encode(pa.array([t]))]
+    assert coded == encoder.encode(pa.array(texts))
+    for t, x in zip(texts, coded):
+        assert np.frombuffer(x, "<u2").tolist() == whole.encode(t, add_special_tokens=False).ids + [2], repr(t)
 
 
 def check(rows, out):
