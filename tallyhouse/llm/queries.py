@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, ngram_join, sharding, token_store, toxicity
+from . import (decontaminate, exact_dedup, language, mixing, ngram_join, pseudonyms, sharding, token_store,
+               toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.digest(_documents(spark, sf_dir))
 
@@ -37,12 +42,16 @@ def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(_documents(spark, sf_dir))
 
 
+def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.digest(_documents(spark, sf_dir))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_cube, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity,
-                                 op7_parity_join,                                  op8_block_names, op10_token_store)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_mix_cube, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity, op6_spaced_seeds, op7_parity_join,
+    op8_block_names, op9_feistel_pseudonyms, op10_token_store)}
 
 SQL: dict[str, str] = {"op8_block_names": exact_dedup.SQL}
