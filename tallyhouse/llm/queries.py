@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, exact_dedup, language, mixing, ngram_join, pseudonyms, sharding, token_store,
+from . import (decontaminate, exact_dedup, language, line_dedup, mixing, ngram_join, pseudonyms, sharding, token_store,
                toxicity)
 
 
@@ -18,6 +18,10 @@ def op1_mix_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_documents(spark, sf_dir))
 
 
+def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(_documents(spark, sf_dir))
+
+
 def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.digest(_documents(spark, sf_dir))
 
@@ -51,7 +55,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_mix_cube, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity, op6_spaced_seeds, op7_parity_join,
+    op1_mix_cube, op2_fuzzy_lines, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity, op6_spaced_seeds, op7_parity_join,
     op8_block_names, op9_feistel_pseudonyms, op10_token_store)}
 
 SQL: dict[str, str] = {"op8_block_names": exact_dedup.SQL}
