@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,21 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sheltered(df: DataFrame, needed: tuple[str, ...], run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run`` applied to the ``needed`` columns, all others packed out of its way in one column
+    ``rest`` and unpacked afterwards. A column that ``run`` adds replaces an input column of its
+    name."""
+    others = [c for c in df.columns if c not in needed]
+    own = [c for c in df.columns if c in needed]
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
+    rest = [F.struct(*[quoted[c].alias(f"c{i}") for i, c in enumerate(others)]).alias("rest")] if others else []
+    out = run(df.select(*own, *rest))
+    added = [c for c in out.columns if c not in own and c != "rest"]
+    back = {c: F.col("rest").getField(f"c{i}").alias(c) for i, c in enumerate(others)} | {c: F.col(c) for c in own}
+    kept = [c for c in df.columns if c not in added and (c in others or c in out.columns)]
+    return out.select(*[back[c] for c in kept], *added)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import sheltered, staged
 
 MASKS = ((0, 1, 2, 6, 7), (0, 1, 3, 6, 7))    # token positions that a seed keeps
 SPAN = 8
@@ -115,6 +115,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *keys: str) -> Data
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without those that any item contaminates."""
+    return sheltered(documents, ("doc_id", "text"), lambda rows: _clean(rows, benchmark))
+
+
+def _clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     marked = documents.withColumn("_text", F.xxhash64("text"))
     bad = staged(contaminated(marked, benchmark, "doc_id", "_text").select("doc_id", "_text").distinct(), "bad")
     gone = bad.select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t"))

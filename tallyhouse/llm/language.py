@@ -15,8 +15,8 @@ come from fixed seeds, so reruns agree.
 
 Defined results: text that is null or has no letter gets ``und`` with score 0; without any
 training row every text does. Null languages are not learned. Repeated rows and null doc_ids are
-scored like any others; an empty table gives no rows. Input columns named like an added column
-are an error.
+scored like any others; an empty table gives no rows. Other columns pass through, but for those
+named like an added column, which it replaces.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import sheltered
+
 HIDDEN = 12            # units per direction
 WINDOW = 128           # bytes read from one zero state when predicting
 TRAIN_WINDOW = 48      # bytes per training window
@@ -256,8 +258,10 @@ def train(documents: DataFrame) -> ByteGRU | None:
 def identify(documents: DataFrame, net: ByteGRU | None, text_out: bool = True) -> DataFrame:
     """``documents`` (without text if not ``text_out``) with lang_pred and score; only the text
     is read."""
-    if clash := (set(ADDED) | {"_letters"}) & set(documents.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    return sheltered(documents, ("doc_id", "text"), lambda rows: _identify(rows, net, text_out))
+
+
+def _identify(documents: DataFrame, net: ByteGRU | None, text_out: bool) -> DataFrame:
     kept = documents if text_out else documents.drop("text")
     if net is None:
         return kept.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})

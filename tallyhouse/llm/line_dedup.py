@@ -24,8 +24,7 @@ tests/llm/test_line_dedup.py.
 
 Defined results: lines end at newline characters; null text has no lines, empty text one blank
 line; lines shorter than a shingle are one shingle; repeated rows are separate documents whose
-lines are equal; null doc_ids come last; an empty table gives no rows. Columns starting with an
-underscore must not exist in the input.
+lines are equal; null doc_ids come last; an empty table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, staged
+from .common import components, sheltered, staged
 
 SHINGLE = 8
 LINK = 80
@@ -153,8 +152,10 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with every line dropped from ``text`` that is not its component's first; a
     document left without a line has an empty text."""
-    if clash := [c for c in documents.columns if c.startswith("_")]:
-        raise ValueError(f"columns exist already: {clash}")
+    return sheltered(documents, ("doc_id", "text"), _dedup_lines)
+
+
+def _dedup_lines(documents: DataFrame) -> DataFrame:
     rows = staged(documents.withColumn("_rid", F.monotonically_increasing_id()), "line_rows")
     gone = (linked_lines(rows.select("_rid", "doc_id", "text")).filter(~F.col("_first"))
             .groupBy("_rid").agg(F.array_sort(F.collect_list("_pos")).alias("_gone")))

@@ -12,7 +12,7 @@ documents per source remains, which is solved by trying its outcomes.
 Defined results: null sources form one source, last in order; null or empty texts have size 0
 and count as documents only; a source whose documents are all empty has target 0 and nothing is
 taken; repeated rows are separate documents; an empty table gives no rows; other columns pass
-through. Names starting with an underscore and the added names must not exist in the input.
+through, but for those named like an added column, which it replaces.
 Moves are drawn by hashing the documents and a seed, never from a task's random state, so
 reruns and retried tasks agree.
 """
@@ -27,13 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, numbered, staged
+from .common import WORD, numbered, sheltered, staged
 
 BUCKET_ROWS = 20_000     # documents per flight bucket
 LANDING = 12             # units of a source that the landing settles besides the last two
 MERGE = 64               # buckets merged into one for the next flight
 MOST = 3.0               # a document is taken at most so often
-ADDED = ("size", "source_size", "target", "copies")
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
@@ -140,8 +139,10 @@ def _landings(frame: pd.DataFrame) -> pd.DataFrame:
 def mix(df: DataFrame, seed: int = 5, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
     """``df`` (doc_id, text, source, ...) with size, source_size, target and copies: how often
     the mix takes each document. Texts stay where they are while the sample is drawn."""
-    if clash := (set(ADDED) & set(df.columns)) | {c for c in df.columns if c.startswith("_")}:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    return sheltered(df, ("doc_id", "text", "source"), lambda rows: _mix(rows, seed, weights))
+
+
+def _mix(df: DataFrame, seed: int, weights: tuple[float, ...]) -> DataFrame:
     rows = staged(df.withColumn("_rid", F.monotonically_increasing_id()), "mix_rows")
     return rows.join(staged(mix_sized(_narrow(rows, seed, "_rid"), weights).drop("source", "doc_id"),
                             "mix"), "_rid").drop("_rid")
@@ -187,9 +188,8 @@ def mix_sized(sized: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) ->
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: every document as often as it is taken."""
-    return (mixed.filter("copies > 0")
-            .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select(*columns))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return mixed.filter("copies > 0").select(*columns, times.alias("a copy")).select(*columns)
 
 
 def digest(documents: DataFrame) -> DataFrame:

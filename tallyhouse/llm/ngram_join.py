@@ -24,7 +24,8 @@ is verified. A pair is skipped only if its documents are already connected.
 Defined results: A-Z are lower-cased, words are runs without ASCII white space; fewer than five
 words form one shingle; documents without words have an empty set and link with nothing;
 repeated rows are equal sets; a null doc_id is larger than any other when the smallest is sought;
-an empty table gives no rows. Columns starting with an underscore must not exist in the input.
+an empty table gives no rows. Other columns pass through, but for those named like an added
+column, which it replaces.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import components, staged
+from .common import components, sheltered, staged
 
 WORDS = 5
 LINK, WHOLE = 80, 100        # similarity LINK / WHOLE, the bounds below follow from 0.8
@@ -239,10 +241,8 @@ def _plausible(a: str, b: str):
 
 def sketch_rows(documents: DataFrame) -> DataFrame:
     """``documents`` with a row id and sketches, written to the shared folder."""
-    if clash := [c for c in documents.columns if c.startswith("_")]:
-        raise ValueError(f"columns exist already: {clash}")
     rows = documents.withColumn("_rid", F.monotonically_increasing_id())
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", " + SKETCH
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(SKETCH).fields])
     return staged(rows.mapInArrow(_sketches, schema), "sketches")
 
 
@@ -312,6 +312,10 @@ def _crossing(active: DataFrame, facts: DataFrame) -> DataFrame:
 def linked_rows(documents: DataFrame) -> DataFrame:
     """``documents`` with n_shingles, component_id (the smallest doc_id reachable by links) and
     _first: whether the row is the first of its component (by doc_id, then row id)."""
+    return sheltered(documents, ("doc_id", "text"), _linked_rows)
+
+
+def _linked_rows(documents: DataFrame) -> DataFrame:
     rows = sketch_rows(documents)
     edges, member = links(rows)
     labels = components(edges).select(F.col("id").alias("cid"), F.col("component").alias("_comp"))

@@ -25,8 +25,8 @@ Everything is an expression on the row: no shuffle, no collected values, and a t
 at its matches. The round function is SHA-256 of key, kind, tweak, round and the other half.
 
 Defined results: null texts stay null with no values; empty texts stay empty; repeated rows get
-the same pseudonyms; an empty table gives no rows; other columns pass through. Input columns
-named like an added column are an error.
+the same pseudonyms; an empty table gives no rows; other columns pass through, but for those
+named like an added column, which it replaces.
 """
 
 from __future__ import annotations
@@ -34,10 +34,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import sheltered
+
 ROUNDS = 8
 PIECE = 12          # characters permuted together; longer strings are chained piece by piece
 KEY = "set a secret key in production"
-ADDED = ("n_values", "kinds")
 
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
@@ -270,8 +271,10 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
 def pseudonymise(documents: DataFrame, key: str = KEY) -> DataFrame:
     """``documents`` with personal numbers and dates of ``text`` replaced, n_values (how many)
     and kinds (map from kind to count)."""
-    if clash := (set(ADDED) | {"_found", "_parts", "_new"}) & set(documents.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    return sheltered(documents, ("text",), lambda rows: _pseudonymise(rows, key))
+
+
+def _pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     some = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
     marked = documents.withColumn("_found", F.when(some, F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
                                   .otherwise(F.array().cast("array<string>")))

@@ -54,8 +54,14 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(_documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline     # at the top of the repository; it imports this package
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_mix_cube, op2_fuzzy_lines, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity, op6_spaced_seeds, op7_parity_join,
-    op8_block_names, op9_feistel_pseudonyms, op10_token_store)}
+    op8_block_names, op9_feistel_pseudonyms, op10_token_store, pipeline)}
 
 SQL: dict[str, str] = {"op8_block_names": exact_dedup.SQL}

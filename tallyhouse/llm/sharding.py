@@ -8,7 +8,7 @@ give the same shuffle on every run. Shard counts differ by one row at most, what
 
 Defined results: an empty table gives no rows; rows with equal or null keys are all kept (nulls
 first, ties in the order of the tie columns; identical rows are interchangeable); other columns
-pass through. The added columns may not exist yet: an input column of such a name is an error.
+pass through, but for those named like an added column, which it replaces.
 """
 
 from __future__ import annotations
@@ -19,11 +19,10 @@ import struct
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, staged
+from .common import numbered, sheltered, staged
 
 ROUNDS = 6
 STEPS = 8            # cycle steps inside one expression; the loop in ``shard`` does the rest
-ADDED = ("row_no", "position", "shard", "slot")
 
 
 def grid(n: int) -> tuple[int, int]:
@@ -87,8 +86,10 @@ def position_of(row_no: int, n: int, seed: int) -> int:
 def shard(df: DataFrame, shards: int = 8, seed: int = 17, key: str = "doc_id",
           ties: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with row_no, position, shard and slot."""
-    if clash := set(ADDED) & set(df.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    return sheltered(df, (key, *ties), lambda rows: _shard(rows, shards, seed, key, ties))
+
+
+def _shard(df: DataFrame, shards: int, seed: int, key: str, ties: tuple[str, ...]) -> DataFrame:
     rows = numbered(df, F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties])
     n = rows.count()
     placed = rows.withColumn("position", _walk(F.col("row_no"), n, seed, True) if n

@@ -12,8 +12,8 @@ Fixed seeds and hash order make reruns agree.
 
 Defined results: null or empty texts are scored from all-zero features; without labels of both
 kinds every score is 0; a document labelled several times learns from its largest label; null
-labels are ignored; repeated rows are scored alike; an empty table gives no rows. Input columns
-named like an added column are an error.
+labels are ignored; repeated rows are scored alike; an empty table gives no rows. Other columns
+pass through, but for those named like an added column, which it replaces.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import sheltered, staged
 
 LABELLED = 16_000       # labelled rows learned from at most
 MINED = 200             # words mined from labels at most
@@ -292,8 +292,10 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model | None:
 def score(documents: DataFrame, model: Model | None, text_out: bool = True) -> DataFrame:
     """``documents`` (without text if not ``text_out``) with score and predicted; only the text
     is read."""
-    if clash := set(ADDED) & set(documents.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    return sheltered(documents, ("doc_id", "text"), lambda rows: _score(rows, model, text_out))
+
+
+def _score(documents: DataFrame, model: Model | None, text_out: bool) -> DataFrame:
     kept = documents if text_out else documents.drop("text")
     if model is None:
         return kept.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})

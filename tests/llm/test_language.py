@@ -83,5 +83,8 @@ def test_awkward_rows(spark):
     assert language.digest(spark.createDataFrame([], SCHEMA)).collect() == []
     marks = spark.createDataFrame([(1, "12 345 !!", "en", "s")], SCHEMA)
     assert language.digest(marks).first().lang_pred == "und"
-    with pytest.raises(ValueError):
-        language.identify(awkward(spark, extra="score"), None)
+    net = language.train(df)
+    for model in (net, None):
+        clash = language.identify(awkward(spark, extra="score _letters"), model)
+        assert clash.columns == ["doc_id", "text", "lang", "source", "_letters", "lang_pred", "score"]
+        assert clash.filter("score = 0 and _letters = 1").count() >= 3

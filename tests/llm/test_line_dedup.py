@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import line_dedup
@@ -106,5 +105,5 @@ def test_awkward_rows(spark):
     clean = line_dedup.dedup_lines(df)
     assert clean.count() == 14 and clean.filter("text is null").count() == 1
     assert line_dedup.digest(spark.createDataFrame([], SCHEMA)).collect() == []
-    with pytest.raises(ValueError):
-        line_dedup.dedup_lines(df.withColumn("_x", F.lit(1)))
+    clash = line_dedup.dedup_lines(df.withColumn("_gone", F.lit(1)))
+    assert clash.columns == [*df.columns, "_gone"] and clash.filter("_gone = 1").count() == 14

@@ -1,7 +1,6 @@
 import re
 
 import numpy as np
-import pytest
 
 from tallyhouse.llm import mixing
 from tests.llm.docs import SCHEMA, awkward, random_docs
@@ -86,5 +85,6 @@ def test_mix_returns_whole_rows(spark):
     rows = mixing.repeated(mixed, df.columns)
     assert rows.columns == df.columns
     assert rows.count() == sum(r.copies for r in mixed.collect())
-    with pytest.raises(ValueError):
-        mixing.mix(awkward(spark, extra="target"))
+    clash = mixing.mix(awkward(spark, extra="target _rid rest"))
+    assert clash.columns == [*df.drop("n_chars").columns, "_rid", "rest", "size", "source_size", "target", "copies"]
+    assert clash.filter("_rid = 1 and rest = 1").count() == 14 and clash.filter("target <> 1").count() > 0

@@ -115,7 +115,7 @@ def test_test_table(spark):
 
 
 def test_first_rows(spark):
-    out = ngram_join.linked_rows(awkward(spark, extra="n_chars"))
-    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_shingles", "component_id", "_first"]
+    out = ngram_join.linked_rows(awkward(spark, extra="n_chars _n _first"))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "_n", "n_shingles", "component_id", "_first"]
     first = out.filter("_first").collect()
     assert len(first) == out.select("component_id", "n_shingles").filter("n_shingles > 0").distinct().count() + 3

@@ -2,7 +2,6 @@ import datetime as dt
 import random
 import re
 
-import pytest
 
 from tallyhouse.llm import pseudonyms
 from tests.llm.docs import SCHEMA, awkward, random_docs
@@ -115,8 +114,9 @@ def test_awkward_rows(spark):
     got = {r.doc_id: r for r in pseudonyms.digest(edge).collect()}
     ip = got[1].text
     assert got[2].text == f"{ip} {ip}" and got[2].n_values == 2 and got[3].text == ("x " * 20000) + ip + "\n"
-    with pytest.raises(ValueError):
-        pseudonyms.pseudonymise(awkward(spark, extra="kinds"))
+    clash = pseudonyms.pseudonymise(awkward(spark, extra="kinds _new"))
+    assert clash.columns == ["doc_id", "text", "lang", "source", "_new", "n_values", "kinds"]
+    assert clash.filter("_new = 1 and size(kinds) = 0").count() == 14
 
 
 def test_other_text_is_untouched(spark):

@@ -36,8 +36,10 @@ def test_awkward_rows(spark):
 
 def test_empty_and_clashing(spark):
     assert sharding.digest(spark.createDataFrame([], SCHEMA)).collect() == []
-    with pytest.raises(ValueError):
-        sharding.shard(awkward(spark, extra="slot"))
+    df = awkward(spark, extra="slot rest")
+    out = sharding.shard(df)
+    assert out.columns == [*df.drop("slot").columns, "row_no", "position", "shard", "slot"]
+    assert out.filter("rest = 1").count() == 14 and out.agg({"slot": "max"}).first()[0] == 1
 
 
 def test_reruns_agree(spark):

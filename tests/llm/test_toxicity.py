@@ -92,5 +92,6 @@ def test_awkward_rows(spark):
     none = toxicity.digest(df, spark.createDataFrame([], LABELS)).collect()
     assert len(none) == 14 and all(r.score == 0 and r.predicted == 0 for r in none)
     assert toxicity.digest(spark.createDataFrame([], SCHEMA), lab).collect() == []
-    with pytest.raises(ValueError):
-        toxicity.score(awkward(spark, extra="score"), None)
+    clash = toxicity.score(awkward(spark, extra="score rest"), model)
+    assert clash.columns == ["doc_id", "text", "lang", "source", "rest", "score", "predicted"]
+    assert clash.filter("score < 1 and rest = 1").count() == 14
