@@ -72,10 +72,10 @@ def seeds(benchmark: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, rows).distinct()
 
 
-def _alike(h: Column, start: Column, token: Column, j: Column) -> Column:
+def _alike(near: Column, missing: Column, token: Column, j: Column) -> Column:
     """1 if the item's token stands in the document, 0 if another does; a place beyond either
     end rules out its windows."""
-    there = F.when(start + j >= 0, F.get(h, F.greatest(start + j, F.lit(0))))
+    there = F.get(near, j - missing)
     return F.when(token.isNull() | there.isNull(), -WINDOW).when(token == there, 1).otherwise(0)
 
 
@@ -85,31 +85,36 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *keys: str) -> Data
     keys = keys or ("doc_id",)
     index = staged(seeds(benchmark), "seeds")
     blocks = max(1, -(-index.count() // SEEDS))
-    h, at = F.col("_h"), F.col("_at")
+    h = F.col("_h")
     probed = (documents.select(*keys, tokens(F.col("text")).alias("_h"))
               .withColumn("_places", _places(h, STEP)))
     hashes = [F.transform("_places", partial(_probe, h, m)) for m in range(len(MASKS))]
+    # outer: the filter that Spark infers for an inner generator would tokenize again per position
     probed = (probed.select(*keys, "_h", F.size("_places").alias("_n"), F.concat(*hashes).alias("_seeds"))
-              .select(*keys, "_h", "_n", F.posexplode("_seeds").alias("_p", "seed")))
+              .select(*keys, "_h", "_n", F.posexplode_outer("_seeds").alias("_p", "seed")))
     found = []
     for b in range(blocks):
         part = index.filter(F.pmod(F.xxhash64("seed", "item_id"), F.lit(blocks)) == b)
-        hits = (probed.join(F.broadcast(part), "seed")
-                .withColumn("_at", STEP * F.pmod(F.col("_p"), F.col("_n"))))
         # where the first compared token of the item stands in the document
-        start = at - F.coalesce("whole_at", F.lit(AROUND))
-        same = F.transform("reach", partial(_alike, h, start))
-        hits = hits.select(*keys, "item_id", "need", start.alias("_start"), same.alias("_same"))
+        start = STEP * F.pmod(F.col("_p"), F.col("_n")) - F.coalesce("whole_at", F.lit(AROUND))
+        # a slice of the document travels with the hit, never its whole token array
+        there = F.slice("_h", F.greatest(start, F.lit(0)) + 1,
+                        F.greatest(F.size("reach") + F.least(start, F.lit(0)), F.lit(0)))
+        # the hits are written: their comparison is planned on its own
+        hits = staged(probed.join(F.broadcast(part), "seed").select(
+            *keys, "item_id", "need", start.alias("_start"), "reach", there.alias("_there")), "hits")
+        missing = F.greatest(-F.col("_start"), F.lit(0))
+        same = hits.select(*keys, "item_id", "need", "_start", F.transform(
+            "reach", partial(_alike, F.col("_there"), missing)).alias("_same"))
         windows = F.transform(F.sequence(F.lit(0), F.size("_same") - F.col("need")), lambda k: F.struct(
             F.aggregate(F.slice("_same", k + 1, F.col("need")), F.lit(0), lambda a, x: a + x).alias("m"), (-k).alias("k")))
-        best = F.array_max(windows)
-        hits = hits.withColumn("_best", best)
+        best = same.select(*keys, "item_id", "need", "_start", F.array_max(windows).alias("_best"))
         enough = F.col("_best.m") >= F.when(F.col("need") < WINDOW, F.col("need")).otherwise(WINDOW - SUBSTITUTIONS)
-        found.append(hits.filter(enough).select(
-            *keys, "item_id", F.col("_best.m").alias("matched"),
-            (F.col("_start") - F.col("_best.k")).cast("long").alias("position")))
-    whole = reduce(DataFrame.union, found).groupBy(*keys, "item_id").agg(
-        F.max(F.struct("matched", (-F.col("position")).alias("p"))).alias("_b"))
+        found.append(best.select(*keys, "item_id", F.when(enough, F.col("_best.m")).alias("matched"),
+                                 (F.col("_start") - F.col("_best.k")).cast("long").alias("position")))
+    whole = reduce(DataFrame.union, found).groupBy(*keys, "item_id").agg(F.max(F.when(
+        F.col("matched").isNotNull(), F.struct("matched", (-F.col("position")).alias("p")))).alias("_b"))
+    whole = whole.filter("_b is not null")
     return whole.select(*keys, "item_id", F.col("_b.matched").alias("matched"), (-F.col("_b.p")).alias("position"))
 
 
