@@ -57,7 +57,8 @@ def identities(documents: DataFrame, block: int = BLOCK,
                                F.transform("parts", hasher).alias("hashes")), "docs")
 
     # level 0: name the distinct blocks; contents cross the network once
-    content = base.select(F.explode(_blocks(F.col("norm"), block)).alias("block"))
+    # outer: the filter Spark infers for an inner generator would cut the text a second time
+    content = base.select(F.explode_outer(_blocks(F.col("norm"), block)).alias("block"))
     distinct = content.groupBy(hasher(F.col("block")).alias("hash"), "block").agg(F.lit(1).alias("_"))
     names = staged(distinct.sortWithinPartitions("hash", "block").select(
         "hash", F.monotonically_increasing_id().alias("name")), "block_names")
