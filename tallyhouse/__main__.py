@@ -30,11 +30,12 @@ def main(argv=None) -> int:
     run.add_argument("--population", required=True, help="population JSON file or folder")
     run.add_argument("--warehouse", required=True, help="warehouse root on shared storage")
     run.add_argument("--strict", action="store_true", help="fail on out-of-range rate values")
-    run.add_argument("--splittable-csv", action="store_true",
-                     help="fields never contain line breaks: let Spark split large CSV files")
+    run.add_argument("--multi-line-csv", action="store_true",
+                     help="quoted fields contain line breaks: read each CSV file in one task")
     query = sub.add_parser("query", help="query the published marts")
     query.add_argument("--warehouse", required=True)
     query.add_argument("name_or_sql", help="q01..q19, or a SQL statement over mart.* views")
+    query.add_argument("--output", help="write the result as JSON lines to this path instead of printing it")
     query.add_argument("--country", default="AFG", help="country code for q04 / q12")
     args = parser.parse_args(argv)
 
@@ -45,7 +46,7 @@ def main(argv=None) -> int:
 
     if args.command == "run":
         feeds = R.feeds_from_files(spark, args.employment, args.unemployment, args.population,
-                                   multi_line=not args.splittable_csv)
+                                   multi_line=args.multi_line_csv)
         result = R.run_refresh(spark, feeds, args.warehouse, strict=args.strict)
         print(f"published run {result.run_id}")
         for table, rows in result.metrics.items():
@@ -65,7 +66,13 @@ def main(argv=None) -> int:
     else:
         register_views(spark, args.warehouse)
         df = spark.sql(name)
-    df.show(1000, truncate=False)
+    if args.output:
+        df.write.json(args.output)
+        print(f"written to {args.output}")
+        return 0
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():     # every row, one partition at a time
+        print("\t".join("NULL" if v is None else str(v) for v in row))
     return 0
 
 

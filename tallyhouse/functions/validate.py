@@ -74,18 +74,14 @@ def age_ok(age) -> Column:
 
 
 def rate_row_ok(year_int, sex, age, rate) -> Column:
-    """Whole staging predicate on typed columns (NULL typed value -> rejected)."""
-    return (
-        F.coalesce(year_in_range(year_int), F.lit(False))
-        & F.coalesce(sex_ok(sex), F.lit(False))
-        & F.coalesce(age_ok(age), F.lit(False))
-        & F.coalesce(rate_in_range(rate), F.lit(False))
-    )
+    """Whole staging predicate on typed columns; for a filter, which drops NULL as well as
+    false, so the plain conjuncts can be pushed into the scan."""
+    return year_in_range(year_int) & sex_ok(sex) & age_ok(age) & rate_in_range(rate)
 
 
 def iso3_ok(iso_code) -> Column:
-    return F.coalesce(_c(iso_code).rlike(ISO3_PATTERN), F.lit(False))
+    return _c(iso_code).rlike(ISO3_PATTERN)
 
 
 def population_ok(population) -> Column:
-    return F.coalesce(_c(population) > 0, F.lit(False))
+    return _c(population) > 0

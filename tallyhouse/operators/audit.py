@@ -40,8 +40,10 @@ def empty_history(spark: SparkSession) -> DataFrame:
 
 
 def latest_per_source(history: DataFrame) -> DataFrame:
-    """The most recent audit row of every source (all sources in one aggregation)."""
-    latest = F.max_by(F.struct("observed_rows", "observed_fingerprint"), F.col("observed_at"))
+    """The most recent audit row of every source (all sources in one aggregation): by
+    publication where the history knows it, then by time, equal times by run id."""
+    when = [c for c in ("published_at", "observed_at", "run_id") if c in history.columns]
+    latest = F.max_by(F.struct("observed_rows", "observed_fingerprint"), F.struct(*when))
     return (history.groupBy("source_name").agg(latest.alias("_p"))
                    .select("source_name",
                            F.col("_p.observed_rows").alias("previous_rows"),
@@ -54,7 +56,7 @@ def classify(current: DataFrame, history: DataFrame, observed_at) -> DataFrame:
     ``new_rows`` / ``removed_rows`` are net counts (growth or shrinkage of the row count).
     """
     prev = latest_per_source(history)
-    joined = current.join(F.broadcast(prev), on="source_name", how="left")
+    joined = current.join(prev, on="source_name", how="left")
     has_prev = F.col("previous_rows").isNotNull()
     delta = F.col("observed_rows") - F.col("previous_rows")
     at = observed_at if isinstance(observed_at, Column) else F.lit(observed_at)

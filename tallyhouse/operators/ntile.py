@@ -1,102 +1,47 @@
 """NTILE(n) over a global order without funnelling all rows into one task.
 
 ``ntile(n).over(Window.orderBy(...))`` has no PARTITION BY, so Spark moves every row to a
-single partition. Here the rows are cut into key ranges instead:
-
-1. a seeded random sample of the order key (``sample_per_range`` keys per range, taken as
-   a per-partition top-k on a random number, so a bounded number of rows) is sorted and
-   collected once; evenly spaced sample keys become the range bounds, fixed as literals;
-2. every row gets its range index from a binary-search CASE over the bounds (no shuffle);
-3. rows per range are counted with partial aggregation; the counts (one row per range, a
-   table whose size is bounded by the number of ranges) give each range's offset and the
-   total row count;
-4. rows are numbered within their range by a window partitioned by range index, and the
-   broadcast offsets turn local numbers into global ranks.
-
-Because the bounds are literals, the counting pass and the numbering pass always agree
-(no dependence on exchange reuse or on a sampler re-running identically), and a task
-retried after an executor loss assigns the same ranges. Buckets follow the SQL rule: with
-``N`` rows, ``big = N div n`` and ``rem = N % n``, the first ``rem`` buckets hold
-``big + 1`` rows, the rest ``big``.
-
-The order columns are ascending (NULLs first, as ``Window.orderBy``) and must form a total
-order (add a unique tie-breaker); rows that tie on the whole key stay in one range.
+single partition. Here the rows are range-partitioned and sorted once by Spark itself and
+written to the shared scratch folder with their range and their place in it. From that one
+copy the rows per range are counted (one row per range) and summed up, and the offsets give
+every row its global rank. Buckets follow the SQL rule: with ``N`` rows, ``big = N div n``
+and ``rem = N % n``, the first ``rem`` buckets hold ``big + 1`` rows, the rest ``big``.
+
+The order columns are ascending with NULLs last, as ORDER BY has it in the original system,
+and must form a total order (add a unique tie-breaker).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-MAX_RANGES = 512
-
-
-def _sort_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
+from pyspark.sql import DataFrame, Window, functions as F
 
-def _key(cols: list[Column]) -> Column:
-    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
-
-
-def _bound_literal(values, types) -> Column:
-    return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, types))])
-
-
-def _range_index(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Number of bounds strictly below ``key``, by binary search over sorted bounds."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key <= bounds[mid], _range_index(key, bounds, lo, mid)).otherwise(
-        _range_index(key, bounds, mid + 1, hi))
+from tallyhouse.session import fresh_scratch_path
 
 
 def ntile(df: DataFrame, n: int, order: Sequence, out: str = "ntile",
-          partitions: int | None = None, sample_per_range: int = 40, seed: int = 17) -> DataFrame:
+          partitions: int | None = None) -> DataFrame:
     if n < 1:
         raise ValueError("ntile needs n >= 1")
     spark = df.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(1, min(partitions, MAX_RANGES))
-    order_cols = [_sort_col(c) for c in order]
-    key_df = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order_cols)])
-    types = [f.dataType for f in key_df.schema.fields]
+    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
+    path = fresh_scratch_path(spark, "ntile")
+    sorted_rows = df.repartitionByRange(ranges, *by).sortWithinPartitions(*by).withColumns({
+        "_range": F.spark_partition_id(),
+        "_local": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    sorted_rows.write.parquet(path)
+    rows = spark.read.schema(sorted_rows.schema).parquet(path)
 
-    # 1. range bounds from a bounded random sample: a per-partition top-k on a seeded random
-    #    number, merged (never more than ranges * sample_per_range rows reach the driver)
-    bounds: list[Column] = []
-    if ranges > 1:
-        sample = key_df.orderBy(F.rand(seed)).limit(ranges * sample_per_range)
-        keys = sample.orderBy(*key_df.columns).collect()
-        picked, last = [], None
-        for j in range(1, ranges):
-            if not keys:
-                break
-            row = tuple(keys[min(len(keys) - 1, (j * len(keys)) // ranges)])
-            if row != last:
-                picked.append(row)
-                last = row
-        bounds = [_bound_literal(r, types) for r in picked]
-
-    # 2. range index per row
-    key = _key(order_cols)
-    with_range = df.withColumn("_range", _range_index(key, bounds, 0, len(bounds)))
-
-    # 3. rows per range -> offsets (one row per range)
-    counts = with_range.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_range",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
-
-    # 4. local numbering inside each range, then global rank and bucket
-    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols)) - 1
-    ranked = (with_range.withColumn("_local", local)
-              .join(F.broadcast(offsets), on="_range", how="inner"))
+    # one row per range, so at most as many as the range exchange has partitions
+    ranked = rows.join(F.broadcast(offsets), on="_range", how="inner")
     bucket = F.expr(f"""
         CASE WHEN (_offset + _local) < (_total % {n}) * (_total div {n} + 1)
              THEN (_offset + _local) div (_total div {n} + 1) + 1

@@ -25,16 +25,17 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def _unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source with a check that no key occurs twice (one statement may not update
-    a row twice); the check runs in the same pass as the aggregation."""
+    """The source with a check that no key occurs twice (one statement may not update a row
+    twice). The check is a filter on the aggregate, which no column pruning removes: a count
+    of the result, or an update of no column, runs it as well."""
     others = [c for c in source.columns if c not in keys]
     agg = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.any_value(c).alias(c) for c in others])
-    checked = F.when(F.col("_n") > 1,
-                     F.raise_error(F.lit("upsert source holds a key more than once"))
-                     ).otherwise(F.lit(True))
-    return agg.select(*keys, *others, checked.alias("_src"))
+    once = F.when(F.col("_n") > 1,
+                  F.raise_error(F.lit("upsert source holds a key more than once")).cast("boolean")
+                  ).otherwise(F.lit(True))
+    return agg.filter(once).select(*keys, *others, F.lit(True).alias("_src"))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],

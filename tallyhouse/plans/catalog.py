@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tallyhouse import schemas
 from tallyhouse.plans import refresh as R
 from tallyhouse.sources.warehouse import INGESTION, MART, STAGING, Warehouse
 
@@ -30,16 +31,15 @@ def register_views(spark: SparkSession, warehouse_root: str, run_id: str | None
     for layer in (INGESTION, STAGING, MART):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for layer, table in R.LAYER_TABLES:
-        if (layer, table) == (MART, R.AUDIT):
-            continue
         cols = _columns(wh.read(layer, table, run_id))
         path = wh.table_path(run_id, layer, table)
         spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS "
                   f"SELECT {cols} FROM parquet.`{path}`")
-    # The audit log: rows of every published run up to this one.
-    runs = wh.published_runs()
-    runs = runs[: runs.index(run_id) + 1]
-    union = " UNION ALL ".join(
-        f"SELECT * FROM parquet.`{wh.table_path(r, MART, R.AUDIT)}`" for r in runs)
-    spark.sql(f"CREATE OR REPLACE VIEW {MART}.{R.AUDIT} AS {union}")
+    # The audit log: one table, of which the rows of published runs up to this one show.
+    cols = ", ".join(f"a.`{c}`" for c in schemas.AUDIT.fieldNames())
+    spark.sql(f"""CREATE OR REPLACE VIEW {MART}.{R.AUDIT} AS
+        SELECT {cols} FROM parquet.`{wh.audit_path}` a
+        JOIN parquet.`{wh.marker_path}` m ON a.run_id = m.run_id
+        WHERE m.published_at <= (SELECT max(published_at) FROM parquet.`{wh.marker_path}`
+                                 WHERE run_id = '{run_id}')""")
     return run_id

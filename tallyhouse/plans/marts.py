@@ -11,20 +11,9 @@ from tallyhouse.functions.metrics import persons_estimate, rate_gap, rate_ratio
 SLICE_SEX = "Total"
 SLICE_AGE = "15+"
 
-# Broadcast the population side only below this many rows (one row per country in
-# practice; the check keeps a growing snapshot from being broadcast blindly).
-POPULATION_BROADCAST_MAX_ROWS = 1_000_000
-
-FACT_COLUMNS = ["iso_code", "country", "sex", "age", "year", "employment_rate",
-                "unemployment_rate", "unemployment_to_employment_ratio",
-                "unemployment_minus_employment"]
 SLICE_COLUMNS = ["iso_code", "country", "year", "employment_rate_15plus_total",
                  "unemployment_rate_15plus_total", "unemployment_to_employment_ratio",
                  "unemployment_minus_employment"]
-WITH_POPULATION_COLUMNS = ["iso_code", "country", "year", "population",
-                           "employment_rate_15plus_total", "unemployment_rate_15plus_total",
-                           "unemployment_to_employment_ratio", "unemployment_minus_employment",
-                           "employment_persons_est", "unemployment_persons_est"]
 
 
 def rates_fact(stg_employment: DataFrame, stg_unemployment: DataFrame) -> DataFrame:
@@ -60,19 +49,11 @@ def country_population(stg_population: DataFrame) -> DataFrame:
     return stg_population.select("iso_code", "country", "population")
 
 
-def total_with_population(total: DataFrame, population: DataFrame,
-                          population_rows: int | None = None) -> DataFrame:
+def total_with_population(total: DataFrame, population: DataFrame) -> DataFrame:
     """Slice joined with the population snapshot (no year in the join: one current
-    snapshot applies to every year); adds estimated persons from the rates.
-
-    ``population_rows``: the exact row count of ``population`` when known (it is, after
-    the snapshot was written). Only then, and only below the limit, the population side
-    is broadcast; otherwise the join is left to the planner (shuffle join, or AQE's
-    runtime broadcast once the real size is measured).
-    """
+    snapshot applies to every year); adds estimated persons from the rates. AQE turns the
+    shuffle join into a broadcast on the measured size of a side, never on a guess."""
     p = population.select("iso_code", "population")
-    if population_rows is not None and population_rows <= POPULATION_BROADCAST_MAX_ROWS:
-        p = F.broadcast(p)
     j = total.join(p, on="iso_code", how="inner")
     pop = F.col("population")
     return j.select(

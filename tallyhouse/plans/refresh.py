@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyhouse import schemas
+from tallyhouse.functions.constraints import not_null_columns
 from tallyhouse.functions.fingerprint import fingerprint_agg
 from tallyhouse.operators import audit as A
 from tallyhouse.plans import marts as M
@@ -48,12 +50,16 @@ class RunResult:
 
 
 def feeds_from_files(spark: SparkSession, employment_csv, unemployment_csv, population_json,
-                     multi_line: bool = True) -> Feeds:
+                     multi_line: bool = False) -> Feeds:
     return Feeds(files.read_rate_csv(spark, employment_csv, multi_line),
                  files.read_rate_csv(spark, unemployment_csv, multi_line),
                  files.read_population_json(spark, population_json))
 
 
+def _load_column(table: str) -> str:
+    return schemas.SNAPSHOT_AT if table == POPULATION else schemas.LOADED_AT
+
+
 def _count() -> F.Column:
     return F.count(F.lit(1)).alias("rows")
 
@@ -65,17 +71,18 @@ def run_refresh(spark: SparkSession, feeds: Feeds, warehouse_root: str,
 
     Raises (and publishes nothing) on: a malformed CSV row, a NULL key in a valid row,
     a non-list population payload, zero valid population rows, an out-of-range rate
-    under ``strict``. A failed run is rolled back: its directory is deleted.
+    under ``strict``. A failed run is rolled back: its directory is deleted. Every attempt
+    has a run id of its own (time and a random part), so a retry with the same ``run_ts``
+    never meets the files of an earlier run, published or not.
     """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    run_id = run_ts.strftime("%Y%m%dT%H%M%S%f")
+    run_id = f"{run_ts.strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:12]}"
     wh = Warehouse(spark, warehouse_root)
     try:
         return _run(spark, feeds, wh, run_id, run_ts, strict, hash_method)
     except BaseException:
         try:  # best effort: the original error is what the caller must see
-            if run_id not in wh.published_runs():
-                wh.discard(run_id)
+            wh.discard(run_id)
         except Exception:  # noqa: BLE001
             pass
         raise
@@ -92,13 +99,17 @@ def _run(spark: SparkSession, feeds: Feeds, wh: Warehouse, run_id: str, run_ts:
         metrics = [_count()]
         if fingerprint_cols is not None:
             metrics.append(fingerprint_agg(*fingerprint_cols, method=hash_method).alias("fp"))
-        wh.write(df, run_id, layer, table, obs, *metrics)
+        checked = not_null_columns(df, schemas.REQUIRED.get(table, ()), table)
+        if layer != INGESTION:
+            checked = checked.withColumn(_load_column(table), at)
+        wh.write(checked, run_id, layer, table, obs, *metrics)
         got = obs.get
         result.metrics[table] = int(got["rows"])
         if fingerprint_cols is not None:
             result.snapshots[table] = (int(got["rows"]), int(got["fp"]))
         result.seconds[table] = round(time.perf_counter() - started, 3)
-        return wh.read(layer, table, run_id, schema=df.schema)
+        back = wh.read(layer, table, run_id, schema=checked.schema)
+        return back if layer == INGESTION else back.drop(_load_column(table))
 
     six = schemas.RATE_FILE_COLUMNS
     # Ingestion: land both rate feeds as text, plus the validated population objects.
@@ -122,13 +133,15 @@ def _run(spark: SparkSession, feeds: Feeds, wh: Warehouse, run_id: str, run_ts:
         UNEMPLOYMENT_SOURCE: result.snapshots[RAW_UNEMPLOYMENT],
         POPULATION_SOURCE: result.snapshots[RAW_POPULATION],
     })
-    write(A.classify(current, wh.audit_history(), at), MART, AUDIT)
+    audit = not_null_columns(A.classify(current, wh.audit_history(), at), schemas.REQUIRED[AUDIT], AUDIT)
+    counted = Observation(AUDIT)
+    wh.write_audit(audit.observe(counted, _count()), run_id)
+    result.metrics[AUDIT] = int(counted.get["rows"])
 
-    # Population staging and marts; the snapshot's exact size decides the broadcast.
+    # Population staging and marts.
     stg_p = write(S.stage_population(raw_p), STAGING, STG_POPULATION)
     pop = write(M.country_population(stg_p), MART, POPULATION)
-    write(M.total_with_population(total, pop, population_rows=result.metrics[POPULATION]),
-          MART, WITH_POPULATION)
+    write(M.total_with_population(total, pop), MART, WITH_POPULATION)
 
     wh.publish(run_id, run_ts)
     return result
@@ -139,24 +152,19 @@ def published_marts(spark: SparkSession, warehouse_root: str, run_id: str | None
     from tallyhouse.plans.queries import Marts
     wh = Warehouse(spark, warehouse_root)
     run_id = run_id or wh.current_run()
-    return Marts(wh.read(MART, FACT, run_id), wh.read(MART, TOTAL, run_id),
-                 wh.read(MART, POPULATION, run_id), wh.read(MART, WITH_POPULATION, run_id))
+    def mart(table: str) -> DataFrame:
+        return wh.read(MART, table, run_id).drop(_load_column(table))
+
+    return Marts(mart(FACT), mart(TOTAL), mart(POPULATION), mart(WITH_POPULATION))
 
 
 LAYER_TABLES = [
     (INGESTION, RAW_EMPLOYMENT), (INGESTION, RAW_UNEMPLOYMENT), (INGESTION, RAW_POPULATION),
     (STAGING, STG_EMPLOYMENT), (STAGING, STG_UNEMPLOYMENT), (STAGING, STG_POPULATION),
-    (MART, FACT), (MART, TOTAL), (MART, POPULATION), (MART, WITH_POPULATION), (MART, AUDIT),
+    (MART, FACT), (MART, TOTAL), (MART, POPULATION), (MART, WITH_POPULATION),
 ]
 
 
-def table_counts(spark: SparkSession, warehouse_root: str, run_id: str | None = None) -> DataFrame:
-    """Row count of every table of a published run (one row per table)."""
-    wh = Warehouse(spark, warehouse_root)
-    run_id = run_id or wh.current_run()
-    out = None
-    for layer, table in LAYER_TABLES:
-        c = wh.read(layer, table, run_id).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(table).alias("table_name"), "row_count")
-        out = c if out is None else out.unionByName(c)
-    return out
+def metrics_table(spark: SparkSession, result: RunResult) -> DataFrame:
+    """The row counts a run observed while it wrote its tables (one row per table)."""
+    return spark.createDataFrame(sorted(result.metrics.items()), "table_name string, row_count bigint")

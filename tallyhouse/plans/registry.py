@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse import schemas
 from tallyhouse.functions import validate as V
 from tallyhouse.functions.constraints import not_null_columns
+from tallyhouse.functions.fingerprint import row_hash
 from tallyhouse.operators import audit as A
 from tallyhouse.operators.ntile import ntile
-from tallyhouse.operators.upsert import insert_ignore, upsert
+from tallyhouse.operators.upsert import insert_ignore, upsert, upsert_ordered
 from tallyhouse.plans import marts as M
 from tallyhouse.plans import staging as S
-from tallyhouse.plans.layers import FIXED_RUN_TS, build_layers, feeds_from_tables, layers_from_tables
-from tallyhouse.session import fresh_scratch_path, shared_dir
+from tallyhouse.plans.layers import (FIXED_RUN_TS, build_layers, feeds_from_tables,
+                                     layers_from_tables, written_marts)
+from tallyhouse.session import fresh_scratch_path
 from tallyhouse.sources import files, testfeeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,26 +43,26 @@ def _raw_employment(spark, sf_dir):
 def filter_year_regex(spark, sf_dir):
     """Raw employment rows whose year text is exactly four digits."""
     return _raw_employment(spark, sf_dir).filter(
-        F.coalesce(V.year_text_ok("year"), F.lit(False))).select(*SIX)
+        V.year_text_ok("year")).select(*SIX)
 
 
 def filter_value_regex(spark, sf_dir):
     """Raw employment rows whose value text is a plain unsigned decimal."""
     return _raw_employment(spark, sf_dir).filter(
-        F.coalesce(V.rate_text_ok("obs_value"), F.lit(False))).select(*SIX)
+        V.rate_text_ok("obs_value")).select(*SIX)
 
 
 def filter_range(spark, sf_dir):
     """Rows whose typed year is in 1991-2025 and typed, rounded rate in 0-100."""
     raw = _raw_employment(spark, sf_dir)
     y, r = V.typed_year("year"), V.typed_rate("obs_value")
-    return raw.filter(F.coalesce(V.year_in_range(y) & V.rate_in_range(r), F.lit(False))).select(*SIX)
+    return raw.filter(V.year_in_range(y) & V.rate_in_range(r)).select(*SIX)
 
 
 def filter_domain(spark, sf_dir):
     """Rows whose sex and age are in the allowed sets (case-sensitive)."""
     raw = _raw_employment(spark, sf_dir)
-    return raw.filter(F.coalesce(V.sex_ok("sex") & V.age_ok("age"), F.lit(False))).select(*SIX)
+    return raw.filter(V.sex_ok("sex") & V.age_ok("age")).select(*SIX)
 
 
 def assert_not_null_query(spark, sf_dir):
@@ -96,17 +98,29 @@ def audit_snapshots(spark, sf_dir):
 def audit_change_log(spark, sf_dir):
     """Four deliveries of the employment file audited in turn; all four change types.
 
-    Each run appends its audit row to the history the next run compares with; the
-    history is checkpointed after every run, as the audit table is written per run.
+    The deliveries differ by a condition on the same rows, so one pass over the feed takes
+    all four snapshots (conditional count and XOR), and each is classified against the one
+    before it as the latest row of the history.
     """
-    shared_dir(spark)  # checkpoints go to the shared folder
+    ok = F.col("_pos.o_orderkey")
+    raw = testfeeds.employment_feed(spark, sf_dir)
+    edited = F.when(ok == 1, F.lit("99.999")).otherwise(F.col("obs_value"))
+    h = row_hash(*SIX, method="md5")
+    h_edited = row_hash(*SIX[:5], edited, method="md5")
+    runs = {"A": (ok % 10 != 0, h), "B": (F.lit(True), h), "C": (F.lit(True), h_edited),
+            "D": (F.lit(True), h_edited)}
+    one = raw.agg(*[x for k, (keep, hashed) in runs.items() for x in (
+        F.count(F.when(keep, 1)).alias(f"n{k}"),
+        F.coalesce(F.bit_xor(F.when(keep, hashed)), F.lit(0)).alias(f"f{k}"))])
+    path = fresh_scratch_path(spark, "audit-snapshots")
+    one.write.parquet(path)
+    snaps = spark.read.schema(one.schema).parquet(path)
     history = A.empty_history(spark)
     base = dt.datetime(2025, 1, 1)
-    for i, run in enumerate("ABCD"):
-        raw = S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, run), base)
-        snap = A.snapshot(raw, "occupazione_csv", SIX, method="md5")
-        new = A.classify(snap, history, base + dt.timedelta(minutes=i))
-        history = history.unionByName(new).checkpoint()
+    for i, k in enumerate(runs):
+        snap = snaps.select(F.lit("occupazione_csv").alias("source_name"),
+                            F.col(f"n{k}").alias("observed_rows"), F.col(f"f{k}").alias("observed_fingerprint"))
+        history = history.unionByName(A.classify(snap, history, base + dt.timedelta(minutes=i)))
     return history.drop("observed_at")
 
 
@@ -139,8 +153,7 @@ def upsert_do_update(spark, sf_dir):
 def ntile_distributed(spark, sf_dir):
     """NTILE(7) over the whole rate fact by employment rate (keys break ties), computed
     with range partitioning instead of a single-partition window."""
-    fact = layers_from_tables(spark, sf_dir).fact.select(
-        "iso_code", "sex", "age", "year", "employment_rate")
+    fact = written_marts(spark, sf_dir).fact.select("iso_code", "sex", "age", "year", "employment_rate")
     return ntile(fact, 7, ["employment_rate", "iso_code", "sex", "age", "year"], out="bucket")
 
 
@@ -161,11 +174,11 @@ def json_source(spark, sf_dir):
 
 
 def run_metrics(spark, sf_dir):
-    """One full refresh of the test feeds; row counts of every published table."""
+    """One full refresh of the test feeds; the row count of every table as the run observed
+    it while writing."""
     from tallyhouse.plans import refresh as R
     root = fresh_scratch_path(spark, "warehouse")
-    R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root, FIXED_RUN_TS)
-    return R.table_counts(spark, root)
+    return R.metrics_table(spark, R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root, FIXED_RUN_TS))
 
 
 def full_refresh(spark, sf_dir):
@@ -177,7 +190,100 @@ def full_refresh(spark, sf_dir):
     for i in range(2):
         R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root,
                       FIXED_RUN_TS + dt.timedelta(days=i), hash_method="md5")
-    return Warehouse(spark, root).audit_history().drop("observed_at")
+    Warehouse(spark, root).retain(1)       # the audit log outlives superseded tables
+    return Warehouse(spark, root).audit_history().drop("observed_at", "run_id", "published_at")
+
+
+def refresh_retry(spark, sf_dir):
+    """A published run, then a retry with the same run time that fails after landing: the
+    published fact is unchanged."""
+    from tallyhouse.plans import refresh as R
+    root = fresh_scratch_path(spark, "warehouse")
+    feeds = feeds_from_tables(spark, sf_dir)
+    R.run_refresh(spark, feeds, root, FIXED_RUN_TS)
+    feeds.employment = feeds.employment.filter(F.col("_pos.o_orderkey") % 10 == 0)
+    feeds.population_objects = feeds.population_objects.filter(F.lit(False))
+    try:
+        R.run_refresh(spark, feeds, root, FIXED_RUN_TS)
+    except RuntimeError:
+        return R.published_marts(spark, root).fact
+    raise AssertionError("a refresh without population rows must fail")
+
+
+def load_times(spark, sf_dir):
+    """Rows and distinct load times of the published tables of one run: one time per run."""
+    from tallyhouse.plans import refresh as R
+    from tallyhouse.sources.warehouse import Warehouse
+    root = fresh_scratch_path(spark, "warehouse")
+    R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root, FIXED_RUN_TS)
+    wh = Warehouse(spark, root)
+    run, out = wh.current_run(), None
+    for layer, table in R.LAYER_TABLES:
+        df = wh.read(layer, table, run)
+        at = next(c for c in df.columns if c.endswith("_at"))
+        one = df.agg(F.count(F.lit(1)).alias("rows_in_table"), F.min(at).alias("first_load"),
+                     F.max(at).alias("last_load")).select(F.lit(table).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def upsert_ordered_query(spark, sf_dir):
+    """Population objects applied one after another, in arrival order, to the snapshot that
+    holds every second customer's objects: the last valid object per code wins."""
+    objects = testfeeds.population_objects(spark, sf_dir)
+    valid = objects.filter(V.population_ok("population")).select(
+        F.col("code").alias("iso_code"), F.col("name").alias("country"), "population", "_pos")
+    target = S.validate_population(objects.filter(F.col("_pos.c_custkey") % 2 == 0))
+    return upsert_ordered(target.select("iso_code", "country", "population"), valid, ["iso_code"], ["_pos"])
+
+
+def not_null_violations(spark, sf_dir):
+    """Valid rows that would abort a load, counted per NOT NULL column, on a feed that has
+    lost keys and countries."""
+    ok = F.col("_pos.o_orderkey")
+    feed = testfeeds.employment_feed(spark, sf_dir).withColumns({
+        "iso_code": F.when(ok % 11 == 0, F.lit(None)).otherwise(F.col("iso_code")),
+        "country": F.when(ok % 13 == 0, F.lit(None)).otherwise(F.col("country"))})
+    valid = feed.select("*", V.typed_year("year").alias("y"), V.typed_rate("obs_value").alias("r")).filter(
+        V.rate_row_ok("y", "sex", "age", "r"))
+    return valid.agg(F.count(F.lit(1)).alias("valid_rows"),
+                     *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in ("iso_code", "country")])
+
+
+# The same operators on marts that grow with the data: codes from the customer key.
+def wide_mart_rates(spark, sf_dir):
+    """The 4-key join and its metrics over 17,576 codes."""
+    return written_marts(spark, sf_dir, wide=True).fact
+
+
+def wide_top_gap(spark, sf_dir):
+    """Latest year: top 10 rows of the wide fact by gap."""
+    from tallyhouse.plans.queries import q06
+    return q06(written_marts(spark, sf_dir, wide=True))
+
+
+def wide_ntile(spark, sf_dir):
+    """NTILE(7) over the whole wide fact."""
+    fact = written_marts(spark, sf_dir, wide=True).fact.select("iso_code", "sex", "age", "year", "employment_rate")
+    return ntile(fact, 7, ["employment_rate", "iso_code", "sex", "age", "year"], out="bucket")
+
+
+def wide_upsert_do_nothing(spark, sf_dir):
+    """Insert-or-ignore of delivery B into the staging of delivery A, wide codes."""
+    a, b = (S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, r, wide=True), FIXED_RUN_TS) for r in "AB")
+    return insert_ignore(S.stage_rates(a, "employment_rate"), S.validated_rates(b, "employment_rate"),
+                         schemas.RATE_KEYS, ["_pos"])
+
+
+def wide_upsert_do_update(spark, sf_dir):
+    """Insert-or-update of the wide fact from delivery B into that from delivery A: rates
+    and metrics update, the country does not."""
+    feeds = feeds_from_tables(spark, sf_dir, wide=True)
+    stg_u = S.stage_rates(S.land_rates(feeds.unemployment, FIXED_RUN_TS), "unemployment_rate")
+    facts = [M.rates_fact(S.stage_rates(S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, r, wide=True), FIXED_RUN_TS),
+                                        "employment_rate"), stg_u) for r in "AB"]
+    update = [c for c in facts[0].columns if c not in (*schemas.RATE_KEYS, "country")]
+    return upsert(facts[0], facts[1], schemas.RATE_KEYS, update)
 
 
 def queries() -> dict[str, Query]:
@@ -206,4 +312,13 @@ def queries() -> dict[str, Query]:
         "json_source": json_source,
         "run_metrics": run_metrics,
         "full_refresh": full_refresh,
+        "refresh_retry": refresh_retry,
+        "load_times": load_times,
+        "upsert_ordered": upsert_ordered_query,
+        "not_null_violations": not_null_violations,
+        "wide_mart_rates": wide_mart_rates,
+        "wide_top_gap": wide_top_gap,
+        "wide_ntile": wide_ntile,
+        "wide_upsert_do_nothing": wide_upsert_do_nothing,
+        "wide_upsert_do_update": wide_upsert_do_update,
     }

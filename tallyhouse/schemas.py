@@ -46,6 +46,26 @@ def staged_rate(value_column: str) -> T.StructType:
     ])
 
 
+# Load time column of the staging and mart tables, one value per run.
+LOADED_AT = "etl_loaded_at"
+SNAPSHOT_AT = "snapshot_loaded_at"
+
+# NOT NULL columns per table, checked when the table is written.
+_RATE = ["iso_code", "country", "sex", "age", "year"]
+_SLICE = ["iso_code", "country", "year", "employment_rate_15plus_total", "unemployment_rate_15plus_total"]
+REQUIRED = {
+    "population_raw": ["iso_code", "country", "population"],
+    "employment_stg": [*_RATE, "employment_rate"],
+    "unemployment_stg": [*_RATE, "unemployment_rate"],
+    "population_stg": ["iso_code", "country", "population"],
+    "country_year_sex_age_rates": [*_RATE, "employment_rate", "unemployment_rate"],
+    "country_year_total_15plus": _SLICE,
+    "country_population": ["iso_code", "country", "population"],
+    "country_year_total_15plus_with_population": [*_SLICE, "population"],
+    "etl_source_audit": ["source_name", "observed_rows", "observed_fingerprint", "change_type"],
+}
+
+
 AUDIT = T.StructType([
     T.StructField("source_name", T.StringType(), False),
     T.StructField("observed_rows", T.LongType(), False),

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +37,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The shared scratch folder of the cluster (``spark.checkpoint.dir``).
 
-    Intermediate tables, checkpoints and landed test files go here. The setting is read
-    from the session; only when it is unset (local runs, tests) a private folder is
-    created and registered, so later calls and ``DataFrame.checkpoint`` agree on it.
+    Intermediate tables, checkpoints and landed test files go here. The setting is read from
+    the session. Only a local session (tests, bench) may leave it unset: a private folder is
+    then created and registered. On any other master an unset folder is an error, because a
+    machine-local one would be another folder on every executor.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     context = None
@@ -50,24 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
     if not current and context is not None:
         current = context.getCheckpointDir()
     if not current:
+        if context is None or not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tallyhouse-")
         spark.conf.set("spark.checkpoint.dir", current)
-        if context is not None:
-            context.setCheckpointDir(current)
+        context.setCheckpointDir(current)
     return current.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared scratch folder."""
-    return "/".join([shared_dir(spark), *parts])
-
-
 def fresh_scratch_path(spark: SparkSession, prefix: str) -> str:
-    """A new, unused path below the shared scratch folder (no reuse between runs)."""
-    base = shared_dir(spark)
-    if base.startswith("file:") or "://" not in base:
-        local = base[5:] if base.startswith("file:") else base
-        os.makedirs(local, exist_ok=True)
-        return tempfile.mkdtemp(prefix=prefix + "-", dir=local)
-    import uuid
-    return f"{base}/{prefix}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared scratch folder; whoever writes there creates it."""
+    return f"{shared_dir(spark)}/{prefix}-{uuid.uuid4().hex}"

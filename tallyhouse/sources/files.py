@@ -7,18 +7,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse import schemas
 
 
-def read_rate_csv(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
+def read_rate_csv(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
     """Rate CSV files -> six text columns plus ``_pos`` (file, block, row sequence).
 
     * header line skipped, columns taken by position (``enforceSchema``), never inferred;
     * ``""`` is the empty string while an unquoted empty field is NULL (``nullValue`` set
       to a character that never occurs keeps the two apart);
-    * doubled quotes escape a quote; quoted fields may hold line breaks (``multi_line``);
-    * a row with the wrong number of fields fails the job (FAILFAST).
+    * doubled quotes escape a quote;
+    * a row with the wrong number of fields fails the job (FAILFAST), also when a query reads
+      one column or only counts: ``columnPruning`` is off, every row is parsed in full.
 
-    With ``multi_line`` every file is one task: land large volumes as many files, or pass
-    ``multi_line=False`` when the producer guarantees no line breaks inside fields, which
-    lets Spark split files. ``_pos`` orders rows as they appear in the files.
+    Files are split. ``multi_line=True`` is the exception for producers that put line breaks
+    inside quoted fields: every file is then one task. Without it such a row has the wrong
+    number of fields, so it fails the job. ``_pos`` orders rows as they appear in the files.
     """
     reader = (spark.read.schema(schemas.RATE_FILE)
               .option("header", True)
@@ -27,6 +28,7 @@ def read_rate_csv(spark: SparkSession, path, multi_line: bool = True) -> DataFra
               .option("escape", '"')
               .option("multiLine", multi_line)
               .option("nullValue", "\u0000")
+              .option("columnPruning", False)
               .option("mode", "FAILFAST")
               .option("encoding", "UTF-8"))
     df = reader.csv(path)
@@ -101,6 +103,6 @@ def write_population_json(objects: DataFrame, path: str, rows_per_file: int = 50
     per_file = ranged.groupBy("_f").agg(F.sort_array(F.collect_list(F.struct(
         "_pos", F.struct("alpha3Code", "name", "population").alias("o")))).alias("l"))
     # One directory per document, named so that path order is element order.
-    docs = per_file.select(F.lpad(F.col("_f").cast("string"), 6, "0").alias("doc"),
+    docs = per_file.select(F.format_string("%019d", F.col("_f")).alias("doc"),
                            F.to_json(F.col("l.o")).alias("value"))
     docs.write.mode("overwrite").partitionBy("doc").text(path)

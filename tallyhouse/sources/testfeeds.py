@@ -11,14 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyhouse.sources.spread import spread_if_undersplit
 
-
-def table(spark: SparkSession, sf_dir: str, name: str, columns, key: str) -> DataFrame:
-    """A benchmark table pruned to ``columns``; ``key`` is the column it is joined on next,
-    used to spread the table when it arrives in too few splits."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
-    return spread_if_undersplit(df, [key])
+def table(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
+    """A benchmark table pruned to ``columns``. How it is spread is left to the planner: an
+    explicit repartition would keep AQE from splitting a hot key."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
 def _iso(nationkey: Column) -> Column:
@@ -34,35 +31,36 @@ def _obs(amount: Column, modulus: int) -> Column:
                     F.lpad((k % 1000).cast("string"), 3, "0"))
 
 
-# The nation dimension has 25 rows at every scale factor; it is broadcast only after its
-# row count has been checked against this limit.
-NATION_BROADCAST_MAX_ROWS = 10_000
+def _iso26(key: Column) -> Column:
+    """Three letters counting in base 26: 17,576 codes, so that marts grow with the data."""
+    letter = lambda k: F.char(F.lit(65) + F.pmod(k, F.lit(26)))
+    return F.concat(letter(F.floor(key / 676)), letter(F.floor(key / 26)), letter(key))
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation dimension, broadcast when its counted size is within the limit."""
-    n = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey", "n_name")
-    return F.broadcast(n) if n.count() <= NATION_BROADCAST_MAX_ROWS else n
+    """The nation dimension; whether it is broadcast is decided on its measured size."""
+    return table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
 
 
-def order_keys(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None) -> DataFrame:
+def order_keys(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None,
+               wide: bool = False) -> DataFrame:
     """One row per order with the natural key columns of both rate feeds.
 
-    orders and customer both grow with the data, so they meet in a shuffle (sort-merge)
-    join on the customer key, never a broadcast sized by a file-size guess.
+    ``wide`` takes the code from the customer key instead of the nation: 17,576 codes, so
+    that the rate fact grows with the data instead of saturating at 25 countries.
     """
     o = table(spark, sf_dir, "orders", [
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
-        "o_totalprice"], key="o_custkey")
-    c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"], key="c_custkey")
+        "o_totalprice"])
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     n = nation if nation is not None else nations(spark, sf_dir)
     cn = c.join(n, c.c_nationkey == F.col("n_nationkey"))
     ok = F.col("o_orderkey")
-    joined = o.join(cn.hint("merge"), o.o_custkey == cn.c_custkey)
+    joined = o.join(cn, o.o_custkey == cn.c_custkey)
     return joined.select(
         ok,
         "o_totalprice",
-        _iso(F.col("c_nationkey")).alias("iso_code"),
+        (_iso26(F.col("c_custkey")) if wide else _iso(F.col("c_nationkey"))).alias("iso_code"),
         F.concat(F.col("n_name"), F.when(ok % 2 == 1, F.lit(" *")).otherwise(F.lit(""))
                  ).alias("country"),
         F.when(F.col("o_orderstatus") == "F", "Female")
@@ -77,9 +75,6 @@ def order_keys(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None
     )
 
 
-RATE_COLUMNS = ["iso_code", "country", "sex", "age", "year", "obs_value"]
-
-
 def employment_feed(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """Employment rate rows: one per order, arrival order = order key."""
     k = keys if keys is not None else order_keys(spark, sf_dir)
@@ -96,9 +91,8 @@ def unemployment_feed(spark: SparkSession, sf_dir: str, keys: DataFrame | None =
     """Unemployment rate rows: one per line item, keyed by its order."""
     k = (keys if keys is not None else order_keys(spark, sf_dir)).drop("o_totalprice")
     li = table(spark, sf_dir, "lineitem", [
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
-        key="l_orderkey")
-    j = li.join(k.hint("merge"), li.l_orderkey == k.o_orderkey)
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"])
+    j = li.join(k, li.l_orderkey == k.o_orderkey)
     pos = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                    "l_extendedprice", "l_quantity")
     return j.select("iso_code", "country", "sex", "age", "year",
@@ -109,14 +103,14 @@ def unemployment_feed(spark: SparkSession, sf_dir: str, keys: DataFrame | None =
 def population_objects(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None) -> DataFrame:
     """Population API objects (already field-extracted): one per customer.
 
-    Nation 24 gets a code that is not ISO-3 shaped; nation 7 (``NAH``) has no population
-    entry at all, so the inner join of the slice with population drops that country.
+    Nation 24 gets a code that is not ISO-3 shaped; nation 7 (``NAH`` in the rates) a code
+    that no rate has, so the inner join of the slice with population drops that country.
     """
-    c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"], key="c_custkey")
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
     n = nation if nation is not None else nations(spark, sf_dir)
-    j = c.join(n, c.c_nationkey == F.col("n_nationkey")).filter(
-        F.col("c_nationkey") != 7)
-    code = F.when(F.col("c_nationkey") == 24, F.lit("x24")).otherwise(_iso(F.col("c_nationkey")))
+    j = c.join(n, c.c_nationkey == F.col("n_nationkey"))
+    nation = F.col("c_nationkey")
+    code = F.when(nation == 24, F.lit("x24")).when(nation == 7, F.lit("XXH")).otherwise(_iso(nation))
     return j.select(
         code.alias("code"),
         F.col("n_name").alias("name"),
@@ -125,13 +119,13 @@ def population_objects(spark: SparkSession, sf_dir: str, nation: DataFrame | Non
     )
 
 
-def audit_run_feed(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+def audit_run_feed(spark: SparkSession, sf_dir: str, run: str, wide: bool = False) -> DataFrame:
     """Four successive deliveries of the employment file for the audit fixture.
 
     A: orders whose key is not a multiple of 10; B: all; C: all, one value edited;
     D: same as C.
     """
-    feed = employment_feed(spark, sf_dir)
+    feed = employment_feed(spark, sf_dir, order_keys(spark, sf_dir, wide=wide))
     ok = F.col("_pos.o_orderkey")
     if run == "A":
         return feed.filter(ok % 10 != 0)

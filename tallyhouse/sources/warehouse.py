@@ -1,19 +1,22 @@
 """Warehouse layout on shared storage, with all-or-nothing publication of runs.
 
     <root>/runs/run_id=<id>/<layer>/<table>/     every table of one run (Parquet)
+    <root>/audit/run_id=<id>/                   its rows of the audit log
     <root>/_published/run_id=<id>/              one marker row per published run
 
-A run writes all of its tables first and appends its marker last; readers resolve the
-latest marker, so a run that fails half way is never visible and the previous run stays
-readable. The audit history is the union of the audit rows of published runs only, so
-audit rows become visible together with their run, and only then.
+A run writes all of its tables first and appends its marker last; readers resolve the marker
+published last, so a run that fails half way is never visible and the previous run stays
+readable. Nothing that exists is ever written again: run ids are unique and writes refuse an
+existing path. The audit log is one table outside the run folders, of which readers see the
+rows of published runs (a semi-join with the markers); it outlives the tables of superseded
+runs, which ``retain`` deletes.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tallyhouse import schemas
 
@@ -40,6 +43,9 @@ COLUMN_ORDER = {
 }
 
 
+MARKER = "run_ts timestamp_ntz, published_at timestamp_ntz, run_id string"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's Hadoop file system client (or, without a
     JVM gateway as under Spark Connect, by trying to read the path)."""
@@ -73,58 +79,90 @@ class Warehouse:
     def marker_path(self) -> str:
         return f"{self.root}/_published"
 
+    @property
+    def audit_path(self) -> str:
+        return f"{self.root}/audit"
+
     # ----- writing -----
     def write(self, df: DataFrame, run_id: str, layer: str, table: str,
               observation: Observation | None = None, *metrics) -> str:
         """Write one table of a run; ``metrics`` are observed during the same pass."""
         path = self.table_path(run_id, layer, table)
+        by_year = table in YEAR_PARTITIONED
+        if by_year:
+            # One exchange that AQE sizes by bytes: few files per year, hot years split.
+            df = df.hint("rebalance", "year")
         if observation is not None:
             # No exchange between the observation and the write: the metrics are taken in
             # the result stage, where a retried task's update is applied only once.
             df = df.observe(observation, *metrics)
-        if table in YEAR_PARTITIONED:
-            # Sorted within tasks by year then country: one file per year per task, and
-            # row groups clustered by iso_code for the single-country queries.
-            (df.sortWithinPartitions("year", "iso_code").write.mode("overwrite")
+        if by_year:
+            # Row groups clustered by iso_code for the single-country queries.
+            (df.sortWithinPartitions("year", "iso_code").write.mode("errorifexists")
                .partitionBy("year").parquet(path))
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("errorifexists").parquet(path)
         return path
 
-    def discard(self, run_id: str) -> bool:
-        """Delete the files of an unpublished run (the rollback of a failed run).
-        Refuses to touch a published run. Returns False when deletion is unavailable."""
-        if run_id in self.published_runs():
-            raise ValueError(f"run {run_id} is published")
+    def write_audit(self, rows: DataFrame, run_id: str) -> None:
+        """Append a run's audit rows; they show once the run is published."""
+        rows.write.mode("errorifexists").parquet(f"{self.audit_path}/run_id={run_id}")
+
+    def _delete(self, path: str) -> bool:
         try:
             jvm = self.spark.sparkContext._jvm
-            hpath = jvm.org.apache.hadoop.fs.Path(self.run_path(run_id))
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
             fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            if fs.exists(hpath):
-                fs.delete(hpath, True)
-            return True
-        except Exception:  # noqa: BLE001 - no JVM gateway: leave the unpublished files
+            return bool(fs.delete(hpath, True)) if fs.exists(hpath) else True
+        except Exception:  # noqa: BLE001 - no JVM gateway: leave the files
             return False
 
-    def publish(self, run_id: str, published_at: dt.datetime) -> None:
-        marker = self.spark.createDataFrame(
-            [(run_id, published_at)], "run_id string, published_at timestamp_ntz")
-        marker.write.mode("append").partitionBy("run_id").parquet(self.marker_path)
+    def discard(self, run_id: str) -> bool:
+        """Delete the files of an unpublished run (the rollback of a failed run).
+        Refuses to touch a published run. Returns False when deletion is unavailable."""
+        if self.is_published(run_id):
+            raise ValueError(f"run {run_id} is published")
+        return self._delete(self.run_path(run_id)) & self._delete(f"{self.audit_path}/run_id={run_id}")
+
+    def retain(self, keep: int = 1) -> list[str]:
+        """Delete the tables of all published runs but the last ``keep``; their audit rows
+        stay. Looks at the run folders that still exist, not at every run ever made."""
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(f"{self.root}/runs")
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        present = [x.getPath().getName().removeprefix("run_id=") for x in fs.listStatus(hpath)]
+        order = (self.markers().filter(F.col("run_id").isin(present))
+                 .orderBy(F.desc("published_at"), F.desc("run_id")).select("run_id").collect())
+        old = [r.run_id for r in order[max(keep, 1):]]
+        for run_id in old:
+            self._delete(self.run_path(run_id))
+        return old
+
+    def publish(self, run_id: str, run_ts: dt.datetime) -> None:
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        marker = self.spark.createDataFrame([(run_ts, now)], "run_ts timestamp_ntz, published_at timestamp_ntz")
+        marker.coalesce(1).write.mode("errorifexists").parquet(f"{self.marker_path}/run_id={run_id}")
 
     # ----- reading -----
-    def published_runs(self) -> list[str]:
-        """Published run ids, oldest first (one small marker row per run)."""
+    def markers(self) -> DataFrame:
+        """One row per published run: run_ts, published_at, run_id."""
         if not path_exists(self.spark, self.marker_path):
-            return []
-        markers = self.spark.read.parquet(self.marker_path)
-        rows = markers.select("run_id", "published_at").orderBy("published_at", "run_id").collect()
-        return [r.run_id for r in rows]
+            return self.spark.createDataFrame([], MARKER)
+        return self.spark.read.schema(MARKER).parquet(self.marker_path)
+
+    def is_published(self, run_id: str) -> bool:
+        return not self.markers().filter(F.col("run_id") == run_id).isEmpty()
+
+    def published_runs(self) -> list[str]:
+        """Published run ids, oldest publication first (for inspection)."""
+        return [r.run_id for r in self.markers().orderBy("published_at", "run_id").collect()]
 
     def current_run(self) -> str:
-        runs = self.published_runs()
-        if not runs:
+        """The run published last."""
+        last = self.markers().agg(F.max_by("run_id", F.struct("published_at", "run_id"))).first()[0]
+        if last is None:
             raise RuntimeError(f"no published run under {self.root}")
-        return runs[-1]
+        return last
 
     def read(self, layer: str, table: str, run_id: str | None = None,
              schema=None) -> DataFrame:
@@ -134,12 +172,17 @@ class Warehouse:
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         df = reader.parquet(self.table_path(run_id, layer, table))
         if table in YEAR_PARTITIONED:
-            df = df.withColumn("year", F.col("year").cast("int")).select(*COLUMN_ORDER[table])
+            loaded = [c for c in df.columns if c == schemas.LOADED_AT]
+            df = df.withColumn("year", F.col("year").cast("int")).select(*COLUMN_ORDER[table], *loaded)
         return df
 
     def audit_history(self) -> DataFrame:
-        runs = self.published_runs()
-        if not runs:
-            return self.spark.createDataFrame([], schemas.AUDIT)
-        paths = [self.table_path(r, MART, "etl_source_audit") for r in runs]
-        return self.spark.read.schema(schemas.AUDIT).parquet(*paths)
+        """Audit rows of all published runs, with run_id and published_at."""
+        if not path_exists(self.spark, self.audit_path):
+            return self.spark.createDataFrame(
+                [], T.StructType([*schemas.AUDIT.fields, T.StructField("run_id", T.StringType()),
+                                  T.StructField("published_at", T.TimestampNTZType())]))
+        rows = self.spark.read.schema(T.StructType([*schemas.AUDIT.fields, T.StructField("run_id", T.StringType())])
+                                      ).parquet(self.audit_path)
+        return rows.join(self.markers().select("run_id", "published_at"), "run_id").select(
+            *schemas.AUDIT.fieldNames(), "run_id", "published_at")

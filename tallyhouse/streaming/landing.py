@@ -24,6 +24,7 @@ def rate_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger
               .option("escape", '"')
               .option("multiLine", True)
               .option("nullValue", "\u0000")
+              .option("columnPruning", False)
               .option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -4,7 +4,7 @@ import re
 
 import __spark_entry__ as E
 
-TOP_K_QUERIES = {"q03", "q06", "q09", "q10", "q11", "q14", "q16", "q17"}
+TOP_K_QUERIES = {"q03", "q06", "q09", "q10", "q11", "q14", "q16", "q17", "wide_top_gap"}
 
 
 def test_entry_schema_is_stable(spark):
@@ -24,9 +24,21 @@ def test_limits_only_in_top_k_reports():
     assert set(E.warehouse_queries()) == set(sql)
 
 
-def test_spark_code_limits_only_in_top_k_and_sampling():
+def _sources():
     import pathlib
     root = pathlib.Path(__file__).resolve().parent.parent / "tallyhouse"
-    hits = {str(p.relative_to(root)) for p in root.rglob("*.py")
-            if p.parent.name != "llm" and ".limit(" in p.read_text()}
-    assert hits == {"plans/queries.py", "operators/ntile.py"}
+    return {str(p.relative_to(root)): p.read_text() for p in root.rglob("*.py") if p.parent.name != "llm"}
+
+
+def test_spark_code_limits_only_in_top_k():
+    assert {k for k, v in _sources().items() if ".limit(" in v} == {"plans/queries.py"}
+
+
+def test_no_caps_or_size_switches():
+    for name, text in _sources().items():
+        assert ".show(" not in text or name == "__main__.py" and text.count(".show(") == 1, name
+        # the data contract's value ranges are the only maxima
+        found = set(re.findall(r"\b[A-Z_]*(?:MAX_|_MAX|_LIMIT|LIMIT_)[A-Z_]*\b", re.sub(r"(?m)#.*$", "", text)))
+        assert found <= {"YEAR_MAX", "RATE_MAX"}, (name, found)
+        assert not re.search(r"lpad\([^)]*_f", text), name
+        assert ".repartition(" not in text and 'hint("merge")' not in text, name

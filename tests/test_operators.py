@@ -60,10 +60,8 @@ def test_ntile_rows_never_meet_in_one_partition(spark):
     df = spark.range(5000).withColumn("v", F.col("id") % 13)
     out = ntile(df, 4, ["v", "id"], partitions=8)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # rows are numbered per key range (hash exchange on the range index) ...
-    assert "hashpartitioning(_range" in plan
-    # ... the only single-partition exchange is over the per-range counts
-    assert plan.count("SinglePartition") == 1
+    # numbered from one written copy: the only single-partition exchange is over the counts
+    assert plan.count("SinglePartition") == 1 and "rangepartitioning" not in plan
     sizes = out.groupBy("ntile").count().collect()
     assert sorted(r["count"] for r in sizes) == [1250] * 4
 
@@ -88,6 +86,19 @@ def test_upsert_duplicate_source_key_fails(spark):
     source = spark.createDataFrame([(2, 1), (2, 2)], "k int, v int")
     with pytest.raises((PySparkException, Py4JJavaError)):
         upsert(target, source, ["k"], ["v"]).collect()
+    for update in (["v"], []):       # no pruning removes the check
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            upsert(target, source, ["k"], update).count()
+
+
+def test_latest_audit_row_is_the_last_published(spark):
+    import datetime as dt
+    t = dt.datetime(2025, 1, 1)
+    rows = [("s", n, n, t, f"r{n}", t + dt.timedelta(n)) for n in (1, 3, 2)]
+    hist = spark.createDataFrame(rows, "source_name string, observed_rows long, observed_fingerprint long, "
+                                 "observed_at timestamp_ntz, run_id string, published_at timestamp_ntz")
+    assert A.latest_per_source(hist).first().previous_rows == 3
+    assert A.latest_per_source(hist.drop("published_at")).first().previous_rows == 3
 
 
 def test_upsert_ordered_last_wins(spark):
@@ -139,8 +150,7 @@ def test_ntile_nulls_strings_decimals(spark):
     rows = [(i, None if i % 11 == 0 else f"s{rnd.randrange(40):02d}",
              None if i % 13 == 0 else Decimal(rnd.randrange(10000)) / 100) for i in range(700)]
     df = spark.createDataFrame(rows, "id int, s string, d decimal(10,2)")
-    w = Window.orderBy("s", "d", "id")
+    w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in ("s", "d", "id")])
     expected = {r.id: r.b for r in df.select("id", F.ntile(9).over(w).alias("b")).collect()}
-    got = {r.id: r.b for r in ntile(df, 9, ["s", "d", "id"], out="b", partitions=6,
-                                     sample_per_range=5).collect()}
+    got = {r.id: r.b for r in ntile(df, 9, ["s", "d", "id"], out="b", partitions=6).collect()}
     assert got == expected

@@ -49,25 +49,52 @@ def test_country_filter_pushed_to_scan(published):
     assert "EqualTo(iso_code,NAA)" in plan
 
 
-def test_population_broadcast_only_with_checked_size(spark):
+def test_no_hints_and_no_fixed_exchanges(spark):
     L = layers_from_tables(spark, SMALL)
-    hinted = M.total_with_population(L.total, L.population, population_rows=23)
-    too_big = M.total_with_population(L.total, L.population,
-                                      population_rows=M.POPULATION_BROADCAST_MAX_ROWS + 1)
-    unknown = M.total_with_population(L.total, L.population)
-    def hints(df):   # broadcast hints in the analyzed plan (the feeds carry nation's)
-        return df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
-    assert hints(hinted) == hints(unknown) + 1
-    assert hints(too_big) == hints(unknown)
-
-
-def test_growing_tables_are_not_broadcast(spark):
-    feed = testfeeds.unemployment_feed(spark, SMALL)
-    plan = planned(feed)
-    assert "SortMergeJoin [l_orderkey" in plan
-    assert "SortMergeJoin [o_custkey" in plan
-    # the only broadcast is the size-checked nation table
-    assert plan.count("BroadcastExchange") == 1
+    for df in (L.fact, L.with_population, L.raw_unemployment, L.raw_population):
+        plan = df._jdf.queryExecution()
+        assert "strategy=" not in plan.analyzed().toString()
+        assert "REPARTITION_BY_NUM" not in plan.executedPlan().toString()
+
+
+def test_staging_filter_reaches_the_scan(spark):
+    path = fresh_scratch_path(spark, "raw")
+    testfeeds.employment_feed(spark, SMALL).write.parquet(path)
+    plan = planned(S.stage_rates(spark.read.parquet(path), "employment_rate"))
+    assert "In(sex, [Female,Male,Total])" in plan and "In(age, [15+,15-24,25+])" in plan
+
+
+def test_hot_key_join_is_split(spark):
+    """With a third of all orders on one customer, AQE splits the join's hot partition."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    from pyspark.sql import functions as F
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        root = fresh_scratch_path(spark, "hot")
+        for t in ("orders", "customer", "nation"):
+            df = spark.read.parquet(f"{SMALL}/{t}.parquet")
+            if t == "orders":
+                df = df.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey")))
+            df.repartition(8).write.parquet(f"{root}/{t}.parquet")
+        keys = testfeeds.order_keys(spark, root)
+        keys.write.format("noop").mode("overwrite").save()
+        plan = executed(keys)
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(Q.CATALOGUE))
+def test_registered_queries_read_marts_only(spark, name):
+    import __spark_entry__ as E
+    plan = executed(E.warehouse_queries()[name](spark, SMALL))
+    assert "lineitem" not in plan and "orders" not in plan
 
 
 def test_fingerprint_is_observed_in_the_write_stage(spark):

@@ -39,6 +39,7 @@ def python_client(items):
 @given(items=st.lists(obj, max_size=30))
 def test_population_equals_client_rules(spark, items):
     d = fresh_scratch_path(spark, "popjson")
+    os.makedirs(d)
     with open(os.path.join(d, "p.json"), "w") as f:
         json.dump(items, f)
     got = {r.iso_code: (r.country, r.population)
@@ -52,6 +53,7 @@ def test_every_population_spelling(spark):
     items += [{"alpha3Code": c, "name": "n", "population": 5} for c in CODES]
     items += [{"alpha3Code": "NAM", "name": n, "population": 5} for n in NAMES]
     d = fresh_scratch_path(spark, "popjson")
+    os.makedirs(d)
     with open(os.path.join(d, "p.json"), "w") as f:
         json.dump(items, f)
     got = {r.iso_code: (r.country, r.population)

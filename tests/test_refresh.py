@@ -47,7 +47,7 @@ def test_metrics_match_fixture_counts(warehouse):
     _, first, second = warehouse
     m = first.metrics
     assert (m["employment_raw"], m["employment_stg"], m["unemployment_raw"], m["unemployment_stg"]) == (1500, 590, 6000, 637)
-    assert (m["country_year_sex_age_rates"], m["country_population"]) == (580, 23)
+    assert (m["country_year_sex_age_rates"], m["country_population"]) == (580, 24)
     assert second.metrics == first.metrics
 
 
@@ -71,8 +71,59 @@ def test_failed_run_leaves_previous_published(spark, warehouse):
     assert wh.audit_history().count() == 6
     # rolled back: nothing of the failed run is left on storage
     import os
-    failed = (T0 + dt.timedelta(days=2)).strftime("%Y%m%dT%H%M%S%f")
-    assert not os.path.exists(wh.run_path(failed).replace("file:", ""))
+    folders = {x.removeprefix("run_id=") for x in os.listdir(f"{root}/runs".replace("file:", ""))}
+    assert folders == set(wh.published_runs())
+
+
+def test_failed_retry_leaves_the_published_run(spark):
+    """A retry with the same run time that fails after landing changes nothing."""
+    root = fresh_scratch_path(spark, "wh")
+    first = R.run_refresh(spark, feeds_from_tables(spark, SMALL), root, T0)
+    wh = Warehouse(spark, root)
+    before = {t: rows(wh.read(layer, t)) for layer, t in R.LAYER_TABLES if "raw" not in t}
+    feeds = feeds_from_tables(spark, SMALL)
+    feeds.employment = feeds.employment.limit(100)
+    feeds.population_objects = feeds.population_objects.filter(F.lit(False))
+    with pytest.raises(RuntimeError):
+        R.run_refresh(spark, feeds, root, T0)
+    assert wh.current_run() == first.run_id and wh.published_runs() == [first.run_id]
+    assert {t: rows(wh.read(layer, t)) for layer, t in R.LAYER_TABLES if "raw" not in t} == before
+    assert wh.read("ingestion", R.RAW_EMPLOYMENT).count() == first.metrics[R.RAW_EMPLOYMENT]
+
+
+def test_back_dated_run_becomes_current_and_old_runs_are_freed(spark):
+    root = fresh_scratch_path(spark, "wh")
+    first = R.run_refresh(spark, feeds_from_tables(spark, SMALL), root, T0)
+    second = R.run_refresh(spark, feeds_from_tables(spark, SMALL), root, T0 - dt.timedelta(days=9))
+    wh = Warehouse(spark, root)
+    assert wh.current_run() == second.run_id
+    assert wh.retain(1) == [first.run_id]
+    assert R.published_marts(spark, root).fact.count() == 580
+    assert wh.audit_history().filter("change_type = 'unchanged'").count() == 3
+    with pytest.raises(PySparkException):
+        wh.read("mart", R.FACT, first.run_id).count()
+
+
+def test_existing_tables_are_never_written_again(spark):
+    wh = Warehouse(spark, fresh_scratch_path(spark, "wh"))
+    df = spark.range(3)
+    wh.write(df, "r", "mart", "t")
+    with pytest.raises(PySparkException):
+        wh.write(df, "r", "mart", "t")
+
+
+def test_load_times_and_not_null(spark):
+    root = fresh_scratch_path(spark, "wh")
+    R.run_refresh(spark, feeds_from_tables(spark, SMALL), root, T0)
+    wh = Warehouse(spark, root)
+    for layer, table in R.LAYER_TABLES:
+        df = wh.read(layer, table)
+        at = [c for c in df.columns if c.endswith("_at")]
+        assert len(at) == 1 and {r[0] for r in df.select(at[0]).distinct().collect()} == {T0}, table
+    empty = Warehouse(spark, fresh_scratch_path(spark, "wh"))
+    assert empty.audit_history().count() == 0 and empty.published_runs() == []
+    with pytest.raises(RuntimeError):
+        empty.current_run()
 
 
 def test_null_key_fails_run(spark):

@@ -15,6 +15,7 @@ HEADER = "iso_code,country,sex,age,year,obs_value\n"
 
 def _write(spark, name, text):
     d = fresh_scratch_path(spark, "src")
+    os.makedirs(d)
     p = os.path.join(d, name)
     with open(p, "w", encoding="utf-8") as f:
         f.write(text)
@@ -26,7 +27,7 @@ def test_csv_quoting_and_nulls(spark):
                + 'AAA,"x, y",Male,15+,2000,1.5\n'
                + 'BBB,"a""b",Male,15+,2000,""\n'
                + 'CCC,"multi\nline",Total,15+,2001,\n')
-    rows = files.read_rate_csv(spark, p).orderBy("_pos").collect()
+    rows = files.read_rate_csv(spark, p, multi_line=True).orderBy("_pos").collect()
     assert [r.country for r in rows] == ["x, y", 'a"b', "multi\nline"]
     assert rows[1].obs_value == "" and rows[2].obs_value is None
     assert [r._pos.seq for r in rows] == sorted(r._pos.seq for r in rows)
@@ -35,8 +36,20 @@ def test_csv_quoting_and_nulls(spark):
 @pytest.mark.parametrize("line", ["AAA,A,Male\n", "AAA,A,Male,15+,2000,1,extra\n"])
 def test_csv_wrong_field_count_fails(spark, line):
     p = _write(spark, "bad.csv", HEADER + "AAA,A,Male,15+,2000,1\n" + line)
-    with pytest.raises((PySparkException, Py4JJavaError)):
-        files.read_rate_csv(spark, p).collect()
+    for multi_line in (False, True):
+        df = files.read_rate_csv(spark, p, multi_line)
+        for action in (df.collect, df.count, df.select("iso_code").collect):
+            with pytest.raises((PySparkException, Py4JJavaError)):
+                action()
+
+
+def test_csv_line_break_in_a_field_fails_in_split_mode(spark):
+    p = _write(spark, "breaks.csv", HEADER + 'AAA,"A\nTotal",Male,15+,2000,1\n')
+    assert [r.country for r in files.read_rate_csv(spark, p, multi_line=True).select("country").collect()] == ["A\nTotal"]
+    df = files.read_rate_csv(spark, p)
+    for action in (df.collect, df.count, df.select("country").collect):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            action()
 
 
 def test_csv_missing_file_fails(spark):
@@ -46,6 +59,7 @@ def test_csv_missing_file_fails(spark):
 
 def test_csv_file_order_decides_keep_first(spark):
     d = fresh_scratch_path(spark, "src")
+    os.makedirs(d)
     body = "".join(f"AAA,C{i},Total,15+,2000,{i}\n" for i in range(1, 2000))
     with open(os.path.join(d, "part-0.csv"), "w") as f:
         f.write(HEADER + body)

@@ -18,6 +18,7 @@ def test_incremental_landing_keeps_arrival_order(spark):
     src = fresh_scratch_path(spark, "stream-src")
     out = fresh_scratch_path(spark, "stream-out")
     ckpt = fresh_scratch_path(spark, "stream-ckpt")
+    os.makedirs(src)
     _file(src, "b.csv", [("AAA", "first", "Total", "15+", "2000", "1.5"),
                          ("AAA", "second", "Total", "15+", "2000", "2.5")])
     q = start_rate_landing(spark, src, out, ckpt)
