@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not current and context is not None:
         current = context.getCheckpointDir()
     if not current:
-        if context is None or not context.master.startswith("local["):
+        if context is None or not re.match(r"local($|\[)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tallyhouse-")
         spark.conf.set("spark.checkpoint.dir", current)
