@@ -1,12 +1,12 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Features of a whole text: densities of lexicon words (a fixed list and one mined from training
-labels), the largest density in any WINDOW words, how near they stand to second-person words,
+Features of a whole text: densities of lexicon words (a fixed list, and words and word beginnings
+mined from training labels), the largest density in any WINDOW words, how near they stand to second-person words,
 capitals, punctuation and obfuscation (digits or signs inside words, lexicon words that appear
 only when those are undone). The trees are histogram-based and fitted in numpy to the logistic
 loss; isotonic regression on labelled rows of their own maps margins to probabilities.
 
-Learning uses a bounded sample: the LABELLED labelled training rows with the smallest hashes of
+Learning uses a bounded sample: about LABELLED labelled training rows chosen by a hash of
 doc_id, split by hash into parts for mining the lexicon, growing the trees and calibrating.
 Fixed seeds and hash order make reruns agree.
 
@@ -19,6 +19,7 @@ pass through, but for those named like an added column, which it replaces.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sheltered, staged
+from .common import share, sheltered, staged
 
-LABELLED = 16_000       # labelled rows learned from at most
-MINED = 200             # words mined from labels at most
+LABELLED = 16_000       # labelled rows learned from, about so many at most (by hash of doc_id)
+MINED = 300             # words and stems mined from labels at most
+STEMS = (4, 5)          # lengths of word beginnings mined as well (written with a star)
+SUPPORT = 6             # toxic documents that a mined word or stem must stand in
 THRESHOLD = 0.3
 WINDOW = 50             # words in which the densest passage is sought
 NEAR = 4                # words between a lexicon word and a second-person word
@@ -73,6 +76,10 @@ class Lexicon:
         core = pc.utf8_trim(pc.utf8_lower(words), EDGES)
         at = pc.fill_null(pc.index_in(core, self.keys), len(self.flags)).to_numpy(zero_copy_only=False)
         out = self.values[at].copy()
+        for n in STEMS:
+            stem = pc.binary_join_element_wise(pc.utf8_slice_codeunits(core, 0, n), "*", "")
+            at = pc.fill_null(pc.index_in(stem, self.keys), len(self.flags)).to_numpy(zero_copy_only=False)
+            out |= np.where(pc.utf8_length(core).to_numpy(zero_copy_only=False) >= n, self.values[at], 0).astype(np.uint8)
         odd = pc.match_substring_regex(core, r"\p{L}[^\p{L}\p{M}'’\-]+\p{L}|^[0-9@$!|]+\p{L}{2}").to_numpy(
             zero_copy_only=False)
         for i in np.flatnonzero(odd):
@@ -245,28 +252,38 @@ def _featured(batch: pa.RecordBatch, lexicon: Lexicon) -> np.ndarray:
                           [np.zeros((0, len(FEATURES)))])
 
 
+def _reaches(n: int, word: Column) -> Column:
+    return F.length(word) >= n
+
+
+def _stem(n: int, word: Column) -> Column:
+    return F.concat(F.substring(word, 1, n), F.lit("*"))
+
+
 def learn(documents: DataFrame, labels: DataFrame) -> Model | None:
     """A model from the training rows of ``documents`` (doc_id, text) with ``labels`` (doc_id,
     toxic)."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_y")))
-    chosen = (known.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
-              .withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(LABELLED)
+    known = staged(known.join(documents.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
+    chosen = (known.filter(share(LABELLED, known.count(), "doc_id")).withColumn("_h", F.xxhash64("doc_id"))
               .withColumn("_part", F.pmod(F.xxhash64("_h"), F.lit(5))))
-    # LABELLED rows at most
+    # about LABELLED rows
     rows = staged(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
                   .dropDuplicates(["doc_id"]).drop("_h"), "labelled")
     words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}']+"),
                                       lambda w: F.length(w) > 1))
+    stems = [F.transform(F.filter(words, partial(_reaches, n)), partial(_stem, n)) for n in STEMS]
     mining = rows.filter("_part < 2")
     n = mining.agg(F.sum("_y"), F.count("*")).first()
     bad, good = int(n[0] or 0), int(n[1] or 0) - int(n[0] or 0)
     mined: list[str] = []
     if bad and good:
-        seen = mining.select("_y", F.explode(words).alias("w")).groupBy("w").agg(
-            F.sum("_y").alias("b"), F.count("*").alias("n")).filter("b >= 8")
+        seen = mining.select("_y", F.explode_outer(F.array_distinct(F.concat(words, *stems))).alias("w")).groupBy("w").agg(
+            F.sum("_y").alias("b"), F.count("*").alias("n")).filter(F.col("w").isNotNull() & (F.col("b") >= SUPPORT))
         odds = F.log((F.col("b") + 0.5) / (bad + 1)) - F.log((F.col("n") - F.col("b") + 0.5) / (good + 1))
-        mined = [r.w for r in seen.withColumn("o", odds).filter("o > 3").orderBy(F.desc("o"), "w")
+        mined = [r.w for r in seen.withColumn("o", odds).filter(
+            F.col("o") > F.when(F.col("w").endswith("*"), 4).otherwise(3)).orderBy(F.desc("o"), "w")
                  .limit(MINED).collect()]
     lexicon = Lexicon(mined)
 
