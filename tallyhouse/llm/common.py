@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -18,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
     leave it unset (tests); it then gets a private folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.conf.get("spark.master", "local").startswith("local["):
+        if not re.match(r"local($|\[)", spark.conf.get("spark.master", "local")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -35,7 +36,23 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     executor costs tasks of the current step only."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_scratch_path"] = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete staged tables that nothing reads any more. Scratch space only: where the file
+    system client cannot be reached they stay until the shared folder is cleared."""
+    for df in tables:
+        path = df.__dict__.pop("_scratch_path", None) if df is not None else None
+        if path:
+            spark = df.sparkSession
+            try:
+                place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            except Exception:  # noqa: BLE001 - no file system client, as under Spark Connect
+                return
 
 
 def sheltered(df: DataFrame, needed: tuple[str, ...], run: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -53,6 +70,14 @@ def sheltered(df: DataFrame, needed: tuple[str, ...], run: Callable[[DataFrame],
     return out.select(*[back[c] for c in kept], *added)
 
 
+def share(wanted: int, total: int, *key: str) -> Column:
+    """Whether a row is among about ``wanted`` of ``total``, by a hash of its key: the same rows
+    on every run, and no task or driver gathers more than the sample itself."""
+    if wanted >= total:
+        return F.lit(True)
+    return F.pmod(F.xxhash64(F.lit(99), *key), F.lit(1 << 40)) < int((1 << 40) * (wanted / total))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -90,6 +115,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = _star(pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), False)
         small = staged(_star(large, True), "links")
         now = _summary(small)
+        release(pairs)
         pairs = small
         if now == state:
             break

@@ -9,8 +9,8 @@ A text is read whole, as consecutive windows of WINDOW bytes that start from a z
 the work is one pass over the bytes in large batches and memory does not depend on the length
 of a text.
 
-Training uses a bounded sample: per language the LABELLED documents with the smallest hashes of
-doc_id among the training rows, WINDOWS windows of each. Windows, initial weights and batches
+Training uses a bounded sample: per language LABELLED documents of the training rows, drawn by
+hashes of doc_id and text, WINDOWS windows of each. Windows, initial weights and batches
 come from fixed seeds, so reruns agree.
 
 Defined results: text that is null or has no letter gets ``und`` with score 0; without any
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sheltered
+from .common import sheltered, staged
 
 HIDDEN = 12            # units per direction
 WINDOW = 128           # bytes read from one zero state when predicting
@@ -240,8 +240,13 @@ def train(documents: DataFrame) -> ByteGRU | None:
     spread = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "_mark", "doc_id")
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     usable = documents.filter(training_rows(documents) & letters).select("doc_id", "text", "lang")
-    # chosen on narrow rows (a group limit runs before the exchange); LABELLED per language
-    chosen = (usable.select("lang", "doc_id", mark.alias("_mark")).distinct()
+    # chosen on narrow rows; LABELLED per language
+    narrow = staged(usable.select("lang", "doc_id", mark.alias("_mark")).distinct(), "usable")
+    # first about 3 * LABELLED per language by hash, so that no task gathers more
+    many = narrow.groupBy("lang").agg(F.count("*").alias("_n"))
+    draw = F.pmod(F.xxhash64(F.lit(99), "doc_id", "_mark"), F.lit(1 << 40)) / float(1 << 40)
+    near = narrow.join(many, "lang").filter(draw * F.col("_n") < 3 * LABELLED).drop("_n")
+    chosen = (near
               .withColumn("n", F.row_number().over(spread)).filter(F.col("n") <= LABELLED))
     found = usable.withColumn("_mark", mark).join(F.broadcast(chosen), ["lang", "doc_id", "_mark"])
     rows = (found.dropDuplicates(["lang", "doc_id", "_mark"]).orderBy("lang", "n")
