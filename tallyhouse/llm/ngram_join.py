@@ -5,7 +5,7 @@ A document's set holds its distinct 5-word shingles; two documents link when
 
 Sketches. Shingle hashes are dealt into blocks and XORed within each block, so a block's sketch
 changes only if the symmetric difference touches it: the number of differing blocks (and the
-Hamming distance of the 256 parity bits kept beside them) is a lower bound of d.
+Hamming distance of the parity bits kept beside them, 64 * PARITY in all) is a lower bound of d.
 
 Pigeonhole join. Sizes fall into bands [2^k, 2^(k+1)); documents up to 1.25 times the upper end
 take part in a band too, so every pair that can link meets in the band of its smaller set. A
@@ -40,13 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, sheltered, staged
+from .common import components, release, sheltered, staged
 
 WORDS = 5
 LINK, WHOLE = 80, 100        # similarity LINK / WHOLE, the bounds below follow from 0.8
 SLACK = 1.1                  # blocks per block a document can be indexed under
 ROUNDS = 2                   # hubs tried per group before its remaining pairs are compared
 SLICE_BYTES = 2 << 20
+PARITY = 16                  # 64-bit words of parity bits per set
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)   # odd multipliers
 
@@ -143,9 +144,9 @@ def block_keys(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def parity(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Four 64-bit words of parity bits per set: each shingle flips one of 256 bits."""
-    out = np.zeros((len(begin) - 1, 4), np.uint64)
-    bit = _mix(h, 77) >> np.uint64(56)
+    """PARITY 64-bit words of parity bits per set: each shingle flips one bit."""
+    out = np.zeros((len(begin) - 1, PARITY), np.uint64)
+    bit = _mix(h, 77) % np.uint64(64 * PARITY)
     owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
     np.bitwise_xor.at(out, (owner, (bit >> np.uint64(6)).astype(int)), np.uint64(1) << (bit & np.uint64(63)))
     return out
@@ -164,7 +165,8 @@ def _texts(batch: pa.RecordBatch, name: str) -> list[str]:
     return ["" if t is None else t for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
-SKETCH = "_n bigint, _k1 bigint, _k2 bigint, _p0 bigint, _p1 bigint, _p2 bigint, _p3 bigint, _keys array<bigint>"
+BITS = [f"_p{i}" for i in range(PARITY)]
+SKETCH = ", ".join(f"{c} bigint" for c in ("_n", "_k1", "_k2", *BITS)) + ", _keys array<bigint>"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +195,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done = j
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(n, pa.int64()), pa.array(k1), pa.array(k2),
-                 *(pa.array(p[:, c]) for c in range(4)), pa.array(lists, pa.list_(pa.int64()))],
+                 *(pa.array(p[:, c]) for c in range(PARITY)), pa.array(lists, pa.list_(pa.int64()))],
                 [*part.schema.names, *(x.split()[0] for x in SKETCH.split(", "))])
 
 
@@ -235,7 +237,7 @@ def _plausible(a: str, b: str):
     """Bounds on the sizes and on the Hamming distance of the parity words of a pair."""
     c = lambda s, x: F.col(f"{s}.{x}")
     n, m = c(a, "_n"), c(b, "_n")
-    apart = sum(F.bit_count(c(a, f"_p{i}").bitwiseXOR(c(b, f"_p{i}"))) for i in range(4))
+    apart = sum(F.bit_count(c(a, f"_p{i}").bitwiseXOR(c(b, f"_p{i}"))) for i in range(PARITY))
     return (WHOLE * n >= LINK * m) & (WHOLE * m >= LINK * n) & (9 * apart <= n + m)
 
 
@@ -253,18 +255,24 @@ def links(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = sets.groupBy("_k1", "_k2", "_n").agg(F.min("_rid").alias("cid"))
     member = staged(sets.select("_rid", "_k1", "_k2", "_n").join(classes, ["_k1", "_k2", "_n"])
                     .select("_rid", "cid"), "member")
-    info = ["_n", "_p0", "_p1", "_p2", "_p3"]
-    facts = staged(sets.select(F.col("_rid").alias("cid"), *info)
+    info = ["_n", *BITS]
+    scratch: list[DataFrame] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(staged(df, name))
+        return scratch[-1]
+
+    facts = kept(sets.select(F.col("_rid").alias("cid"), *info)
                    .join(member.select("cid").distinct(), "cid"), "facts")
     texts = rows.select(F.col("_rid").alias("cid"), "text")
 
     keyed = sets.select(F.explode("_keys").alias("key"), F.col("_rid").alias("rid"))
-    met = staged(keyed.repartition("key").sortWithinPartitions("key", "rid")
+    met = kept(keyed.repartition("key").sortWithinPartitions("key", "rid")
                  .mapInArrow(_shared, "key bigint, rid bigint"), "met")
-    group = staged(met.join(member.withColumnRenamed("_rid", "rid"), "rid").select("key", "cid").distinct(), "group")
+    group = kept(met.join(member.withColumnRenamed("_rid", "rid"), "rid").select("key", "cid").distinct(), "group")
     sizes = group.groupBy("key").agg((F.count("*") - 1).alias("others")).filter("others > 0")
-    group = staged(group.join(sizes, "key"), "groups")
-    weight = staged(group.groupBy("cid").agg(F.sum("others").alias("weight")), "weight")
+    group = kept(group.join(sizes, "key"), "groups")
+    weight = kept(group.groupBy("cid").agg(F.sum("others").alias("weight")), "weight")
     active = group.select("key", "cid").join(weight, "cid")
     tested: DataFrame | None = None
     label = None
@@ -274,35 +282,36 @@ def links(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         spread = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                         F.max(F.struct("weight", (-F.col("cid")).alias("c"))).alias("top"))
         mixed = spread.filter("lo < hi").select("key", (-F.col("top.c")).alias("hub"))
-        active = staged(now.join(mixed, "key"), "active")
+        active = kept(now.join(mixed, "key"), "active")
         if turn < ROUNDS:
             pairs = (active.filter("cid <> hub").select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b"))
                      .distinct())
         else:
-            pairs = _crossing(active, facts)
+            pairs = _crossing(kept(active.select("key", "cid", "comp").join(facts, "cid"), "crossing"))
         pairs = (pairs.alias("p").join(facts.alias("x"), F.col("p.a") == F.col("x.cid"))
                  .join(facts.alias("y"), F.col("p.b") == F.col("y.cid"))
                  .filter(_plausible("x", "y")).select("a", "b"))
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        checked = staged(
+        pairs = kept(pairs, "pairs")
+        checked = kept(
             pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
             .select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint, linked boolean"), "checked")
-        tested = checked if tested is None else staged(tested.union(checked), "tested")
+        tested = checked if tested is None else kept(tested.union(checked), "tested")
         if turn < ROUNDS:
-            label = staged(components(tested.filter("linked").select("a", "b"))
+            label = kept(components(tested.filter("linked").select("a", "b"))
                            .select(F.col("id").alias("cid"), F.col("component").alias("comp")), "label")
             # the hub's pairs in this group are settled
             active = active.filter("cid <> hub").select("key", "cid", "weight", "comp")
-    return tested.filter("linked").select("a", "b"), member
+    edges = staged(tested.filter("linked").select("a", "b"), "edges")
+    release(*scratch)
+    return edges, member
 
 
-def _crossing(active: DataFrame, facts: DataFrame) -> DataFrame:
+def _crossing(full: DataFrame) -> DataFrame:
     """Every pair of a group whose members lie in different components and whose sizes and
     parity words allow a link, once each."""
-    full = staged(active.select("key", "cid", "comp").join(facts, "cid"), "crossing")
     x, y = full.alias("x"), full.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.comp") != F.col("y.comp"))
     return (x.join(y, apart & _plausible("x", "y"))
@@ -324,9 +333,10 @@ def _linked_rows(documents: DataFrame) -> DataFrame:
                   .select("_rid", "doc_id", F.coalesce("_comp", "_rid").alias("_comp")), "labelled")
     least = back.groupBy("_comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"),
                                                      F.col("_rid").alias("r"))).alias("best"))
-    named = back.join(least, "_comp").select("_rid", F.col("best.d").alias("component_id"),
-                                             (F.col("best.r") == F.col("_rid")).alias("_first"))
-    return rows.join(staged(named, "named"), "_rid").select(
+    named = staged(back.join(least, "_comp").select("_rid", F.col("best.d").alias("component_id"),
+                                                    (F.col("best.r") == F.col("_rid")).alias("_first")), "named")
+    release(edges, member, back)
+    return rows.join(named, "_rid").select(
         *documents.columns, F.col("_n").alias("n_shingles"), "component_id", "_first")
 
 
