@@ -39,10 +39,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, partitions
+from .common import fresh_path, partitions, share
 
 DICT_BYTES = 1 << 16       # size of the zstandard dictionary
-SAMPLE_DOCS = 1_000        # documents it is trained on (smallest hashes) ...
+SAMPLE_DOCS = 1_000        # documents it is trained on (about so many, by hash of doc_id) ...
 SAMPLE_CHARS = 20_000      # ... of those no longer than this
 LEVEL = 3
 CHUNK_BYTES = 4 << 20
@@ -168,8 +168,8 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | N
     """Tokenize ``documents`` (doc_id, text) and write their store at ``path``."""
     spark = documents.sparkSession
     base = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = (base.filter(F.length("text").between(1, SAMPLE_CHARS))
-              .orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(SAMPLE_DOCS))
+    sample = (base.filter(share(SAMPLE_DOCS, documents.count(), "doc_id"))
+              .filter(F.length("text").between(1, SAMPLE_CHARS)).orderBy("doc_id", "text"))
     local = Encoder(tokenizer, end_id, whole_texts)
     learn = pa.array([r.text for r in sample.select("text").collect()], pa.string())
     dictionary = train_dictionary([x for part in _slices(learn) for x in local.encode(part)])
