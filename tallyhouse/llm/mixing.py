@@ -32,6 +32,7 @@ from .common import WORD, numbered, sheltered, staged
 BUCKET_ROWS = 20_000     # documents per flight bucket
 LANDING = 12             # units of a source that the landing settles besides the last two
 MERGE = 64               # buckets merged into one for the next flight
+BROADCAST_ROWS = 500_000 # rows of five numbers that may be broadcast to the texts
 MOST = 3.0               # a document is taken at most so often
 
 
@@ -144,8 +145,10 @@ def mix(df: DataFrame, seed: int = 5, weights: tuple[float, ...] = (1.0, 2.0, 3.
 
 def _mix(df: DataFrame, seed: int, weights: tuple[float, ...]) -> DataFrame:
     rows = staged(df.withColumn("_rid", F.monotonically_increasing_id()), "mix_rows")
-    return rows.join(staged(mix_sized(_narrow(rows, seed, "_rid"), weights).drop("source", "doc_id"),
-                            "mix"), "_rid").drop("_rid")
+    taken = staged(mix_sized(_narrow(rows, seed, "_rid"), weights).drop("source", "doc_id"), "mix")
+    if taken.count() <= BROADCAST_ROWS:      # else texts and decisions meet in a shuffle join
+        taken = F.broadcast(taken)
+    return rows.join(taken, "_rid").drop("_rid")
 
 
 def _narrow(df: DataFrame, seed: int, *more: str) -> DataFrame:
