@@ -11,8 +11,11 @@ compare lower-cased and without white space at their ends; blank lines are struc
    short signatures); a shared pair makes two lines candidates.
 3. Within a band's group, lines sorted by length are compared with the group's first line and
    with their predecessor. Links make components; in groups that still hold several, each line
-   is compared with those of the LOOK_BACK lines before it that lie in other components. So
-   comparisons grow with the lines, never with the square of a group.
+   is compared with those of the LOOK_BACK lines before it that lie in other components. Larger
+   groups that hold several components even then are split by size bands (salted), and every
+   pair of theirs in different components is compared that bounds on the set sizes and on the
+   distance of PARITY words of parity bits allow. So every pair of a group is compared,
+   connected already or excluded by a bound.
 4. Comparison is exact: Jaccard similarity of the sets of all SHINGLE-character shingles of both
    lines, at least LINK percent.
 5. Distributed union-find over the links; the first line by (doc_id, line number) of each
@@ -34,7 +37,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, sheltered, staged
+from .common import components, release, sheltered, staged
 
 SHINGLE = 8
 LINK = 80
@@ -43,6 +46,9 @@ UNBROKEN = 40
 SKETCH = 8
 SMALL = 6            # signatures of so many hashes or fewer are banded by all their pairs
 LOOK_BACK = 24
+PARITY = 16          # 64-bit words of parity bits per line of the exact round
+STEP = 1.26          # size bands: sizes of linked lines differ by 1.25 times at most
+SALT = 1000          # lines of a group per salt
 BROADCAST = 1_000_000    # candidate ids (16 bytes each) broadcast at most
 
 
@@ -120,13 +126,27 @@ def linked_lines(documents: DataFrame) -> DataFrame:
     wide = open_.withColumn("_before", F.array(*before)).withColumn("_o", F.explode("_before"))
     apart = wide.filter(F.col("_o.comp") != F.col("comp")).select("cid", F.col("_o.cid").alias("o"))
     more = _pairs(apart).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    links = checked.union(staged(_checked(more, texts), "checked")).filter("linked").select("a", "b")
-
-    label = components(links).select(F.col("id").alias("cid"), F.col("component").alias("comp"))
-    named = classes.join(staged(label, "label"), "cid", "left").select(
-        "_h1", "_h2", F.coalesce("comp", "cid").alias("_comp"))
+    second = staged(_checked(more, texts), "checked")
+    release(groups, wanted)
+    tested = checked.union(second)
+    label = staged(_labels(tested), "label")
+
+    now = open_.drop("comp").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).filter(
+        (F.col("lo") < F.col("hi")) & (F.col("many") > LOOK_BACK + 1))
+    large = staged(now.join(mixed.select("key", "many"), "key").select("key", "many", "cid", "comp"), "large")
+    third = None
+    if not large.isEmpty():
+        facts = staged(_facts(texts.join(large.select("cid").distinct(), "cid", "left_semi")), "facts")
+        pairs = staged(_crossing(large.join(facts, "cid")).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "crossing")
+        third = staged(_checked(pairs, texts), "checked")
+        release(label, facts, pairs)
+        label = staged(_labels(tested.union(third)), "label")
+
+    named = classes.join(label, "cid", "left").select("_h1", "_h2", F.coalesce("comp", "cid").alias("_comp"))
     member = staged(lines.select("_rid", "doc_id", "_pos", "_id", "_h1", "_h2").join(named, ["_h1", "_h2"])
                     .drop("_h1", "_h2"), "member")
+    release(lines, classes, texts, open_, large, checked, second, third, label)
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_rid").alias("r"),
                      F.col("_pos").alias("p"))
     best = member.groupBy("_comp").agg(F.min(place).alias("_best"), F.count("*").alias("_size"))
@@ -139,6 +159,42 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("o", "cid").alias("a"), F.greatest("o", "cid").alias("b")).distinct()
 
 
+def _labels(tested: DataFrame) -> DataFrame:
+    """(cid, comp): the component of every line with a link."""
+    found = components(tested.filter("linked").select("a", "b"))
+    return found.select(F.col("id").alias("cid"), F.col("component").alias("comp"))
+
+
+def _facts(texts: DataFrame) -> DataFrame:
+    """Per line the size n of its shingle set and PARITY words of parity bits: every shingle
+    flips one bit, so the words of two lines differ in at most as many bits as their sets in
+    shingles."""
+    hashed = texts.select("cid", F.explode(shingles(F.col("line"))).alias("s")).select("cid", F.xxhash64("s").alias("h"))
+    word = F.pmod("h", F.lit(PARITY))
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftright(h, 32), 64) as int))")
+    return hashed.groupBy("cid").agg(F.count("*").alias("n"), *[
+        F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{i}") for i in range(PARITY)])
+
+
+def _crossing(full: DataFrame) -> DataFrame:
+    """Every pair (a < b) of a group whose members lie in different components and whose sizes
+    and parity words allow a link, once each. A group is joined in parts: by size band, as the
+    larger set of a link lies in the band of the smaller or in the next, and by salt."""
+    full = full.withColumns({"band": F.floor(F.ln("n") / F.ln(F.lit(STEP))), "salts": F.ceil(F.col("many") / SALT)})
+    x = full.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).withColumn(
+        "band", F.explode(F.array(F.col("band"), F.col("band") + 1))).alias("x")
+    y = full.withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts"))).alias("y")
+    c = lambda side, name: F.col(f"{side}.{name}")
+    met = (c("x", "key") == c("y", "key")) & (c("x", "band") == c("y", "band")) & (c("x", "salt") == c("y", "salt"))
+    n, m = c("x", "n"), c("y", "n")
+    order = (n < m) | ((n == m) & (c("x", "cid") < c("y", "cid")))
+    differ = sum(F.bit_count(c("x", f"p{i}").bitwiseXOR(c("y", f"p{i}"))) for i in range(PARITY))
+    # |A & B| = (n + m - d) / 2, so similarity LINK percent bounds the difference d of the sets
+    allowed = (100 + LINK) * differ <= (100 - LINK) * (n + m)
+    pair = x.join(y, met & order & (c("x", "comp") != c("y", "comp")) & (100 * n >= LINK * m) & allowed)
+    return pair.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+
+
 def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, linked): whether the exact shingle sets of both lines are similar enough."""
     ab = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("line").alias("ta")), "a")

@@ -85,6 +85,42 @@ def test_recall_and_precision(spark):
     assert total > 400 and hit / total >= 0.97, (hit, total)
 
 
+def links_met(spark, lines):
+    """(true links, those whose lines ended up in one component)."""
+    rows = [(i, x, "en", "s") for i, x in enumerate(lines)]
+    places, _, links, distinct = brute(rows)
+    comp = {r.doc_id: r.keep_doc_id for r in line_dedup.digest(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    label = {x: comp[d] for d, _, x in places}
+    return len(links), sum(label[distinct[i]] == label[distinct[j]] for i, j in links)
+
+
+def test_near_copies_in_a_group_of_one_passage(spark):
+    r = random.Random(5)
+    word = lambda a, b: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(a, b)))
+    text = lambda n: " ".join(word(3, 8) for _ in range(n))[:n]
+    passage, lines = text(400), []
+    for _ in range(250):
+        own = text(r.randint(60, 100)).split(" ")
+        at = r.randrange(len(own))
+        lines += [passage + " " + " ".join(own), passage + " " + " ".join(own[:at] + [word(3, 6)] + own[at:])]
+    r.shuffle(lines)
+    total, hit = links_met(spark, lines)
+    assert total >= 250 and hit == total, (hit, total)
+
+
+def test_bounds_of_the_exact_round_lose_no_link(spark):
+    distinct = sorted({normal(x) for row in corpus(1) for x in row[1].split("\n") if normal(x)})
+    shingle = [sets(x) for x in distinct]
+    want = {(j, i) for i in range(len(distinct)) for j in range(i)
+            if 100 * len(shingle[i] & shingle[j]) >= line_dedup.LINK * len(shingle[i] | shingle[j])}
+    facts = line_dedup._facts(spark.createDataFrame(list(enumerate(distinct)), "cid long, line string"))
+    assert {r.cid: r.n for r in facts.select("cid", "n").collect()} == {i: len(x) for i, x in enumerate(shingle)}
+    for many in (10, 5000):
+        full = facts.withColumns({"key": F.lit(1), "many": F.lit(many), "comp": F.col("cid")})
+        got = [(r.a, r.b) for r in line_dedup._crossing(full).collect()]
+        assert want <= set(got) and len(got) == len(set(got))
+
+
 def test_texts_lose_the_dropped_lines(spark):
     rows = corpus(2)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
