@@ -5,10 +5,13 @@ compare lower-cased and without white space at their ends; blank lines are struc
 
 1. Equal lines collapse to a class (a 128-bit hash, counted with map-side aggregation), so a line
    that fills a third of the table goes on as one row.
-2. MinHash signature: a line's ANCHOR-character shingles that begin at its words (at every
-   character in lines with long unbroken runs) are hashed; the SKETCH smallest distinct hashes
-   are the signature. Bands are pairs of neighbours and next neighbours in it (all pairs of
-   short signatures); a shared pair makes two lines candidates.
+2. MinHash signatures of one line per class: its ANCHOR-character shingles that begin at its
+   words are hashed; the SKETCH smallest distinct hashes are the signature. Short lines, lines
+   with few such shingles and lines with long unbroken runs have a signature of all their
+   SHINGLE-character shingles, the ones that are compared; lines of LONG to SHORT characters,
+   lines of few anchors and unbroken lines have both, so that no rule parts similar lines that
+   stand on either side of it. Bands are pairs of neighbours and next neighbours in a signature
+   (all pairs of short signatures); a shared pair makes two lines candidates.
 3. Within a band's group, lines sorted by length are compared with the group's first line and
    with their predecessor. Links make components; in groups that still hold several, each line
    is compared with those of the LOOK_BACK lines before it that lie in other components. Larger
@@ -43,6 +46,8 @@ SHINGLE = 8
 LINK = 80
 ANCHOR = 16
 UNBROKEN = 40
+LONG, SHORT = 40, 64     # lines of LONG characters or more are anchored, those under SHORT hashed at every character
+FEW = 6                  # so are lines of fewer anchors
 SKETCH = 8
 SMALL = 6            # signatures of so many hashes or fewer are banded by all their pairs
 LOOK_BACK = 24
@@ -56,14 +61,20 @@ def normal(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(" \t\r\f\x0b")))
 
 
-def signature(line: Column) -> Column:
-    """The smallest hashes of a normal line's anchored shingles, sorted."""
+def _smallest(found: Column) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))), 1, SKETCH)
+
+
+def anchored(line: Column) -> Column:
+    """The smallest hashes of a normal line's shingles at its words, sorted; none of a short line's."""
     at_words = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{ANCHOR}}}))\S{{1,8}}"), F.lit(1))
-    anywhere = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{ANCHOR}}}))."), F.lit(1))
-    found = F.when(line.rlike(rf"\S{{{UNBROKEN}}}"), anywhere).otherwise(at_words)
-    hashed = F.when(F.length(line) < ANCHOR, F.array(F.xxhash64(line))).otherwise(
-        F.transform(found, lambda s: F.xxhash64(s)))
-    return F.slice(F.sort_array(F.array_distinct(hashed)), 1, SKETCH)
+    return _smallest(F.when(F.length(line) >= LONG, at_words).otherwise(F.array().cast("array<string>")))
+
+
+def everywhere(line: Column, anchors: Column) -> Column:
+    """The smallest hashes of all shingles of a normal line that its ``anchors`` do not stand for, sorted."""
+    use = (F.length(line) < SHORT) | (F.size(anchors) < FEW) | line.rlike(rf"\S{{{UNBROKEN}}}")
+    return _smallest(F.when(use, shingles(line)).otherwise(F.array().cast("array<string>")))
 
 
 def _pair(sketch: Column, gap: int, i: Column) -> Column:
@@ -99,12 +110,14 @@ def linked_lines(documents: DataFrame) -> DataFrame:
     lines = _lines(documents).withColumns({
         "_id": F.monotonically_increasing_id(), "_h1": F.xxhash64("line"),
         "_h2": F.xxhash64(F.lit(7), "line"), "_len": F.length("line")})
-    lines = staged(lines.withColumn("_sketch", signature(F.col("line"))).withColumn("_keys", bands(F.col("_sketch")))
-                   .drop("_sketch"), "lines")
+    lines = staged(lines, "lines")
     classes = lines.groupBy("_h1", "_h2").agg(F.min("_id").alias("cid"))
     classes = staged(classes, "classes")
-    reps = lines.select(F.col("_id").alias("cid"), F.col("_len").alias("len"), F.explode("_keys").alias("key")).join(
-        classes.select("cid"), "cid", "left_semi")
+    reps = lines.select(F.col("_id").alias("cid"), F.col("_len").alias("len"), "line").join(
+        classes.select("cid"), "cid", "left_semi").withColumn("_at", anchored(F.col("line")))
+    reps = reps.withColumn("_all", everywhere(F.col("line"), F.col("_at"))).withColumn(
+        "_keys", F.concat(bands(F.col("_at")), bands(F.col("_all"))))
+    reps = reps.select("cid", "len", F.explode(F.array_distinct("_keys")).alias("key"))
     order = Window.partitionBy("key").orderBy("len", "cid")
     groups = (reps.withColumns({"prev": F.lag("cid").over(order), "next": F.lead("cid").over(order),
                                 "hub": F.first("cid").over(order)})

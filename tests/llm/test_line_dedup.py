@@ -108,6 +108,22 @@ def test_near_copies_in_a_group_of_one_passage(spark):
     assert total >= 250 and hit == total, (hit, total)
 
 
+def test_short_and_unspaced_lines(spark):
+    r = random.Random(9)
+    some = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    script = "".join(chr(0x4E00 + i) for i in range(400))
+    lines = ["ab" * 12, "ab" * 40, "= " * 15, "= " * 70]
+    for n in range(12, 46):
+        for _ in range(6):
+            spaced = some("abcdefghijklmnopqrst    ", n).strip() or "x"
+            for x in (spaced, some(script, n)):
+                at = r.randrange(len(x))
+                lines += [x, r.choice([x + some(script, 1), some(script, 1) + x, x[:at] + some(script, 1) + x[at:]])]
+    r.shuffle(lines)
+    total, hit = links_met(spark, lines)
+    assert total > 200 and hit >= 0.99 * total, (hit, total)
+
+
 def test_bounds_of_the_exact_round_lose_no_link(spark):
     distinct = sorted({normal(x) for row in corpus(1) for x in row[1].split("\n") if normal(x)})
     shingle = [sets(x) for x in distinct]
