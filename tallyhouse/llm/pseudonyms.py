@@ -16,6 +16,7 @@ Kinds, and what is permuted:
 * ``phone`` (8 to 15 digits with a leading +, or 10 digits grouped 3-3-4): all digits after the
   country code;
 * ``card`` (13 to 19 digits with a valid Luhn digit): all digits but the last, which is computed;
+  cards are also sought among other digit groups (a year before, an expiry date behind);
 * ``hex`` (32, 40 or 64 hexadecimal digits with both kinds): digits among digits, letters among
   a-f.
 
@@ -49,7 +50,12 @@ KINDS = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "hex": r"(?<![A-Za-z0-9])(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{32})(?![A-Za-z0-9])",
 }
-ANY = "|".join(KINDS.values())
+# digit groups of 13 digits or more, up to a group where a value of another kind begins
+_GAP = rf"[ -](?!{'|'.join(v for k, v in KINDS.items() if k != 'card')})"
+RUN = rf"(?<![0-9])(?=[0-9](?:(?:{_GAP})?[0-9]){{12}})[0-9]++(?:{_GAP}[0-9]++)*+"
+ANY = "|".join([*(v for k, v in KINDS.items() if k not in ("card", "hex")), RUN, KINDS["card"], KINDS["hex"]])
+# usual cards: how an issuer's numbers begin, in four groups of four, as 4-6-5 or ungrouped
+USUAL = (r"^(?=[456]|3[0-9]|2[2-7])(?:[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -]?)[0-9]{6}\2[0-9]{5}|[0-9]{13,19})$")
 
 
 def let(value: Column, use) -> Column:
@@ -159,6 +165,47 @@ def _card(m: Column, key: str) -> Column:
     return let(_only(m, "0-9"), with_check)
 
 
+def pieces(m: Column) -> Column:
+    """A match in pieces: what stands before a card, the card, and so on, ending with what stands
+    behind the last; a match that holds no card among other digit groups is one piece.
+
+    A run of 13 to 19 digits that is a card stays whole. Otherwise every row of whole groups with
+    13 to 19 digits and a valid Luhn digit is a candidate: usual cards go first, then longer ones,
+    then those further left; those that overlap a card taken already are dropped."""
+    def cards(tokens: Column) -> Column:
+        groups = F.floor((F.size(tokens) + 1) / 2).cast("int")
+
+        def at(i: Column) -> Column:
+            def one(j: Column) -> Column:
+                text = F.array_join(F.slice(tokens, 2 * i + 1, 2 * (j - i) + 1), "")
+                return let(text, lambda t: F.struct(
+                    F.when(t.rlike(USUAL), 0).otherwise(1).alias("rank"), (-F.length(_only(t, "0-9"))).alias("less"),
+                    i.alias("i"), j.alias("j"), t.alias("card")))
+
+            return F.transform(F.sequence(i, F.least(i + 18, groups - 1)), one)
+
+        found = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), groups - 1), at)), lambda c: F.when(
+            c["less"].between(-19, -13), F.pmod(luhn_sum(_only(c["card"], "0-9"), 1), F.lit(10)) == 0).otherwise(False))
+        none = F.filter(found, lambda c: F.lit(False))
+        taken = F.aggregate(F.array_sort(found), none, lambda done, c: F.when(
+            F.exists(done, lambda d: (d["i"] <= c["j"]) & (c["i"] <= d["j"])), done).otherwise(F.concat(done, F.array(c))))
+        return F.array_sort(F.transform(taken, lambda c: F.struct(c["i"].alias("i"), c["j"].alias("j"), c["card"].alias("card"))))
+
+    def cut(tokens: Column, found: Column) -> Column:
+        def one(t: Column) -> Column:
+            start = F.when(t > 0, 2 * F.get(found, t - 1)["j"] + 1).otherwise(0)
+            end = F.when(t < F.size(found), 2 * F.get(found, t)["i"]).otherwise(F.size(tokens))
+            rest = F.array_join(F.slice(tokens, start + 1, end - start), "")
+            return F.when(t < F.size(found), F.array(rest, F.get(found, t)["card"])).otherwise(F.array(rest))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(found)), one))
+
+    digits = _only(m, "0-9")
+    whole = F.length(digits).between(13, 19) & (F.pmod(luhn_sum(digits, 1), F.lit(10)) == 0)
+    several = let(F.regexp_extract_all(m, F.lit("[0-9]+|[ -]"), F.lit(0)), lambda t: let(cards(t), lambda c: cut(t, c)))
+    return F.when(m.rlike("^[0-9][0-9 -]{12,}$"), F.when(whole, F.array(m)).otherwise(several)).otherwise(F.array(m))
+
+
 def _ssn(m: Column, key: str) -> Column:
     area, group, serial = (F.substring(m, p, n).cast("int") for p, n in ((1, 3), (5, 2), (8, 4)))
     ok = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -278,12 +325,14 @@ def _pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     some = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
     marked = documents.withColumn("_found", F.when(some, F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
                                   .otherwise(F.array().cast("array<string>")))
-    new = F.transform("_found", lambda m: pseudonym(m, key))
+    new = F.transform("_found", lambda m: F.transform(pieces(m), lambda x: F.struct(
+        x.alias("piece"), pseudonym(x, key).alias("new"))))
     valid = marked.withColumn("_new", F.when(F.size("_found") > 0, new))
-    value = F.zip_with("_found", "_new", lambda m, p: F.coalesce(p["value"], m))
+    value = F.transform("_new", lambda m: F.array_join(
+        F.transform(m, lambda p: F.coalesce(p["new"]["value"], p["piece"])), ""))
     joined = F.array_join(F.flatten(F.zip_with(F.split("text", ANY, -1), value,
                                                lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    done = F.filter(F.transform("_new", lambda p: p["kind"]), lambda k: k.isNotNull())
+    done = F.filter(F.transform(F.flatten("_new"), lambda p: p["new"]["kind"]), lambda k: k.isNotNull())
     counts = F.map_from_entries(F.transform(F.array_distinct(done), lambda k: F.struct(
         k, F.size(F.filter(done, lambda x: x == k)).alias("n"))))
     none = F.create_map().cast("map<string,int>")

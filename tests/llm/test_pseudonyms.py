@@ -102,6 +102,27 @@ def test_look_alikes_stay(spark):
         assert (r.text, r.n_values) == (kept[r.doc_id], 0)
 
 
+def test_cards_among_other_digits(spark):
+    card, amex = "4111 1111 1111 1111", "3782 822463 10005"
+    hidden = [(f"{card} 12/25", [card]), (f"2021 {card}", [card]), (f"{card} 12/05/2021", [card]), (f"{card} 737", [card]),
+              (f"12 {amex} 4", [amex]), (f"1 2 3 {card.replace(' ', '-')} 4 5", [card.replace(" ", "-")]),
+              (f"{card} {amex}", [card, amex]), (f"{card} 5500-0000-0000-0004 17", [card, "5500-0000-0000-0004"]),
+              (f"7 4111111111111111 {'1 ' * 5000}", ["4111111111111111"]), (f"{card} 2021-02-03", [card]),
+              (f"{card} 123-45-6789", [card]), (f"{card} 123 456 7890", [card])]
+    df = spark.createDataFrame([(i, t, None, None) for i, (t, _) in enumerate(hidden)] + [(99, f"{card} {amex}", None, None)], SCHEMA)
+    rows = {r.doc_id: r for r in pseudonyms.digest(df).collect()}
+    pure = rows[99].text
+    for i, (text, cards) in enumerate(hidden):
+        got = rows[i]
+        assert got.kinds["card"] == len(cards), (text[:60], got.kinds)
+        assert len(got.text) == len(text) and all(c not in got.text for c in cards)
+        assert re.sub("[0-9]", "0", got.text) == re.sub("[0-9]", "0", text)
+        if text.startswith("2021") or "/25" in text:
+            assert got.text == text.replace(card, pure[:19])
+    assert [rows[i].n_values for i in (2, 9, 10, 11)] == [2, 2, 2, 2]
+    assert len({rows[i].text for i in (9, 10, 11)} & {hidden[i][0] for i in (9, 10, 11)}) == 0
+
+
 def test_awkward_rows(spark):
     df = awkward(spark, extra="kind value")
     out = pseudonyms.pseudonymise(df)
