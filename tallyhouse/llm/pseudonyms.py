@@ -10,8 +10,11 @@ Kinds, and what is permuted:
 
 * ``email``: letters among letters and digits among digits of the local part;
 * ``ipv4`` (octets 0-255): the pair of 16-bit halves;
-* ``date`` (real calendar days; year-month-day, or day and month before the year with the month
-  second): days from 1901 to 2096 as (four-year cycle, day of cycle), others by day of their year;
+* ``date`` (real calendar days; year-month-day, or day and month before the year, each of one
+  or two digits, with the month second; where that is no calendar day, with the month first):
+  days from 1901 to 2096 as (four-year cycle, day of cycle), others by day of their year. Dates
+  with the month first all have days after the 12th and are permuted among these, so that their
+  pseudonyms read in no other order. Where a part has one digit the pseudonym is not padded;
 * ``ssn`` (area 001-899 but 666, group 01-99, serial 0001-9999): (area, group and serial);
 * ``phone`` (8 to 15 digits with a leading +, or 10 digits grouped 3-3-4): all digits after the
   country code;
@@ -44,7 +47,7 @@ KEY = "set a secret key in production"
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ipv4": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
-    "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9]|[/.-][0-9])",
+    "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})(?![0-9]|[/.-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
@@ -236,11 +239,29 @@ def _ipv4(m: Column, key: str) -> Column:
     return let(F.split(m, "[.]").cast("array<int>"), value)
 
 
+# days before each month of a four-year cycle (its last year has the leap day) and of one year
+_LENGTHS = [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+_CYCLE = [n + (i == 37) for i, n in enumerate(_LENGTHS * 4)]
+_LEAP = [n + (i == 1) for i, n in enumerate(_LENGTHS)]
+EARLY = 12          # days of a month that could be a month's number
+
+
+def _late(lengths: list[int]) -> tuple[Column, int]:
+    """For each month the days after the EARLYth before it, and their number in all."""
+    before = [sum(lengths[:i]) - EARLY * i for i in range(len(lengths) + 1)]
+    return F.array(*[F.lit(n) for n in before[:-1]]), before[-1]
+
+
 def _date(m: Column, key: str) -> Column:
     iso = m.rlike(r"^[0-9]{4}-")
     first, last = F.lit("1901-01-01").cast("date"), F.lit("2096-12-31").cast("date")
+    (cycle, many), (leap, some), (common, fewer) = _late(_CYCLE), _late(_LEAP), _late(_LENGTHS)
+
+    def day_of(late: Column, before: Column) -> Column:
+        """From the number of a day among the late ones, its number among all."""
+        return late + EARLY * F.size(F.filter(before, lambda n: n <= late))
 
-    def value(day: Column) -> Column:
+    def permuted(day: Column) -> Column:
         n = F.datediff(day, first)
         b = F.pmod(n, F.lit(1461))
         wide = feistel((n - b) / 1461, b, F.lit(49).cast("long"), F.lit(1461).cast("long"),
@@ -249,14 +270,47 @@ def _date(m: Column, key: str) -> Column:
         near = feistel(F.lit(0), F.datediff(day, year), F.lit(1).cast("long"),
                        F.datediff(F.add_months(year, 12), year).cast("long"), F.lit("date"),
                        F.year(day).cast("string"), key)
-        new = F.when(day.between(first, last), let(wide, lambda w: F.date_add(
+        return F.when(day.between(first, last), let(wide, lambda w: F.date_add(
             first, (w["l"] * 1461 + w["r"]).cast("int")))).otherwise(
                 let(near, lambda w: F.date_add(year, w["r"].cast("int"))))
-        digits = let(new, lambda d: F.when(iso, F.date_format(d, "yyyyMMdd")).otherwise(F.date_format(d, "ddMMyyyy")))
-        return F.when(day.isNotNull(), let(digits, lambda d: refill(m, d)))
 
-    text = F.when(iso, m).otherwise(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
-    return let(let(text, lambda t: F.when(F.substring(t, 1, 4) != "0000", t.try_cast("date"))), value)
+    def permuted_late(day: Column) -> Column:
+        n = F.datediff(day, first)
+        b = F.pmod(n, F.lit(1461))
+        months = F.pmod(F.year(day) - 1901, F.lit(4)) * 12 + F.month(day)
+        wide = feistel((n - b) / 1461, b - EARLY * months, F.lit(49).cast("long"), F.lit(many).cast("long"),
+                       F.lit("date, month first"), F.lit(""), key)
+        year = F.trunc(day, "year")
+        is_leap = F.datediff(F.add_months(year, 12), year) == 366
+        near = feistel(F.lit(0), F.datediff(day, year) - EARLY * F.month(day), F.lit(1).cast("long"),
+                       F.when(is_leap, some).otherwise(fewer).cast("long"), F.lit("date, month first"),
+                       F.year(day).cast("string"), key)
+        return F.when(day.between(first, last), let(wide, lambda w: F.date_add(
+            first, (w["l"] * 1461 + day_of(w["r"], cycle)).cast("int")))).otherwise(
+                let(near, lambda w: F.date_add(year, F.when(is_leap, day_of(w["r"], leap)).otherwise(
+                    day_of(w["r"], common)).cast("int"))))
+
+    def written(d: Column, month_first: bool) -> Column:
+        one, two = (F.month(d), F.dayofmonth(d)) if month_first else (F.dayofmonth(d), F.month(d))
+        width = F.when(m.rlike(r"^[0-9]{1,2}[/.][0-9]{1,2}[/.]") & ~m.rlike(r"^[0-9]{2}[/.][0-9]{2}[/.]"), 1).otherwise(2)
+        parts = [F.when((width == 2) & (x < 10), F.concat(F.lit("0"), x.cast("string"))).otherwise(x.cast("string"))
+                 for x in (one, two)]
+        marks = [F.regexp_extract(m, r"^[0-9]+([/.])[0-9]+([/.])", i) for i in (1, 2)]
+        return F.concat(parts[0], marks[0], parts[1], marks[1], _pad(F.year(d), 4))
+
+    def real(year: Column, month: Column, day: Column) -> Column:
+        text = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+        return F.when(year != "0000", text.try_cast("date"))
+
+    part = [F.regexp_extract(m, r"^([0-9]{1,2})[/.]([0-9]{1,2})[/.]([0-9]{4})$", i) for i in (1, 2, 3)]
+    iso_day = F.when(F.substring(m, 1, 4) != "0000", m.try_cast("date"))
+    in_iso = let(iso_day, lambda day: F.when(day.isNotNull(), let(
+        permuted(day), lambda d: refill(m, F.date_format(d, "yyyyMMdd")))))
+    day_first = let(real(part[2], part[1], part[0]), lambda day: F.when(day.isNotNull(), let(
+        permuted(day), lambda d: written(d, False))))
+    month_first = let(real(part[2], part[0], part[1]), lambda day: F.when(day.isNotNull(), let(
+        permuted_late(day), lambda d: written(d, True))))
+    return F.when(iso, in_iso).otherwise(F.coalesce(day_first, month_first))
 
 
 def _phone(m: Column, key: str) -> Column:

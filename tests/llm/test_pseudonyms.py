@@ -123,6 +123,29 @@ def test_cards_among_other_digits(spark):
     assert len({rows[i].text for i in (9, 10, 11)} & {hidden[i][0] for i in (9, 10, 11)}) == 0
 
 
+def test_dates_with_the_month_first_and_short_parts(spark):
+    days = [dt.date(2021, 1, 1) + dt.timedelta(i) for i in range(1461)]
+    days += [dt.date(y, 1, 1) + dt.timedelta(i) for y in (1850, 1852) for i in range(365)]
+    late = [d.strftime("%m/%d/%Y") for d in days if d.day > 12]
+    short = ["7/4/2021", "1.12.1990", "7/25/2021", "07/04/2021"]
+    cases = late + short + [d.strftime("%d/%m/%Y") for d in days]
+    df = spark.createDataFrame([(i, f"on {v}, ", None, None) for i, v in enumerate(cases)], SCHEMA)
+    new = {cases[r.doc_id]: r.text[3:-2] for r in pseudonyms.digest(df).collect() if r.kinds == {"date": 1}}
+    assert set(new) == set(cases)
+    for v in late:
+        month, day, year = map(int, new[v].split("/"))
+        assert day > 12 and dt.date(year, month, day) and len(new[v]) == 10
+        assert year == int(v[-4:]) or int(v[-4:]) >= 1901
+    padded = set(late) | {d.strftime("%d/%m/%Y") for d in days}
+    assert len({new[v] for v in padded}) == len(padded)
+    assert [int(x) for x in new["7/4/2021"].split("/")] == [int(x) for x in new["07/04/2021"].split("/")]
+    assert "." in new["1.12.1990"] and all(not re.search(r"(^|[/.])0", new[v]) for v in short[:3])
+    assert int(new["7/25/2021"].split("/")[1]) > 12
+    kept = ["13/13/2021", "0/4/2021", "2/30/2021", "31/2/2021", "1/2/0000"]
+    same = spark.createDataFrame([(i, v, None, None) for i, v in enumerate(kept)], SCHEMA)
+    assert all((r.text, r.n_values) == (kept[r.doc_id], 0) for r in pseudonyms.digest(same).collect())
+
+
 def test_awkward_rows(spark):
     df = awkward(spark, extra="kind value")
     out = pseudonyms.pseudonymise(df)
