@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import fresh_path, partitions, share
 
 DICT_BYTES = 1 << 16       # size of the zstandard dictionary
-SAMPLE_DOCS = 1_000        # documents it is trained on (about so many, by hash of doc_id) ...
+SAMPLE_DOCS = 1_000        # documents it is trained on (about so many, by hash of doc_id and text) ...
 SAMPLE_CHARS = 20_000      # ... of those no longer than this
 LEVEL = 3
 CHUNK_BYTES = 4 << 20
@@ -163,13 +163,18 @@ def _zstd(dictionary: bytes):
     return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
 
+def _sample(base: DataFrame, total: int) -> DataFrame:
+    """The documents that the dictionary is trained on, copies of a row once."""
+    return (base.filter(share(SAMPLE_DOCS, total, "doc_id", "text")).filter(F.length("text").between(1, SAMPLE_CHARS))
+            .select("doc_id", "text").distinct().orderBy("doc_id", "text"))
+
+
 def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | None = 2,
                 whole_texts: bool = False) -> None:
     """Tokenize ``documents`` (doc_id, text) and write their store at ``path``."""
     spark = documents.sparkSession
     base = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = (base.filter(share(SAMPLE_DOCS, documents.count(), "doc_id"))
-              .filter(F.length("text").between(1, SAMPLE_CHARS)).orderBy("doc_id", "text"))
+    sample = _sample(base, documents.count())
     local = Encoder(tokenizer, end_id, whole_texts)
     learn = pa.array([r.text for r in sample.select("text").collect()], pa.string())
     dictionary = train_dictionary([x for part in _slices(learn) for x in local.encode(part)])

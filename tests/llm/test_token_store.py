@@ -67,6 +67,15 @@ def test_round_trip_in_chunks(spark, monkeypatch):
     assert token_store.lookup(spark, path, 4000) == []
 
 
+def test_sample_of_one_doc_id(spark):
+    n, want = 4000, token_store.SAMPLE_DOCS
+    for doc in (None, 7):
+        df = spark.createDataFrame([(doc, f"text {i}") for i in range(n)], "doc_id long, text string")
+        assert 0.8 * want < token_store._sample(df, n).count() < 1.2 * want
+    copies = spark.createDataFrame([(i % 2, "the same") for i in range(n)], "doc_id long, text string")
+    assert token_store._sample(copies, n).count() <= 2
+
+
 def test_wrong_dictionary_is_refused(spark):
     path, other = fresh_path(spark, "store"), fresh_path(spark, "store")
     rows = random_docs(50, 6)
