@@ -1,7 +1,8 @@
 """Document fingerprints by closed syncmers.
 
-A text is lower-cased and cut into pieces: at most PIECE letters, marks and digits each, every word
-from its beginning; a character of a script without spaces is a piece of its own. A K-mer is K
+A text is lower-cased and cut into pieces of at most PIECE characters, every word from its beginning:
+Latin letters and digits, else other letters, marks and digits; a character of a script without
+spaces is a piece of its own. A K-mer is K
 consecutive pieces, an S-mer S of them. A K-mer is an anchor when the smallest of its S-mer hashes
 stands at one of its edges (a closed syncmer): whether it is depends on the K-mer alone, never on
 the text around it, so two texts that share a passage share the anchors inside it, whatever their
@@ -31,7 +32,8 @@ from .common import partitions, share, sheltered, staged
 K, S = 6, 2
 PIECE = 4
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-PIECES = rf"[{UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]{{1,{PIECE}}}"
+LATIN = "a-z0-9ß-öø-ɏ"      # first in the pattern: a cheap test for most characters
+PIECES = rf"[{LATIN}]{{1,{PIECE}}}|(?![\x00-ɏ])(?:[{UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]{{1,{PIECE}}})"
 PER_BOUND = 16       # sampled rows for each boundary between the buckets of ``successors``
 
 
