@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, exact_dedup, fingerprints, language, line_dedup, mixing, ngram_join, pseudonyms, sharding,
-               token_store, toxicity)
+from . import (decontaminate, exact_dedup, fingerprints, language, line_dedup, mixing, ngram_join, periodic_runs,
+               pseudonyms, sharding, target_resampling, token_store, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(_documents(spark, sf_dir))
 
 
+def op11_basic_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(_documents(spark, sf_dir))
+
+
+def op12_position_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(_documents(spark, sf_dir))
 
@@ -66,6 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_mix_cube, op2_fuzzy_lines, op3_byte_gru, op4_shard_feistel, op5_boosted_toxicity, op6_spaced_seeds, op7_parity_join,
-    op8_block_names, op9_feistel_pseudonyms, op10_token_store, op13_closed_syncmers, pipeline)}
+    op8_block_names, op9_feistel_pseudonyms, op10_token_store, op11_basic_factors, op12_position_crc,
+    op13_closed_syncmers, pipeline)}
 
 SQL: dict[str, str] = {"op8_block_names": exact_dedup.SQL}

@@ -1,0 +1,119 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyhouse.llm import target_resampling as T
+from tests.llm.docs import AWKWARD, SCHEMA, awkward, random_docs
+
+BENCH = "item_id long, text string"
+
+
+def words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def buckets(text):
+    w = words(text)
+    return [zlib.crc32(" ".join(w[i:i + n]).encode()) % 10000 for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+
+
+def brute(docs, bench, percent=5, least=20):
+    s = Counter(b for d in docs for b in buckets(d[1]))
+    t = Counter(b for x in bench for b in buckets(x[1]))
+    S, T_ = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (S + 10000) / ((s[b] + 1) * (T_ + 10000)))) for b in range(10000)]
+    out = []
+    for d, text, *_ in docs:
+        f = buckets(text)
+        h = int(hashlib.sha256(f"42:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in f)
+        out.append([d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), len(words(text))])
+    able = sorted((r for r in out if r[4] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    rank = {id(r): i + 1 for i, r in enumerate(able[:percent * len(able) // 100])}
+    return sorted((tuple([*r[:4], rank.get(id(r))]) for r in out), key=str)
+
+
+def got(df, bench):
+    return sorted(map(tuple, T.digest(df, bench).collect()), key=str)
+
+
+@pytest.mark.parametrize("span", [1, 2, 8, 64])
+def test_position_table(span):
+    r = random.Random(span)
+    table = T.PositionTable(span)
+    data = bytes(r.randrange(256) for _ in range(5000))
+    cuts = [sorted(r.sample(range(len(data) + 1), 2)) for _ in range(400)] + [(i, i + n) for i in (0, 9) for n in range(1, 150)]
+    start, end = (np.array(c) for c in zip(*cuts))
+    want = [zlib.crc32(data[a:b]) for a, b in cuts]
+    assert table.crc32(np.frombuffer(data, np.uint8), start, end).tolist() == want
+
+
+def test_gathering_in_parts_changes_nothing(monkeypatch):
+    data = np.frombuffer(bytes(random.Random(1).randrange(256) for _ in range(9000)), np.uint8)
+    start = np.arange(0, 8000, 7)
+    table = T.PositionTable()
+    whole = table.crc32(data, start, start + 1 + start % 900)
+    monkeypatch.setattr(T, "GATHER", 100)
+    assert (table.crc32(data, start, start + 1 + start % 900) == whole).all()
+
+
+def corpus(n=600):
+    rows = random_docs(n, 21, words=80)
+    odd = ["ÀÉ naïve 日本語の文章 x" * 12, "UPPER lower 123 a-b_c" * 9, "w" * 20_000 + " tail" * 25, "\x00\x7f@[`{" * 9]
+    return rows + [(n + i, t, None, None) for i, t in enumerate(odd)] + [(n + 50 + i, rows[i % 3][1], None, None) for i in range(50)]
+
+
+def items(rows):
+    return [(i, " ".join(r[1].split()[:25])) for i, r in enumerate(rows[::40])] + [(900, None), (901, "")]
+
+
+def test_brute_force(spark):
+    rows = corpus()
+    want = brute(rows, items(rows))
+    df, bench = spark.createDataFrame(rows, SCHEMA).repartition(5), spark.createDataFrame(items(rows), BENCH)
+    assert got(df, bench) == want
+    ids = {r[0] for r in want if r[4] is not None}
+    back = T.drawn(df, bench)
+    assert back.columns == df.columns and len(ids) > 20
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(str(r) for r in rows if r[0] in ids)
+
+
+def test_awkward_rows(spark):
+    bench = spark.createDataFrame([(1, "one word alpha beta"), (2, None)], BENCH)
+    assert got(awkward(spark, extra="rank weight buckets n_words rest"), bench) == brute(AWKWARD, [(1, "one word alpha beta")])
+    none = spark.createDataFrame([], BENCH)
+    assert got(awkward(spark), none) == brute(AWKWARD, [])
+    assert got(spark.createDataFrame([], SCHEMA), bench) == []
+    kept = T.resampled(awkward(spark, extra="rank other"), bench)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "other", "n_features", "weight", "score", "rank"]
+    assert sorted(str(r.text) for r in kept.collect()) == sorted(str(r[1]) for r in AWKWARD)
+
+
+def test_ties_and_repeated_rows(spark):
+    rows = [(7, "same words again and again " * 6, None, None)] * 90 + [(None, "no id here but words " * 6, None, None)] * 30
+    bench = spark.createDataFrame([(1, "same words")], BENCH)
+    assert got(spark.createDataFrame(rows, SCHEMA).repartition(4), bench) == brute(rows, [(1, "same words")])
+
+
+def test_very_long_text(spark):
+    r = random.Random(3)
+    rows = [(1, " ".join(f"w{r.randrange(5000)}" for _ in range(300_000)), None, None), (2, "é" * 1_000_000 + " b", None, None)]
+    bench = [(1, "w1 w2 w3")]
+    assert got(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(bench, BENCH)) == brute(rows, bench)
+
+
+def test_draw_follows_the_target(spark):
+    """With equal weights every document is as likely; words of the target make one likelier."""
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choice("alpha beta gamma delta".split() if i % 4 else "red green blue white".split())
+                         for _ in range(20)), None, None) for i in range(800)]
+    bench = spark.createDataFrame([(1, "red green blue white " * 5)], BENCH)
+    ids = [r.doc_id for r in T.drawn(spark.createDataFrame(rows, SCHEMA), bench, percent=10).collect()]
+    assert len(ids) == 80 and all(i % 4 == 0 for i in ids)
