@@ -109,9 +109,11 @@ def aligned(pairs: DataFrame, *keys: str) -> DataFrame:
     return best.select(*keys, "b.*")
 
 
-def successors(rows: DataFrame, key: Column, columns: list[str]) -> DataFrame:
+def successors(rows: DataFrame, key: Column, columns: list[str],
+               prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``rows`` with ``next``: a struct of ``columns`` of the row that follows in the order of ``key``
-    (a struct), the first row for the last one.
+    (a struct), the first row for the last one. ``prepare`` adds columns once the rows have crossed
+    the network, so that these need not cross it.
 
     Whole rows cross the network once: buckets of neighbouring keys, cut at quantiles of a sample
     (PER_BOUND rows a bucket), are windows of their own; the first row of a bucket also travels to
@@ -145,7 +147,8 @@ def successors(rows: DataFrame, key: Column, columns: list[str]) -> DataFrame:
                                              F.struct(F.col("_to").alias("_bucket"), F.lit(True).alias("_ghost")))))
               .drop("_bucket", "_first", "_to").select("*", F.inline("_in")).drop("_in"))
     line = Window.partitionBy("_bucket").orderBy("_ghost", "_key")
-    return (placed.withColumn("next", F.lead(F.struct(*columns)).over(line)).filter(~F.col("_ghost"))
+    # the exchange that the window needs, placed below ``prepare``
+    return (prepare(placed.repartition("_bucket")).withColumn("next", F.lead(F.struct(*columns)).over(line)).filter(~F.col("_ghost"))
             .drop("_bucket", "_ghost", "_key"))
 
 
@@ -155,7 +158,8 @@ def digest(documents: DataFrame) -> DataFrame:
     base = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # descending doc_id: the complement falls as the id rises
     key = F.struct(F.col("doc_id").isNull().alias("n"), F.bitwise_not("doc_id").alias("d"), F.xxhash64("text").alias("h"))
-    chained = successors(base.withColumn("marks", fingerprint(F.col("text"))), key, ["text", "marks"])
+    chained = successors(base, key, ["text", "marks"],
+                         lambda df: df.withColumn("marks", fingerprint(F.col("text"))))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("next.text"), half))
