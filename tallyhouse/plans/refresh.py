@@ -23,6 +23,7 @@ from tallyhouse.plans import marts as M
 from tallyhouse.plans import staging as S
 from tallyhouse.plans.layers import Feeds
 from tallyhouse.sources import files
+from tallyhouse.sources.quoted_csv import read_quoted_csv
 from tallyhouse.sources.warehouse import INGESTION, MART, STAGING, Warehouse
 
 # Source names recorded in the audit log.
@@ -50,9 +51,12 @@ class RunResult:
 
 
 def feeds_from_files(spark: SparkSession, employment_csv, unemployment_csv, population_json,
-                     multi_line: bool = False) -> Feeds:
-    return Feeds(files.read_rate_csv(spark, employment_csv, multi_line),
-                 files.read_rate_csv(spark, unemployment_csv, multi_line),
+                     strict_bytes: bool = True) -> Feeds:
+    """The three feeds as landed. Rate files are split, may hold line breaks inside quoted fields, and
+    fail the run on blank lines and bytes that are not UTF-8; ``strict_bytes=False`` reads them with
+    Spark's CSV source alone (one pass, no such checks, no line breaks inside fields)."""
+    read = read_quoted_csv if strict_bytes else files.read_rate_csv
+    return Feeds(read(spark, employment_csv), read(spark, unemployment_csv),
                  files.read_population_json(spark, population_json))
 
 

@@ -24,6 +24,7 @@ from tallyhouse.plans.layers import (FIXED_RUN_TS, build_layers, feeds_from_tabl
                                      layers_from_tables, written_marts)
 from tallyhouse.session import fresh_scratch_path
 from tallyhouse.sources import files, testfeeds
+from tallyhouse.sources.quoted_csv import csv_defects, read_quoted_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 SIX = schemas.RATE_FILE_COLUMNS
@@ -165,6 +166,32 @@ def csv_source(spark, sf_dir):
     return files.read_rate_csv(spark, path).select(*SIX)
 
 
+def csv_quoted_breaks(spark, sf_dir):
+    """The employment feed with line breaks and doubled quotes inside the country of every third
+    order, written as CSV files and read back split."""
+    ok = F.col("_pos.o_orderkey")
+    broken = F.concat("country", F.lit('\n"'), ok.cast("string"), F.lit('"\r\n, '), "country")
+    feed = testfeeds.employment_feed(spark, sf_dir).withColumn(
+        "country", F.when(ok % 3 == 0, broken).otherwise(F.col("country")))
+    path = fresh_scratch_path(spark, "employment-csv")
+    files.write_rate_csv(feed.orderBy("_pos"), path)
+    return read_quoted_csv(spark, path).select(*SIX)
+
+
+def csv_strict_bytes(spark, sf_dir):
+    """Lines, records, blank records and lines that are not UTF-8 of a damaged employment file: a
+    blank line behind some orders, a stray byte or a line break inside a field in others."""
+    ok = F.col("_pos.o_orderkey")
+    stray = F.when(ok % 103 == 0, F.unhex(F.lit("FF")).cast("string")).otherwise(F.lit(""))
+    inside = F.when(ok % 107 == 0, F.lit('"two\nlines"')).otherwise(F.lit("one"))
+    blank = F.when(ok % 101 == 0, F.lit("\n")).otherwise(F.lit(""))
+    line = F.concat("iso_code", F.lit(","), inside, stray, F.lit(","), "sex", F.lit(","), "age", F.lit(",2000,1"), blank)
+    path = fresh_scratch_path(spark, "damaged-csv")
+    testfeeds.employment_feed(spark, sf_dir).select(line).write.text(path)
+    return csv_defects(spark, path).agg(
+        *[F.sum(c).alias(c) for c in ("lines", "records", "blank_records", "invalid_lines")])
+
+
 def json_source(spark, sf_dir):
     """Population objects written as JSON list documents and read back (VARIANT)."""
     objects = testfeeds.population_objects(spark, sf_dir)
@@ -309,6 +336,8 @@ def queries() -> dict[str, Query]:
         "upsert_do_update": upsert_do_update,
         "ntile_distributed": ntile_distributed,
         "csv_source": csv_source,
+        "csv_quoted_breaks": csv_quoted_breaks,
+        "csv_strict_bytes": csv_strict_bytes,
         "json_source": json_source,
         "run_metrics": run_metrics,
         "full_refresh": full_refresh,
