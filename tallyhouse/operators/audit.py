@@ -39,10 +39,22 @@ def empty_history(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.AUDIT)
 
 
+def _when(history: DataFrame) -> list[str]:
+    """The order of audit rows: by version where the history knows it, then by time, equal times
+    by run id."""
+    return [c for c in ("version", "observed_at", "run_id") if c in history.columns]
+
+
+def latest_rows(history: DataFrame) -> DataFrame:
+    """The most recent audit row of every source, with all its columns."""
+    others = [c for c in history.columns if c != "source_name"]
+    last = F.max_by(F.struct(*others), F.struct(*_when(history))).alias("_last")
+    return history.groupBy("source_name").agg(last).select("source_name", "_last.*").select(*history.columns)
+
+
 def latest_per_source(history: DataFrame) -> DataFrame:
-    """The most recent audit row of every source (all sources in one aggregation): by
-    publication where the history knows it, then by time, equal times by run id."""
-    when = [c for c in ("published_at", "observed_at", "run_id") if c in history.columns]
+    """What every source held last (all sources in one aggregation)."""
+    when = _when(history)
     latest = F.max_by(F.struct("observed_rows", "observed_fingerprint"), F.struct(*when))
     return (history.groupBy("source_name").agg(latest.alias("_p"))
                    .select("source_name",

@@ -39,7 +39,6 @@ def register_views(spark: SparkSession, warehouse_root: str, run_id: str | None
     cols = ", ".join(f"a.`{c}`" for c in schemas.AUDIT.fieldNames())
     spark.sql(f"""CREATE OR REPLACE VIEW {MART}.{R.AUDIT} AS
         SELECT {cols} FROM parquet.`{wh.audit_path}` a
-        JOIN parquet.`{wh.marker_path}` m ON a.run_id = m.run_id
-        WHERE m.published_at <= (SELECT max(published_at) FROM parquet.`{wh.marker_path}`
-                                 WHERE run_id = '{run_id}')""")
+        JOIN json.`{wh.log.folder}` m ON a.run_id = m.run_id
+        WHERE m.version <= (SELECT max(version) FROM json.`{wh.log.folder}` WHERE run_id = '{run_id}')""")
     return run_id

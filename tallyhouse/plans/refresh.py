@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -75,15 +76,32 @@ def run_refresh(spark: SparkSession, feeds: Feeds, warehouse_root: str,
 
     Raises (and publishes nothing) on: a malformed CSV row, a NULL key in a valid row,
     a non-list population payload, zero valid population rows, an out-of-range rate
-    under ``strict``. A failed run is rolled back: its directory is deleted. Every attempt
-    has a run id of its own (time and a random part), so a retry with the same ``run_ts``
-    never meets the files of an earlier run, published or not.
+    under ``strict``, another run published while this one ran (``CommitConflict``). A failed
+    run is rolled back: its directory is deleted. Every attempt has a run id of its own (time
+    and a random part), so a retry with the same ``run_ts`` never meets the files of an earlier
+    run, published or not.
     """
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    run_id = f"{run_ts.strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:12]}"
-    wh = Warehouse(spark, warehouse_root)
+    return prepare_refresh(spark, feeds, warehouse_root, run_ts, strict, hash_method).publish()
+
+
+class PreparedRun:
+    """A run whose tables are all written, based on the version that was current when it began."""
+
+    def __init__(self, wh: Warehouse, result: RunResult, run_ts: dt.datetime, base: int):
+        self.wh, self.result, self.run_ts, self.base = wh, result, run_ts, base
+
+    def publish(self) -> RunResult:
+        """Make the run the version after the one it started from, or roll it back."""
+        with _rolled_back(self.wh, self.result.run_id):
+            self.wh.publish(self.result.run_id, self.run_ts, self.base)
+        return self.result
+
+
+@contextmanager
+def _rolled_back(wh: Warehouse, run_id: str):
+    """Delete a run's files if the block fails."""
     try:
-        return _run(spark, feeds, wh, run_id, run_ts, strict, hash_method)
+        yield
     except BaseException:
         try:  # best effort: the original error is what the caller must see
             wh.discard(run_id)
@@ -92,8 +110,21 @@ def run_refresh(spark: SparkSession, feeds: Feeds, warehouse_root: str,
         raise
 
 
+def prepare_refresh(spark: SparkSession, feeds: Feeds, warehouse_root: str,
+                    run_ts: dt.datetime | None = None, strict: bool = False,
+                    hash_method: str = "xxhash64") -> PreparedRun:
+    """The first part of ``run_refresh``: everything but the publication."""
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_id = f"{run_ts.strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:12]}"
+    wh = Warehouse(spark, warehouse_root)
+    base = wh.version()
+    wh.compact_audit(base)
+    with _rolled_back(wh, run_id):
+        return PreparedRun(wh, _run(spark, feeds, wh, run_id, run_ts, base, strict, hash_method), run_ts, base)
+
+
 def _run(spark: SparkSession, feeds: Feeds, wh: Warehouse, run_id: str, run_ts: dt.datetime,
-         strict: bool, hash_method: str) -> RunResult:
+         base: int, strict: bool, hash_method: str) -> RunResult:
     result = RunResult(run_id)
     at = F.lit(run_ts).cast("timestamp_ntz")
 
@@ -137,7 +168,7 @@ def _run(spark: SparkSession, feeds: Feeds, wh: Warehouse, run_id: str, run_ts:
         UNEMPLOYMENT_SOURCE: result.snapshots[RAW_UNEMPLOYMENT],
         POPULATION_SOURCE: result.snapshots[RAW_POPULATION],
     })
-    audit = not_null_columns(A.classify(current, wh.audit_history(), at), schemas.REQUIRED[AUDIT], AUDIT)
+    audit = not_null_columns(A.classify(current, wh.audit_latest(base), at), schemas.REQUIRED[AUDIT], AUDIT)
     counted = Observation(AUDIT)
     wh.write_audit(audit.observe(counted, _count()), run_id)
     result.metrics[AUDIT] = int(counted.get["rows"])
@@ -146,16 +177,15 @@ def _run(spark: SparkSession, feeds: Feeds, wh: Warehouse, run_id: str, run_ts:
     stg_p = write(S.stage_population(raw_p), STAGING, STG_POPULATION)
     pop = write(M.country_population(stg_p), MART, POPULATION)
     write(M.total_with_population(total, pop), MART, WITH_POPULATION)
-
-    wh.publish(run_id, run_ts)
     return result
 
 
-def published_marts(spark: SparkSession, warehouse_root: str, run_id: str | None = None):
-    """The four marts of the current (or a given) published run."""
+def published_marts(spark: SparkSession, warehouse_root: str, run_id: str | None = None,
+                    version: int | None = None):
+    """The four marts of the current published run, or of a given run or version."""
     from tallyhouse.plans.queries import Marts
     wh = Warehouse(spark, warehouse_root)
-    run_id = run_id or wh.current_run()
+    run_id = run_id or (wh.run_at(version) if version else wh.current_run())
     def mart(table: str) -> DataFrame:
         return wh.read(MART, table, run_id).drop(_load_column(table))
 

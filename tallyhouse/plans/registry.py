@@ -218,7 +218,7 @@ def full_refresh(spark, sf_dir):
         R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root,
                       FIXED_RUN_TS + dt.timedelta(days=i), hash_method="md5")
     Warehouse(spark, root).retain(1)       # the audit log outlives superseded tables
-    return Warehouse(spark, root).audit_history().drop("observed_at", "run_id", "published_at")
+    return Warehouse(spark, root).audit_history().drop("observed_at", "run_id", "version")
 
 
 def refresh_retry(spark, sf_dir):
@@ -237,6 +237,27 @@ def refresh_retry(spark, sf_dir):
     raise AssertionError("a refresh without population rows must fail")
 
 
+def refresh_conflict(spark, sf_dir):
+    """Two refreshes that overlap: the one that began first finishes last, loses and leaves nothing;
+    the published fact is the other's, the only version."""
+    from tallyhouse.plans import refresh as R
+    from tallyhouse.sources.commits import CommitConflict
+    from tallyhouse.sources.warehouse import Warehouse
+    root = fresh_scratch_path(spark, "warehouse")
+    early = feeds_from_tables(spark, sf_dir)
+    early.employment = early.employment.filter(F.col("_pos.o_orderkey") % 10 == 0)
+    slow = R.prepare_refresh(spark, early, root, FIXED_RUN_TS)
+    R.run_refresh(spark, feeds_from_tables(spark, sf_dir), root, FIXED_RUN_TS)
+    try:
+        slow.publish()
+    except CommitConflict:
+        markers = Warehouse(spark, root).markers()
+        return R.published_marts(spark, root, version=1).fact.select(
+            "*", markers.agg(F.count(F.lit(1))).scalar().alias("versions"),
+            markers.agg(F.max("version")).scalar().alias("newest"))
+    raise AssertionError("a run based on a superseded version must not publish")
+
+
 def load_times(spark, sf_dir):
     """Rows and distinct load times of the published tables of one run: one time per run."""
     from tallyhouse.plans import refresh as R
@@ -342,6 +363,7 @@ def queries() -> dict[str, Query]:
         "run_metrics": run_metrics,
         "full_refresh": full_refresh,
         "refresh_retry": refresh_retry,
+        "refresh_conflict": refresh_conflict,
         "load_times": load_times,
         "upsert_ordered": upsert_ordered_query,
         "not_null_violations": not_null_violations,

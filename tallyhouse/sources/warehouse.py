@@ -1,24 +1,33 @@
 """Warehouse layout on shared storage, with all-or-nothing publication of runs.
 
-    <root>/runs/run_id=<id>/<layer>/<table>/     every table of one run (Parquet)
+    <root>/runs/run_id=<id>/<layer>/<table>/    every table of one run (Parquet)
     <root>/audit/run_id=<id>/                   its rows of the audit log
-    <root>/_published/run_id=<id>/              one marker row per published run
-
-A run writes all of its tables first and appends its marker last; readers resolve the marker
-published last, so a run that fails half way is never visible and the previous run stays
-readable. Nothing that exists is ever written again: run ids are unique and writes refuse an
-existing path. The audit log is one table outside the run folders, of which readers see the
-rows of published runs (a semi-join with the markers); it outlives the tables of superseded
-runs, which ``retain`` deletes.
+    <root>/_versions/<number>.json              one small file per published run
+    <root>/_audit_checkpoints/                  the audit log of many runs in a few files
+
+A run writes all of its tables first and commits its version last; readers resolve the newest
+version (or pin one), so a run that fails half way is never visible and the previous run stays
+readable. A run states the version it started from: of two runs that overlap, the one that commits
+second fails and is rolled back (``commits.CommitConflict``). The order of versions is their number;
+no clock decides. Nothing that exists is ever written again: run ids are unique and writes refuse an
+existing path.
+
+The audit log is one table outside the run folders; it outlives the tables of superseded runs, which
+``retain`` deletes. Every COMPACT_EVERY versions its rows are written together as a checkpoint, with
+the latest row per source, so that looking up what a source held last reads the newest checkpoint and
+at most as many run folders as were published since, however many there have been.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tallyhouse import schemas
+from tallyhouse.operators.audit import latest_rows
+from tallyhouse.sources.commits import CommitConflict, CommitLog
 
 INGESTION, STAGING, MART = "ingestion", "staging", "mart"
 
@@ -43,7 +52,10 @@ COLUMN_ORDER = {
 }
 
 
-MARKER = "run_ts timestamp_ntz, published_at timestamp_ntz, run_id string"
+MARKER = "version bigint, run_id string, run_ts string"
+COMPACT_EVERY = 32
+AUDIT_ROW = T.StructType([*schemas.AUDIT.fields, T.StructField("run_id", T.StringType())])
+AUDIT_VERSIONED = T.StructType([*AUDIT_ROW.fields, T.StructField("version", T.LongType())])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -67,6 +79,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/_versions")
+        self.checkpoints = CommitLog(spark, f"{self.root}/_audit_checkpoints/log")
 
     # ----- layout -----
     def run_path(self, run_id: str) -> str:
@@ -75,10 +89,6 @@ class Warehouse:
     def table_path(self, run_id: str, layer: str, table: str) -> str:
         return f"{self.run_path(run_id)}/{layer}/{table}"
 
-    @property
-    def marker_path(self) -> str:
-        return f"{self.root}/_published"
-
     @property
     def audit_path(self) -> str:
         return f"{self.root}/audit"
@@ -132,37 +142,43 @@ class Warehouse:
         fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         present = [x.getPath().getName().removeprefix("run_id=") for x in fs.listStatus(hpath)]
         order = (self.markers().filter(F.col("run_id").isin(present))
-                 .orderBy(F.desc("published_at"), F.desc("run_id")).select("run_id").collect())
+                 .orderBy(F.desc("version")).select("run_id").collect())
         old = [r.run_id for r in order[max(keep, 1):]]
         for run_id in old:
             self._delete(self.run_path(run_id))
         return old
 
-    def publish(self, run_id: str, run_ts: dt.datetime) -> None:
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        marker = self.spark.createDataFrame([(run_ts, now)], "run_ts timestamp_ntz, published_at timestamp_ntz")
-        marker.coalesce(1).write.mode("errorifexists").parquet(f"{self.marker_path}/run_id={run_id}")
+    def publish(self, run_id: str, run_ts: dt.datetime, base: int) -> int:
+        """Make a run the version after ``base``, the one it started from; raises
+        ``CommitConflict`` if another run has been published since."""
+        return self.log.commit(base, {"run_id": run_id, "run_ts": run_ts.isoformat()})
 
     # ----- reading -----
+    def version(self) -> int:
+        """The newest version, 0 before the first."""
+        return self.log.latest()
+
+    def run_at(self, version: int) -> str:
+        """The run of a version, for readers that pin one."""
+        return self.log.entry(version)["run_id"]
+
     def markers(self) -> DataFrame:
-        """One row per published run: run_ts, published_at, run_id."""
-        if not path_exists(self.spark, self.marker_path):
-            return self.spark.createDataFrame([], MARKER)
-        return self.spark.read.schema(MARKER).parquet(self.marker_path)
+        """One row per published run: version, run_id, run_ts."""
+        return self.log.entries(MARKER)
 
     def is_published(self, run_id: str) -> bool:
         return not self.markers().filter(F.col("run_id") == run_id).isEmpty()
 
     def published_runs(self) -> list[str]:
-        """Published run ids, oldest publication first (for inspection)."""
-        return [r.run_id for r in self.markers().orderBy("published_at", "run_id").collect()]
+        """Published run ids, oldest version first (for inspection)."""
+        return [r.run_id for r in self.markers().orderBy("version").collect()]
 
     def current_run(self) -> str:
-        """The run published last."""
-        last = self.markers().agg(F.max_by("run_id", F.struct("published_at", "run_id"))).first()[0]
-        if last is None:
+        """The run of the newest version."""
+        version = self.version()
+        if not version:
             raise RuntimeError(f"no published run under {self.root}")
-        return last
+        return self.run_at(version)
 
     def read(self, layer: str, table: str, run_id: str | None = None,
              schema=None) -> DataFrame:
@@ -176,13 +192,60 @@ class Warehouse:
             df = df.withColumn("year", F.col("year").cast("int")).select(*COLUMN_ORDER[table], *loaded)
         return df
 
-    def audit_history(self) -> DataFrame:
-        """Audit rows of all published runs, with run_id and published_at."""
-        if not path_exists(self.spark, self.audit_path):
-            return self.spark.createDataFrame(
-                [], T.StructType([*schemas.AUDIT.fields, T.StructField("run_id", T.StringType()),
-                                  T.StructField("published_at", T.TimestampNTZType())]))
-        rows = self.spark.read.schema(T.StructType([*schemas.AUDIT.fields, T.StructField("run_id", T.StringType())])
-                                      ).parquet(self.audit_path)
-        return rows.join(self.markers().select("run_id", "published_at"), "run_id").select(
-            *schemas.AUDIT.fieldNames(), "run_id", "published_at")
+    # ----- audit log -----
+    def _audit_tail(self, after: int, until: int) -> DataFrame:
+        """Audit rows of the versions ``after`` + 1 to ``until``, read from their folders."""
+        runs = self.log.entries(MARKER, after, until).select("version", "run_id").collect()
+        if not runs:
+            return self.spark.createDataFrame([], AUDIT_VERSIONED)
+        rows = (self.spark.read.schema(AUDIT_ROW).option("basePath", self.audit_path)
+                .parquet(*[f"{self.audit_path}/run_id={r.run_id}" for r in runs]))
+        return rows.join(self.spark.createDataFrame(runs, "version bigint, run_id string"), "run_id").select(
+            *AUDIT_VERSIONED.fieldNames())
+
+    def _checkpoint(self, until: int) -> dict:
+        """The newest audit checkpoint that holds no version beyond ``until``."""
+        number = self.checkpoints.latest()
+        while number and self.checkpoints.entry(number)["until"] > until:
+            number -= 1
+        return self.checkpoints.entry(number) if number else {"until": 0, "segments": []}
+
+    def _part(self, name: str, part: str) -> DataFrame:
+        return self.spark.read.schema(AUDIT_VERSIONED).parquet(f"{self.root}/_audit_checkpoints/{name}/{part}")
+
+    def audit_latest(self, version: int | None = None) -> DataFrame:
+        """The latest audit row of every source at a version (default: the newest): the newest
+        checkpoint's and those of the runs since."""
+        version = self.version() if version is None else version
+        seen = self._checkpoint(version)
+        tail = self._audit_tail(seen["until"], version)
+        if seen["segments"]:
+            tail = tail.unionByName(self._part(seen["segments"][-1], "latest"))
+        return latest_rows(tail)
+
+    def audit_history(self, version: int | None = None) -> DataFrame:
+        """Audit rows of all published runs up to a version, with run_id and version: one folder per
+        checkpoint and one per run since."""
+        version = self.version() if version is None else version
+        seen = self._checkpoint(version)
+        rows = self._audit_tail(seen["until"], version)
+        for name in seen["segments"]:
+            rows = rows.unionByName(self._part(name, "rows"))
+        return rows
+
+    def compact_audit(self, version: int) -> bool:
+        """Write a checkpoint once COMPACT_EVERY versions have been published since the last one."""
+        number = self.checkpoints.latest()
+        seen = self.checkpoints.entry(number) if number else {"until": 0, "segments": []}
+        if version - seen["until"] < COMPACT_EVERY:
+            return False
+        name = f"until-{version:020d}-{uuid.uuid4().hex[:12]}"
+        place = f"{self.root}/_audit_checkpoints/{name}"
+        self._audit_tail(seen["until"], version).coalesce(1).write.parquet(f"{place}/rows")
+        self.audit_latest(version).coalesce(1).write.parquet(f"{place}/latest")
+        try:
+            self.checkpoints.commit(number, {"until": version, "segments": [*seen["segments"], name]})
+        except CommitConflict:      # another run wrote one for the same versions
+            self._delete(place)
+            return False
+        return True

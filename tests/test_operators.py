@@ -94,11 +94,11 @@ def test_upsert_duplicate_source_key_fails(spark):
 def test_latest_audit_row_is_the_last_published(spark):
     import datetime as dt
     t = dt.datetime(2025, 1, 1)
-    rows = [("s", n, n, t, f"r{n}", t + dt.timedelta(n)) for n in (1, 3, 2)]
+    rows = [("s", n, n, t, f"r{n}", n) for n in (1, 3, 2)]
     hist = spark.createDataFrame(rows, "source_name string, observed_rows long, observed_fingerprint long, "
-                                 "observed_at timestamp_ntz, run_id string, published_at timestamp_ntz")
+                                 "observed_at timestamp_ntz, run_id string, version long")
     assert A.latest_per_source(hist).first().previous_rows == 3
-    assert A.latest_per_source(hist.drop("published_at")).first().previous_rows == 3
+    assert A.latest_per_source(hist.drop("version")).first().previous_rows == 3
 
 
 def test_upsert_ordered_last_wins(spark):
