@@ -24,6 +24,7 @@ from tallyhouse.plans.layers import (FIXED_RUN_TS, build_layers, feeds_from_tabl
                                      layers_from_tables, written_marts)
 from tallyhouse.session import fresh_scratch_path
 from tallyhouse.sources import files, testfeeds
+from tallyhouse.sources.partitioned import PartitionedTable
 from tallyhouse.sources.quoted_csv import csv_defects, read_quoted_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -316,22 +317,47 @@ def wide_ntile(spark, sf_dir):
     return ntile(fact, 7, ["employment_rate", "iso_code", "sex", "age", "year"], out="bucket")
 
 
+def _wide_table(spark, df):
+    """A partitioned table that holds ``df``."""
+    table = PartitionedTable(spark, fresh_scratch_path(spark, "merged"), df.schema)
+    table.merge(df, lambda target, source: source)
+    return table
+
+
 def wide_upsert_do_nothing(spark, sf_dir):
-    """Insert-or-ignore of delivery B into the staging of delivery A, wide codes."""
+    """Insert-or-ignore of delivery B into the staging of delivery A, wide codes, merged by year."""
     a, b = (S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, r, wide=True), FIXED_RUN_TS) for r in "AB")
-    return insert_ignore(S.stage_rates(a, "employment_rate"), S.validated_rates(b, "employment_rate"),
-                         schemas.RATE_KEYS, ["_pos"])
+    table = _wide_table(spark, S.stage_rates(a, "employment_rate"))
+    table.insert_ignore(S.validated_rates(b, "employment_rate"), schemas.RATE_KEYS, ["_pos"])
+    return table.read()
 
 
 def wide_upsert_do_update(spark, sf_dir):
-    """Insert-or-update of the wide fact from delivery B into that from delivery A: rates
-    and metrics update, the country does not."""
+    """Insert-or-update of the wide fact from delivery B into that from delivery A, merged by year:
+    rates and metrics update, the country does not."""
     feeds = feeds_from_tables(spark, sf_dir, wide=True)
     stg_u = S.stage_rates(S.land_rates(feeds.unemployment, FIXED_RUN_TS), "unemployment_rate")
     facts = [M.rates_fact(S.stage_rates(S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, r, wide=True), FIXED_RUN_TS),
                                         "employment_rate"), stg_u) for r in "AB"]
     update = [c for c in facts[0].columns if c not in (*schemas.RATE_KEYS, "country")]
-    return upsert(facts[0], facts[1], schemas.RATE_KEYS, update)
+    table = _wide_table(spark, facts[0])
+    table.upsert(facts[1], schemas.RATE_KEYS, update)
+    return table.read()
+
+
+def wide_keep_first_deliveries(spark, sf_dir):
+    """The wide employment feed in three deliveries (every third order), merged one by one, the last
+    one first: per key the first valid row by delivery, then position."""
+    ok = F.col("_pos.o_orderkey")
+    feed = S.land_rates(testfeeds.audit_run_feed(spark, sf_dir, "B", wide=True), FIXED_RUN_TS)
+    table = None
+    for delivery in (2, 0, 1):
+        rows = S.validated_rates(feed.filter(ok % 3 == delivery), "employment_rate").select(
+            "iso_code", "country", "sex", "age", "year", "employment_rate", F.lit(delivery).alias("delivery"),
+            ok.alias("position"))
+        table = table or PartitionedTable(spark, fresh_scratch_path(spark, "winners"), rows.schema)
+        table.keep_first(rows, schemas.RATE_KEYS, ["delivery", "position"])
+    return table.read()
 
 
 def queries() -> dict[str, Query]:
@@ -372,4 +398,5 @@ def queries() -> dict[str, Query]:
         "wide_ntile": wide_ntile,
         "wide_upsert_do_nothing": wide_upsert_do_nothing,
         "wide_upsert_do_update": wide_upsert_do_update,
+        "wide_keep_first_deliveries": wide_keep_first_deliveries,
     }
