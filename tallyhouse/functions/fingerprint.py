@@ -33,6 +33,7 @@ def row_hash(*cols, method: str = "xxhash64") -> Column:
     raise ValueError(f"unknown hash method {method!r}")
 
 
-def fingerprint_agg(*cols, method: str = "xxhash64") -> Column:
-    """Aggregate: XOR of row hashes, 0 for an empty input."""
-    return F.coalesce(F.bit_xor(row_hash(*cols, method=method)), F.lit(0).cast("bigint"))
+def fingerprint_agg(*cols, method: str = "xxhash64", where: Column | None = None) -> Column:
+    """Aggregate: XOR of row hashes (of the rows that meet ``where``), 0 for an empty input."""
+    h = row_hash(*cols, method=method)
+    return F.coalesce(F.bit_xor(h if where is None else F.when(where, h)), F.lit(0).cast("bigint"))

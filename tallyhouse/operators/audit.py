@@ -16,16 +16,24 @@ CONTENT_CHANGED = "content_changed_same_count"
 UNCHANGED = "unchanged"
 
 
-def snapshot(df: DataFrame, source_name: str, cols: Sequence, method: str = "xxhash64") -> DataFrame:
-    """One row: ``source_name, observed_rows, observed_fingerprint``.
+def snapshots(df: DataFrame, parts: dict[str, tuple[Column | None, Sequence]], method: str = "xxhash64") -> DataFrame:
+    """One row per name in ``parts``: ``source_name, observed_rows, observed_fingerprint`` of the rows
+    that meet its condition (None: all), hashed over its columns; all of them in one pass.
 
     A global aggregate with partial aggregation: each task folds its rows into a
-    (count, xor) pair; only those pairs are exchanged.
+    (count, xor) pair per name; only those pairs are exchanged.
     """
-    return df.agg(
-        F.count(F.lit(1)).alias("observed_rows"),
-        fingerprint_agg(*cols, method=method).alias("observed_fingerprint"),
-    ).select(F.lit(source_name).alias("source_name"), "observed_rows", "observed_fingerprint")
+    def one(name: str, keep: Column | None, cols: Sequence) -> Column:
+        kept = F.lit(True) if keep is None else keep
+        return F.struct(F.lit(name).alias("source_name"), F.count(F.when(kept, 1)).alias("observed_rows"),
+                        fingerprint_agg(*cols, method=method, where=keep).alias("observed_fingerprint"))
+
+    return df.agg(F.array(*[one(n, *p) for n, p in parts.items()]).alias("s")).select(F.inline("s"))
+
+
+def snapshot(df: DataFrame, source_name: str, cols: Sequence, method: str = "xxhash64") -> DataFrame:
+    """One row: ``source_name, observed_rows, observed_fingerprint``."""
+    return snapshots(df, {source_name: (None, cols)}, method)
 
 
 def observed_snapshot(spark: SparkSession, values: dict[str, tuple[int, int]]) -> DataFrame:

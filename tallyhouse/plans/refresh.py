@@ -24,7 +24,9 @@ from tallyhouse.plans import marts as M
 from tallyhouse.plans import staging as S
 from tallyhouse.plans.layers import Feeds
 from tallyhouse.sources import files
+from tallyhouse.sources.file_fingerprints import FileFingerprints
 from tallyhouse.sources.quoted_csv import read_quoted_csv
+from tallyhouse.sources.split_json import read_split_json
 from tallyhouse.sources.warehouse import INGESTION, MART, STAGING, Warehouse
 
 # Source names recorded in the audit log.
@@ -57,8 +59,18 @@ def feeds_from_files(spark: SparkSession, employment_csv, unemployment_csv, popu
     fail the run on blank lines and bytes that are not UTF-8; ``strict_bytes=False`` reads them with
     Spark's CSV source alone (one pass, no such checks, no line breaks inside fields)."""
     read = read_quoted_csv if strict_bytes else files.read_rate_csv
-    return Feeds(read(spark, employment_csv), read(spark, unemployment_csv),
-                 files.read_population_json(spark, population_json))
+    return Feeds(read(spark, employment_csv), read(spark, unemployment_csv), read_split_json(spark, population_json))
+
+
+def changed_rate_files(spark: SparkSession, warehouse_root: str, employment_csv, unemployment_csv) -> DataFrame:
+    """How the rate files that lie ready differ from what the newest run loaded: its audit rows, without
+    landing anything. One (count, fingerprint) partial per file is kept with the warehouse, so only
+    files that are new or changed since the last look are read."""
+    wh = Warehouse(spark, warehouse_root)
+    partials = FileFingerprints(spark, f"{wh.root}/_file_fingerprints", schemas.RATE_FILE_COLUMNS)
+    now = [partials.snapshot(name, read_quoted_csv, path) for name, path in (
+        (EMPLOYMENT_SOURCE, employment_csv), (UNEMPLOYMENT_SOURCE, unemployment_csv))]
+    return A.classify(now[0].unionByName(now[1]), wh.audit_latest(), F.localtimestamp())
 
 
 def _load_column(table: str) -> str:

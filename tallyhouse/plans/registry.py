@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse import schemas
 from tallyhouse.functions import validate as V
 from tallyhouse.functions.constraints import not_null_columns
-from tallyhouse.functions.fingerprint import row_hash
 from tallyhouse.operators import audit as A
 from tallyhouse.operators.ntile import ntile
 from tallyhouse.operators.upsert import insert_ignore, upsert, upsert_ordered
@@ -24,8 +23,10 @@ from tallyhouse.plans.layers import (FIXED_RUN_TS, build_layers, feeds_from_tabl
                                      layers_from_tables, written_marts)
 from tallyhouse.session import fresh_scratch_path
 from tallyhouse.sources import files, testfeeds
+from tallyhouse.sources.file_fingerprints import FileFingerprints
 from tallyhouse.sources.partitioned import PartitionedTable
 from tallyhouse.sources.quoted_csv import csv_defects, read_quoted_csv
+from tallyhouse.sources.split_json import read_split_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 SIX = schemas.RATE_FILE_COLUMNS
@@ -101,27 +102,20 @@ def audit_change_log(spark, sf_dir):
     """Four deliveries of the employment file audited in turn; all four change types.
 
     The deliveries differ by a condition on the same rows, so one pass over the feed takes
-    all four snapshots (conditional count and XOR), and each is classified against the one
+    all four snapshots, and each is classified against the one
     before it as the latest row of the history.
     """
     ok = F.col("_pos.o_orderkey")
-    raw = testfeeds.employment_feed(spark, sf_dir)
-    edited = F.when(ok == 1, F.lit("99.999")).otherwise(F.col("obs_value"))
-    h = row_hash(*SIX, method="md5")
-    h_edited = row_hash(*SIX[:5], edited, method="md5")
-    runs = {"A": (ok % 10 != 0, h), "B": (F.lit(True), h), "C": (F.lit(True), h_edited),
-            "D": (F.lit(True), h_edited)}
-    one = raw.agg(*[x for k, (keep, hashed) in runs.items() for x in (
-        F.count(F.when(keep, 1)).alias(f"n{k}"),
-        F.coalesce(F.bit_xor(F.when(keep, hashed)), F.lit(0)).alias(f"f{k}"))])
+    edited = [*SIX[:5], F.when(ok == 1, F.lit("99.999")).otherwise(F.col("obs_value"))]
+    deliveries = {"A": (ok % 10 != 0, SIX), "B": (None, SIX), "C": (None, edited), "D": (None, edited)}
     path = fresh_scratch_path(spark, "audit-snapshots")
+    one = A.snapshots(testfeeds.employment_feed(spark, sf_dir), deliveries, method="md5")
     one.write.parquet(path)
     snaps = spark.read.schema(one.schema).parquet(path)
     history = A.empty_history(spark)
     base = dt.datetime(2025, 1, 1)
-    for i, k in enumerate(runs):
-        snap = snaps.select(F.lit("occupazione_csv").alias("source_name"),
-                            F.col(f"n{k}").alias("observed_rows"), F.col(f"f{k}").alias("observed_fingerprint"))
+    for i, name in enumerate(deliveries):
+        snap = snaps.filter(F.col("source_name") == name).withColumn("source_name", F.lit("occupazione_csv"))
         history = history.unionByName(A.classify(snap, history, base + dt.timedelta(minutes=i)))
     return history.drop("observed_at")
 
@@ -194,13 +188,35 @@ def csv_strict_bytes(spark, sf_dir):
 
 
 def json_source(spark, sf_dir):
-    """Population objects written as JSON list documents and read back (VARIANT)."""
+    """Population objects landed as one JSON list document and read back split (VARIANT)."""
+    objects = testfeeds.population_objects(spark, sf_dir)
+    path = fresh_scratch_path(spark, "population-json")
+    testfeeds.one_json_document(objects, path)
+    return read_split_json(spark, path).select("code", "name", "population")
+
+
+def json_source_files(spark, sf_dir):
+    """Population objects written as many JSON list documents, each read by one task."""
     objects = testfeeds.population_objects(spark, sf_dir)
     path = fresh_scratch_path(spark, "population-json")
     files.write_population_json(objects, path)
     return files.read_population_json(spark, path).select("code", "name", "population")
 
 
+def audit_file_partials(spark, sf_dir):
+    """Two deliveries of employment files, the second with the files of the first and more: count and
+    fingerprint of each, folded from one partial per file; files seen before are not read again."""
+    ok = F.col("_pos.o_orderkey")
+    feed = testfeeds.employment_feed(spark, sf_dir)
+    base = fresh_scratch_path(spark, "deliveries")
+    for name, rows in (("first", feed.filter(ok % 10 != 0)), ("more", feed.filter(ok % 10 == 0))):
+        files.write_rate_csv(rows, f"{base}/{name}")
+    audit = FileFingerprints(spark, f"{base}-partials", SIX, method="md5")
+    one = audit.snapshot("occupazione_csv", files.read_rate_csv, [f"{base}/first"])
+    two = audit.snapshot("occupazione_csv", files.read_rate_csv, [f"{base}/first", f"{base}/more"])
+    return one.withColumn("delivery", F.lit(1)).unionByName(two.withColumn("delivery", F.lit(2)))
+
+
 def run_metrics(spark, sf_dir):
     """One full refresh of the test feeds; the row count of every table as the run observed
     it while writing."""
@@ -386,6 +402,8 @@ def queries() -> dict[str, Query]:
         "csv_quoted_breaks": csv_quoted_breaks,
         "csv_strict_bytes": csv_strict_bytes,
         "json_source": json_source,
+        "json_source_files": json_source_files,
+        "audit_file_partials": audit_file_partials,
         "run_metrics": run_metrics,
         "full_refresh": full_refresh,
         "refresh_retry": refresh_retry,

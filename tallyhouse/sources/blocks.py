@@ -49,3 +49,25 @@ def before_block(value: Column) -> Column:
 def occurrences(text: Column, char: str) -> Column:
     """How often an ASCII character occurs in ``text``, whose bytes may be no valid UTF-8."""
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def stitched(parts: DataFrame, glue: str) -> DataFrame:
+    """Pieces (file, block, seq, text, starts) put together, from each piece with ``starts`` = 1 up to
+    the next one, with ``glue`` between: (file, block, seq, text) with the place of the first. A whole
+    may go on over any number of blocks; one whole is put together in one task."""
+    ordered = parts.withColumn("number", before_in_block(F.col("starts")) + F.col("starts"))
+    ordered = written(ordered.select(*PLACE, "text", "starts", "number"), "pieces")
+    # pieces before the first start of a block belong to the last whole begun in an earlier block
+    begun = ordered.groupBy("file", "block").agg(F.sum("starts").alias("begun"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("begun") > 0, F.struct(F.col("block").alias("of_block"), F.col("begun").alias("of_number"))),
+                  ignorenulls=True).over(earlier)
+    begun = begun.select("file", "block", last.alias("carried"))
+    own = F.col("number") > 0
+    owned = ordered.join(begun, ["file", "block"]).select(
+        *PLACE, "text", F.when(own, F.col("block")).otherwise(F.col("carried.of_block")).alias("of_block"),
+        F.when(own, F.col("number")).otherwise(F.col("carried.of_number")).alias("of_number"))
+    wholes = owned.groupBy("file", "of_block", "of_number").agg(
+        F.array_sort(F.collect_list(F.struct("block", "seq", "text"))).alias("pieces"))
+    return wholes.select("file", F.col("pieces")[0]["block"].alias("block"), F.col("pieces")[0]["seq"].alias("seq"),
+                         F.array_join("pieces.text", glue).alias("text"))

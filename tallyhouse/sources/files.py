@@ -55,7 +55,7 @@ def read_population_json(spark: SparkSession, path) -> DataFrame:
     stay distinguishable; fields are then coerced like the API client did:
     integers kept, numbers truncated, numeric strings parsed, ``true`` -> 1,
     anything else NULL. Output: ``code, name, population, _pos`` with ``_pos`` =
-    (file, 0, index in the list). One file is one task: land many files at volume.
+    (file, 0, index in the list). One file is one task: ``split_json`` reads large ones.
     """
     docs = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
@@ -65,13 +65,16 @@ def read_population_json(spark: SparkSession, path) -> DataFrame:
                      F.raise_error(F.concat(F.lit("population payload is not a list: "),
                                             F.col("file")))).otherwise(items)
     exploded = docs.select("file", F.posexplode(checked).alias("idx", "item"))
-    return exploded.select(
+    return population_fields(exploded.select("item", F.struct(
+        F.col("file"), F.lit(0).cast("bigint").alias("block"), F.col("idx").cast("bigint").alias("seq")).alias("_pos")))
+
+
+def population_fields(elements: DataFrame) -> DataFrame:
+    """List elements (item, _pos) -> code, name, population, _pos, coerced as above."""
+    return elements.select(
         _truthy_text("item", "alpha3Code").alias("code"),
         _truthy_text("item", "name").alias("name"),
-        F.try_variant_get("item", "$.population", "bigint").alias("population"),
-        F.struct(F.col("file"), F.lit(0).cast("bigint").alias("block"),
-                 F.col("idx").cast("bigint").alias("seq")).alias("_pos"),
-    )
+        F.try_variant_get("item", "$.population", "bigint").alias("population"), "_pos")
 
 
 def _truthy_text(item: str, field: str):

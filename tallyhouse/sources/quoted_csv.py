@@ -44,29 +44,13 @@ def _fail_if(bad: Column, message: str, value: Column) -> Column:
         "string")).otherwise(value)
 
 
-def _stitched(torn: DataFrame) -> DataFrame:
+def _records(torn: DataFrame) -> DataFrame:
     """Records of the blocks that need it: (file, block, seq, text) of their first line."""
-    starts = (F.col("quotes") % 2 == 0).cast("int")
     ordered = torn.withColumn("quotes", F.col("inside") + B.before_in_block(F.col("odd")))
-    ordered = ordered.withColumn("starts", starts).withColumn("number", B.before_in_block(F.col("starts")) + F.col("starts"))
-    ordered = B.written(ordered.select(*B.PLACE, "text", "odd", "starts", "number"), "csv-torn")
-    # lines before the first record of a block belong to the last one begun in an earlier block
-    begun = ordered.groupBy("file", "block").agg(F.sum("starts").alias("begun"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(F.col("begun") > 0, F.struct(F.col("block").alias("of_block"), F.col("begun").alias("of_number"))),
-                  ignorenulls=True).over(earlier)
-    begun = begun.select("file", "block", last.alias("carried"))
+    starts = (F.col("quotes") % 2 == 0).cast("int")
+    ordered = B.written(ordered.select(*B.PLACE, "text", "odd", starts.alias("starts")), "csv-torn")
     single = (F.col("starts") == 1) & (F.col("odd") == 0)
-    parts = ordered.filter(~single).join(begun, ["file", "block"])
-    own = F.col("number") > 0
-    parts = parts.select(
-        *B.PLACE, "text", F.when(own, F.col("block")).otherwise(F.col("carried.of_block")).alias("of_block"),
-        F.when(own, F.col("number")).otherwise(F.col("carried.of_number")).alias("of_number"))
-    line = F.struct("block", "seq", "text")
-    joined = parts.groupBy("file", "of_block", "of_number").agg(F.array_sort(F.collect_list(line)).alias("lines"))
-    return ordered.filter(single).select(*B.PLACE, "text").unionByName(joined.select(
-        "file", F.col("lines")[0]["block"].alias("block"), F.col("lines")[0]["seq"].alias("seq"),
-        F.array_join("lines.text", "\n").alias("text")))
+    return ordered.filter(single).select(*B.PLACE, "text").unionByName(B.stitched(ordered.filter(~single), "\n"))
 
 
 def csv_records(spark: SparkSession, path) -> DataFrame:
@@ -80,7 +64,7 @@ def csv_records(spark: SparkSession, path) -> DataFrame:
     plain = placed.filter(~torn).select(*B.PLACE, "text")
     broken = placed.filter(torn).select(
         *B.PLACE, "odd", "inside", _fail_if(F.col("unclosed"), "a quoted field is not closed", F.col("text")).alias("text"))
-    records = plain.unionByName(_stitched(broken)) if not rows.filter(torn).isEmpty() else plain
+    records = plain.unionByName(_records(broken)) if not rows.filter(torn).isEmpty() else plain
     heads = rows.filter("block = 0").select("file", "block", F.col("first_seq").alias("seq"))
     body = records.join(heads, B.PLACE, "left_anti").withColumn("text", F.regexp_replace("text", "\r\\z", ""))
     return body.withColumn("text", _fail_if(F.col("text") == "", "a blank line", F.col("text")))

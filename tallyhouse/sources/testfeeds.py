@@ -119,6 +119,15 @@ def population_objects(spark: SparkSession, sf_dir: str, nation: DataFrame | Non
     )
 
 
+def one_json_document(objects: DataFrame, path: str) -> None:
+    """The objects, in order, as one file with one JSON list (written row by row, in one task)."""
+    first, last = (objects.agg(f("_pos")).scalar() for f in (F.min, F.max))
+    element = F.to_json(F.struct(F.col("code").alias("alpha3Code"), "name", "population"))
+    text = F.concat(F.when(F.col("_pos") == first, F.lit("[")).otherwise(F.lit(", ")), element,
+                    F.when(F.col("_pos") == last, F.lit("]")).otherwise(F.lit("")))
+    objects.select(text.alias("value"), "_pos").coalesce(1).sortWithinPartitions("_pos").select("value").write.text(path)
+
+
 def audit_run_feed(spark: SparkSession, sf_dir: str, run: str, wide: bool = False) -> DataFrame:
     """Four successive deliveries of the employment file for the audit fixture.
 
