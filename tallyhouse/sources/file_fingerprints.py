@@ -18,7 +18,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.fingerprint import fingerprint_agg
-from tallyhouse.sources.warehouse import path_exists
+from tallyhouse.sources.commits import FileSystem
 
 IDENTITY = ["file", "size", "modified"]
 PARTIAL = "file string, size bigint, modified timestamp, observed_rows bigint, observed_fingerprint bigint"
@@ -39,9 +39,11 @@ class FileFingerprints:
 
     def known(self) -> DataFrame:
         """One row per file, size and time looked at so far."""
-        if not path_exists(self.spark, self.folder):
+        # by name: two reads of one folder count as the same table in a plan, whatever was added between
+        looks = sorted(FileSystem(self.spark).names(self.folder))
+        if not looks:
             return self.spark.createDataFrame([], PARTIAL)
-        rows = self.spark.read.schema(PARTIAL).option("recursiveFileLookup", True).parquet(self.folder)
+        rows = self.spark.read.schema(PARTIAL).parquet(*[f"{self.folder}/{x}" for x in looks])
         return rows.groupBy(*IDENTITY).agg(F.any_value("observed_rows").alias("observed_rows"),
                                            F.any_value("observed_fingerprint").alias("observed_fingerprint"))
 
