@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, numbered, sheltered, staged
@@ -34,6 +34,7 @@ LANDING = 12             # units of a source that the landing settles besides th
 MERGE = 64               # buckets merged into one for the next flight
 BROADCAST_ROWS = 500_000 # rows of five numbers that may be broadcast to the texts
 MOST = 3.0               # a document is taken at most so often
+HEAVY = 4                # documents above so many mean sizes of their source are drawn before the others
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
@@ -158,19 +159,40 @@ def _narrow(df: DataFrame, seed: int, *more: str) -> DataFrame:
 
 
 def mix_sized(sized: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
-    """The mix of narrow rows that carry ``source``, ``size`` and a hash ``_key``."""
+    """The mix of narrow rows that carry ``source``, ``size`` and a hash ``_key``.
+
+    Documents of more than HEAVY mean sizes of their source are drawn first, as a sample of their
+    own: no choice of small documents at the landing could make up for one of them. The others then
+    share the words that the source still wants, so their landing settles the total."""
     sized = staged(sized, "sized")
     totals = staged(sized.groupBy("source").agg(F.sum("size").alias("source_size"),
                                                 F.count("*").alias("_docs")), "totals")
     docs = totals.agg(F.sum("_docs")).first()[0] or 0
-    targets = source_targets(totals.drop("_docs"), weights)
+    targets = source_targets(totals, weights)
     buckets = max(1, math.ceil(docs / BUCKET_ROWS))
-    ratio = F.least(F.lit(MOST), F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0)))
     joined = sized.join(targets.withColumnRenamed("source", "_s"),
                         F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    names = [c for c in joined.columns if c != "_key"]
-    open_ = joined.select(
-        *names, "_key", F.floor(ratio).cast("long").alias("_whole"), (ratio - F.floor(ratio)).alias("_pi"),
+    names = [c for c in joined.columns if c not in ("_key", "_docs")]
+    heavy = F.col("size") * F.col("_docs") > HEAVY * F.col("source_size")
+
+    def ratio(wanted: Column, size: Column) -> Column:
+        return F.greatest(F.lit(0.0), F.least(F.lit(MOST), F.coalesce(wanted / F.nullif(size, F.lit(0)), F.lit(0.0))))
+
+    first = staged(_drawn(joined.filter(heavy), ratio(F.col("target"), F.col("source_size")), names, buckets), "heavy")
+    done = first.groupBy(F.col("source").alias("_s")).agg(
+        F.sum(F.col("copies") * F.col("size")).alias("_taken"), F.sum("size").alias("_size"))
+    none = F.lit(0).cast("long")
+    light = joined.filter(~heavy).join(done, F.col("source").eqNullSafe(F.col("_s")), "left")
+    wanted = F.col("target") - F.coalesce("_taken", none)
+    rest = _drawn(light, ratio(wanted, F.col("source_size") - F.coalesce("_size", none)), names, buckets)
+    return first.unionByName(rest)
+
+
+def _drawn(rows: DataFrame, ratio: Column, names: list[str], buckets: int) -> DataFrame:
+    """``names`` of ``rows`` with copies: the cube sample at ``ratio`` copies a row on average."""
+    open_ = rows.withColumn("_ratio", ratio).select(
+        *names, "_key", F.floor("_ratio").cast("long").alias("_whole"),
+        (F.col("_ratio") - F.floor("_ratio")).alias("_pi"),
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")).alias("_source"),
         F.pmod("_key", F.lit(buckets)).cast("long").alias("_bucket"),
         (F.pmod(F.xxhash64("_key"), F.lit(1 << 30)) / float(1 << 30)).alias("_draw"))

@@ -56,6 +56,17 @@ def test_targets_met(spark):
     check(out, 5)
 
 
+def test_heavy_documents(spark):
+    """Sources with documents of a tenth and more of their words still meet their targets within the
+    size of a median document."""
+    r = np.random.default_rng(4)
+    rows = []
+    for k, heavy in enumerate([[], [20_000], [9_000, 15_000, 31_000], [4_000] * 9, [70_000]]):
+        sizes = [*heavy, *(int(x) for x in r.lognormal(5, 1, 400))]
+        rows += [(1000 * k + i, "w " * n, "en", f"s{k}") for i, n in enumerate(sizes)]
+    check(mixing.digest(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect(), 150)
+
+
 def test_many_buckets_and_reruns(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
     monkeypatch.setattr(mixing, "MERGE", 4)
