@@ -172,9 +172,10 @@ def pieces(m: Column) -> Column:
     """A match in pieces: what stands before a card, the card, and so on, ending with what stands
     behind the last; a match that holds no card among other digit groups is one piece.
 
-    A run of 13 to 19 digits that is a card stays whole. Otherwise every row of whole groups with
-    13 to 19 digits and a valid Luhn digit is a candidate: usual cards go first, then longer ones,
-    then those further left; those that overlap a card taken already are dropped."""
+    A run of 13 to 19 digits that is a card stays whole. Otherwise every row of whole groups that is
+    written as a usual card (USUAL) and has a valid Luhn digit is a candidate: longer ones go first,
+    then those further left; those that overlap a card taken already are dropped. Other rows of
+    groups inside a longer run are no cards: one in ten would pass the Luhn digit by chance."""
     def cards(tokens: Column) -> Column:
         groups = F.floor((F.size(tokens) + 1) / 2).cast("int")
 
@@ -182,13 +183,12 @@ def pieces(m: Column) -> Column:
             def one(j: Column) -> Column:
                 text = F.array_join(F.slice(tokens, 2 * i + 1, 2 * (j - i) + 1), "")
                 return let(text, lambda t: F.struct(
-                    F.when(t.rlike(USUAL), 0).otherwise(1).alias("rank"), (-F.length(_only(t, "0-9"))).alias("less"),
-                    i.alias("i"), j.alias("j"), t.alias("card")))
+                    (-F.length(_only(t, "0-9"))).alias("less"), i.alias("i"), j.alias("j"), t.alias("card")))
 
             return F.transform(F.sequence(i, F.least(i + 18, groups - 1)), one)
 
         found = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), groups - 1), at)), lambda c: F.when(
-            c["less"].between(-19, -13), F.pmod(luhn_sum(_only(c["card"], "0-9"), 1), F.lit(10)) == 0).otherwise(False))
+            c["less"].between(-19, -13) & c["card"].rlike(USUAL), F.pmod(luhn_sum(_only(c["card"], "0-9"), 1), F.lit(10)) == 0).otherwise(False))
         none = F.filter(found, lambda c: F.lit(False))
         taken = F.aggregate(F.array_sort(found), none, lambda done, c: F.when(
             F.exists(done, lambda d: (d["i"] <= c["j"]) & (c["i"] <= d["j"])), done).otherwise(F.concat(done, F.array(c))))

@@ -167,3 +167,13 @@ def test_other_text_is_untouched(spark):
     rows = random_docs(100, 8)
     df = spark.createDataFrame(rows, SCHEMA)
     assert {r.doc_id: r.text for r in pseudonyms.digest(df).collect()} == {r[0]: r[1] for r in rows}
+
+
+def test_number_tables_are_no_cards(spark):
+    """Rows of random digit groups: one in ten windows passes the Luhn digit, hardly any is a card."""
+    r = random.Random(6)
+    groups = [str(r.randrange(10 ** r.randint(1, 4))) for _ in range(20_000)]
+    text = "\n".join(" ".join(groups[i:i + 200]) for i in range(0, len(groups), 200))
+    rows = [(0, text), (1, "ref 77 4111 1111 1111 1111 12 5 and more")]
+    kinds = {x.doc_id: x.kinds for x in pseudonyms.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kinds[0].get("card", 0) < len(groups) / 1000 and kinds[1]["card"] == 1
