@@ -269,8 +269,11 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model | None:
     chosen = (known.filter(share(LABELLED, known.count(), "doc_id")).withColumn("_h", F.xxhash64("doc_id"))
               .withColumn("_part", F.pmod(F.xxhash64("_h"), F.lit(5))))
     # about LABELLED rows
-    rows = staged(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-                  .dropDuplicates(["doc_id"]).drop("_h"), "labelled")
+    # (of a repeated doc_id the text with the smallest hash, so that reruns learn from the same rows)
+    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = staged(found.groupBy("doc_id").agg(F.min_by(
+        F.struct("text", "_y", "_part"), F.struct(F.xxhash64("text"), F.col("text"))).alias("r")).select(
+            "doc_id", "r.text", "r._y", "r._part"), "labelled")
     words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}']+"),
                                       lambda w: F.length(w) > 1))
     stems = [F.transform(F.filter(words, partial(_reaches, n)), partial(_stem, n)) for n in STEMS]
