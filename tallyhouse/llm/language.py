@@ -219,19 +219,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def sample_windows(rows: list, classes: list[str], window: int = TRAIN_WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """WINDOWS evenly spread windows per training text (short texts repeat)."""
-    data, want = [], []
-    for row in rows:
-        raw = np.frombuffer(row.text.encode(), np.uint8)
-        if not len(raw):
-            continue
-        if len(raw) < window:
-            raw = np.resize(raw, window)
-        for s in np.linspace(0, len(raw) - window, WINDOWS).astype(int):
-            data.append(raw[s:s + window])
-            want.append(classes.index(row.lang))
-    return np.array(data, np.uint8).reshape(-1, window), np.array(want, int)
+def text_windows(raw: bytes, window: int = TRAIN_WINDOW) -> np.ndarray:
+    """WINDOWS evenly spread windows of a text, one a row (short texts repeat, empty ones have none)."""
+    data = np.frombuffer(raw, np.uint8)
+    if len(data) < window:
+        data = np.resize(data, window) if len(data) else np.zeros(0, np.uint8)
+    starts = np.linspace(0, len(data) - window, WINDOWS).astype(int) if len(data) else []
+    return np.array([data[s:s + window] for s in starts], np.uint8).reshape(-1, window)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, n, text) to (lang, n, windows): whole texts stay in the tasks."""
+    for batch in batches:
+        cut = [text_windows(t.as_py()).tobytes() for t in batch.column(2).cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.binary())], ["lang", "n", "windows"])
 
 
 def train(documents: DataFrame) -> ByteGRU | None:
@@ -242,21 +243,24 @@ def train(documents: DataFrame) -> ByteGRU | None:
     usable = documents.filter(training_rows(documents) & letters).select("doc_id", "text", "lang")
     # chosen on narrow rows; LABELLED per language
     narrow = staged(usable.select("lang", "doc_id", mark.alias("_mark")).distinct(), "usable")
-    # first about 3 * LABELLED per language by hash, so that no task gathers more
+    # first about 3 * LABELLED per language by hash, where the rows are: the counts (one row per
+    # language) come to them, and only those rows cross the network by language
     many = narrow.groupBy("lang").agg(F.count("*").alias("_n"))
     draw = F.pmod(F.xxhash64(F.lit(99), "doc_id", "_mark"), F.lit(1 << 40)) / float(1 << 40)
-    near = narrow.join(many, "lang").filter(draw * F.col("_n") < 3 * LABELLED).drop("_n")
+    near = narrow.join(F.broadcast(many), "lang").filter(draw * F.col("_n") < 3 * LABELLED).drop("_n")
     chosen = (near
               .withColumn("n", F.row_number().over(spread)).filter(F.col("n") <= LABELLED))
     found = usable.withColumn("_mark", mark).join(F.broadcast(chosen), ["lang", "doc_id", "_mark"])
-    rows = (found.dropDuplicates(["lang", "doc_id", "_mark"]).orderBy("lang", "n")
-            .select("lang", "text").collect())
+    rows = (found.dropDuplicates(["lang", "doc_id", "_mark"]).select("lang", "n", "text")
+            .mapInArrow(_cut, "lang string, n int, windows binary").collect())
+    rows.sort(key=lambda r: (r.lang, r.n))
     classes = sorted({r.lang for r in rows})
     if not classes:
         return None
     net = ByteGRU(classes)
     if len(classes) > 1:
-        net.train(*sample_windows(rows, classes))
+        data = np.frombuffer(b"".join(r.windows for r in rows), np.uint8).reshape(-1, TRAIN_WINDOW)
+        net.train(data, np.repeat([classes.index(r.lang) for r in rows], [len(r.windows) // TRAIN_WINDOW for r in rows]))
     return net
 
 
