@@ -7,8 +7,10 @@ both MASKS; around each hit the aligned tokens are compared.
 
 A document is contaminated by an item if WINDOW consecutive tokens of the item stand in it, in
 line, with at most SUBSTITUTIONS of them replaced. The two masks hit every such stretch wherever
-it begins (tests/llm/test_decontaminate.py tries all), so the search is exact. Items of SPAN + 1
-to WINDOW - 1 tokens must occur whole and unchanged; shorter items are no evidence and ignored.
+it begins (tests/llm/test_decontaminate.py tries all), so the search is exact. Items of fewer than
+WINDOW tokens must occur whole and unchanged; those of SPAN tokens or fewer, too short for a seed, are
+looked up by the hash of the whole item, one pass per length that the benchmark has. A character of a
+script without spaces is a token of its own.
 
 Seeds are joined to the documents in blocks of SEEDS rows, each broadcast, so what is broadcast
 does not grow with the benchmark and the documents are never shuffled; copies of one passage,
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import sheltered, staged
 
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 MASKS = ((0, 1, 2, 6, 7), (0, 1, 3, 6, 7))    # token positions that a seed keeps
 SPAN = 8
 STEP = 2                 # documents are probed at every STEP-th position
@@ -39,7 +42,9 @@ AROUND = WINDOW - SPAN   # tokens before a seed that a window around it can reac
 
 def tokens(text: Column) -> Column:
     """Hashes of a text's tokens in order."""
-    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    low = F.lower(text)
+    apart = F.when(low.rlike(f"[{UNSPACED}]"), F.regexp_replace(low, f"([{UNSPACED}])", " $1 ")).otherwise(low)
+    words = F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -72,6 +77,28 @@ def seeds(benchmark: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, rows).distinct()
 
 
+def _short(documents: DataFrame, benchmark: DataFrame, *keys: str) -> list[DataFrame]:
+    """Matches of the items of 1 to SPAN tokens: per length, every run of so many tokens of a document
+    is looked up among the items, which are broadcast in blocks of SEEDS rows."""
+    items = staged(benchmark.select("item_id", tokens(F.col("text")).alias("item"))
+                   .withColumn("n", F.size("item")).filter(F.col("n").between(1, SPAN))
+                   .select("item_id", "item", "n", F.xxhash64("item").alias("run")), "short")
+    found = []
+    for n, many in items.groupBy("n").count().collect():       # SPAN rows at most
+        last = F.size("_h") - n
+        runs = F.transform(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
+                           lambda i: F.xxhash64(F.slice("_h", i + 1, F.lit(n))))  # noqa: B023
+        probed = documents.select(*keys, tokens(F.col("text")).alias("_h")).select(
+            *keys, "_h", F.posexplode_outer(runs).alias("_p", "run"))
+        blocks = -(-many // SEEDS)
+        for b in range(blocks):
+            part = items.filter((F.col("n") == n) & (F.pmod(F.xxhash64("run", "item_id"), F.lit(blocks)) == b)).drop("n")
+            hits = probed.join(F.broadcast(part), "run").filter(F.slice("_h", F.col("_p") + 1, F.lit(n)) == F.col("item"))
+            found.append(hits.groupBy(*keys, "item_id").agg(F.min("_p").cast("long").alias("position"))
+                         .select(*keys, "item_id", F.lit(n).alias("matched"), "position"))
+    return found
+
+
 def _alike(near: Column, missing: Column, token: Column, j: Column) -> Column:
     """1 if the item's token stands in the document, 0 if another does; a place beyond either
     end rules out its windows."""
@@ -92,7 +119,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *keys: str) -> Data
     # outer: the filter that Spark infers for an inner generator would tokenize again per position
     probed = (probed.select(*keys, "_h", F.size("_places").alias("_n"), F.concat(*hashes).alias("_seeds"))
               .select(*keys, "_h", "_n", F.posexplode_outer("_seeds").alias("_p", "seed")))
-    found = []
+    found = _short(documents, benchmark, *keys)
     for b in range(blocks):
         part = index.filter(F.pmod(F.xxhash64("seed", "item_id"), F.lit(blocks)) == b)
         # where the first compared token of the item stands in the document

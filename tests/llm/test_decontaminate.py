@@ -9,7 +9,8 @@ ITEMS = "item_id long, text string"
 
 
 def toks(text):
-    return [t for t in re.split(r"[\W_]+", (text or "").lower()) if t]
+    apart = re.sub("([\u3040-\u30ff\u4e00-\u9fff\u0e00-\u0e7f])", r" \1 ", (text or "").lower())
+    return [t for t in re.split(r"[\W_]+", apart) if t]
 
 
 def brute(docs, items):
@@ -19,7 +20,7 @@ def brute(docs, items):
         for item, body in items:
             t = toks(body)
             w = min(D.WINDOW, len(t))
-            if len(t) <= D.SPAN:
+            if not t:
                 continue
             allowed = D.SUBSTITUTIONS if len(t) >= D.WINDOW else 0
             for i in range(len(h) - w + 1):
@@ -41,7 +42,7 @@ def planted(seed=0):
     r = random.Random(seed)
     docs = [list(x) for x in random_docs(200, seed, words=80)]
     items = [(i, " ".join(x[1].split()[:n])) for i, (x, n) in enumerate(zip(random_docs(300, seed + 9, words=60)[::6],
-                                                                         itertools.cycle([60, 7, 9, 12, 13, 20])))]
+                                                                         itertools.cycle([60, 7, 9, 12, 13, 20, 8, 3])))]
     for d in docs[::2]:
         body = r.choice(items)[1].split()
         k = r.randrange(len(body))
@@ -53,6 +54,8 @@ def planted(seed=0):
         w = d[1].split()
         at = r.randrange(len(w) + 1)
         d[1] = " ".join(w[:at] + body + w[at:])
+    docs += [[500, "前日本語の文章は空白がない試験です後", "ja", "s"], [501, "日本語の文 章は空白がない試験", "ja", "s"], [502, "日本語x", "ja", "s"]]
+    items += [(800, "日本語の文章は空白がない試験"), (801, "試験"), (802, "章は空白が")]
     return [tuple(d) for d in docs], items + [(900, None), (901, ""), (0, items[0][1])]
 
 
