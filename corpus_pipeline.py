@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from tallyhouse.llm import decontaminate, mixing, ngram_join, sharding, toxicity
 from tallyhouse.llm.common import sheltered, staged
@@ -46,8 +48,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their place (row_no, position, shard, slot) in the reproducible shuffle."""
-    return sharding.shard(docs)
+    """All rows with their place (row_no, position, shard, slot) in the reproducible shuffle. Rows of
+    one doc_id (or none) follow the hash of all their columns, so that the layout of the input does
+    not matter; rows equal in every column are interchangeable."""
+    tie = "tie"
+    while tie in docs.columns:
+        tie += "_"
+    plain = ["`" + f.name.replace("`", "``") + "`" for f in docs.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    return sharding.shard(docs.withColumn(tie, F.xxhash64(*plain)), ties=(tie,)).drop(tie)
 
 
 STAGES: list[tuple[str, Stage]] = [
