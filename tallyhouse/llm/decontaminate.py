@@ -43,7 +43,8 @@ AROUND = WINDOW - SPAN   # tokens before a seed that a window around it can reac
 def tokens(text: Column) -> Column:
     """Hashes of a text's tokens in order."""
     low = F.lower(text)
-    apart = F.when(low.rlike(f"[{UNSPACED}]"), F.regexp_replace(low, f"([{UNSPACED}])", " $1 ")).otherwise(low)
+    alone = rf"(?![\x00-ɏ])[{UNSPACED}]"      # most characters are ruled out by the cheap test
+    apart = F.when(low.rlike(alone), F.regexp_replace(low, f"({alone})", " $1 ")).otherwise(low)
     words = F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
