@@ -12,16 +12,18 @@ compare lower-cased and without white space at their ends; blank lines are struc
    lines of few anchors and unbroken lines have both, so that no rule parts similar lines that
    stand on either side of it. Bands are pairs of neighbours and next neighbours in a signature
    (all pairs of short signatures); a shared pair makes two lines candidates.
-3. Within a band's group, lines sorted by length are compared with the group's first line and
+3. Of every line in a group of two or more, the size of its shingle set and PARITY words of
+   parity bits are made once; a pair whose sizes and words exclude a link is not compared further.
+   Within a band's group, lines sorted by length are compared with the group's first line and
    with their predecessor. Links make components; in groups that still hold several, each line
-   is compared with those of the LOOK_BACK lines before it that lie in other components. Larger
-   groups that hold several components even then are split by size bands (salted), and every
-   pair of theirs in different components is compared that bounds on the set sizes and on the
-   distance of PARITY words of parity bits allow. So every pair of a group is compared,
-   connected already or excluded by a bound.
+   is compared with those of the LOOK_BACK lines before it that lie in other components. In larger
+   groups that hold several components even then, lines are compared TURNS times with a hub of
+   their size band; what is left is split by size bands (salted), and every pair in different
+   components is compared that the bounds allow. So every pair of a group is compared, connected
+   already or excluded by a bound.
 4. Comparison is exact: Jaccard similarity of the sets of all SHINGLE-character shingles of both
    lines, at least LINK percent.
-5. Distributed union-find over the links; the first line by (doc_id, line number) of each
+5. Distributed union-find over the links, each round over the links between the components so far; the first line by (doc_id, line number) of each
    component stays.
 
 All of it is DataFrame functions; what crosses the network are hashes, and texts of candidates.
@@ -54,7 +56,7 @@ LOOK_BACK = 24
 PARITY = 16          # 64-bit words of parity bits per line of the exact round
 STEP = 1.26          # size bands: sizes of linked lines differ by 1.25 times at most
 SALT = 1000          # lines of a group per salt
-BROADCAST = 1_000_000    # candidate ids (16 bytes each) broadcast at most
+TURNS = 3            # turns of comparing the lines of large groups with a hub per size band
 
 
 def normal(line: Column) -> Column:
@@ -124,42 +126,36 @@ def linked_lines(documents: DataFrame) -> DataFrame:
               .filter("prev is not null or next is not null"))
     groups = staged(groups, "groups")
     wanted = staged(groups.select("cid").distinct(), "wanted")
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted
-    texts = staged(lines.select(F.col("_id").alias("cid"), "line").join(few, "cid", "left_semi"), "texts")
+    texts = staged(lines.select(F.col("_id").alias("cid"), "line").join(wanted, "cid", "left_semi"), "texts")
+    facts = staged(_facts(texts), "facts")
 
     near = groups.filter("prev is not null").select("cid", F.explode(F.array("prev", "hub")).alias("o"))
-    checked = staged(_checked(_pairs(near), texts), "checked")
-    label = components(checked.filter("linked").select("a", "b"))
-    now = groups.select("key", "cid", "len").join(staged(label, "label").select(
-        F.col("id").alias("cid"), F.col("component").alias("comp")), "cid", "left").withColumn(
-            "comp", F.coalesce("comp", "cid"))
-    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    open_ = staged(now.join(mixed.select("key"), "key"), "open")
+    tested = staged(_checked(_pairs(near), facts, texts), "checked")
+    found = tested.filter("linked").select("a", "b")
+    label = staged(components(found).select(F.col("id").alias("cid"), F.col("component").alias("comp")), "label")
+    open_ = staged(_mixed(_named(groups.select("key", "cid", "len"), label), 0), "open")
+    release(groups, wanted)
     before = [F.lag(F.struct("cid", "comp"), n).over(order) for n in range(1, LOOK_BACK + 1)]
     wide = open_.withColumn("_before", F.array(*before)).withColumn("_o", F.explode("_before"))
     apart = wide.filter(F.col("_o.comp") != F.col("comp")).select("cid", F.col("_o.cid").alias("o"))
-    more = _pairs(apart).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    second = staged(_checked(more, texts), "checked")
-    release(groups, wanted)
-    tested = checked.union(second)
-    label = staged(_labels(tested), "label")
-
-    now = open_.drop("comp").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).filter(
-        (F.col("lo") < F.col("hi")) & (F.col("many") > LOOK_BACK + 1))
-    large = staged(now.join(mixed.select("key", "many"), "key").select("key", "many", "cid", "comp"), "large")
-    third = None
+    tested, label = _advance(_pairs(apart), tested, label, facts, texts)
+
+    large = staged(_mixed(_named(open_, label), LOOK_BACK + 1), "large")
+    release(open_)
+    for turn in range(TURNS):
+        if large.isEmpty():
+            break
+        tested, label = _advance(_to_hubs(large, turn), tested, label, facts, texts)
+        left = staged(_mixed(_named(large, label), LOOK_BACK + 1), "large")
+        release(large)
+        large = left
     if not large.isEmpty():
-        facts = staged(_facts(texts.join(large.select("cid").distinct(), "cid", "left_semi")), "facts")
-        pairs = staged(_crossing(large.join(facts, "cid")).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "crossing")
-        third = staged(_checked(pairs, texts), "checked")
-        release(label, facts, pairs)
-        label = staged(_labels(tested.union(third)), "label")
+        tested, label = _advance(_crossing(large.join(facts, "cid")), tested, label, facts, texts)
 
     named = classes.join(label, "cid", "left").select("_h1", "_h2", F.coalesce("comp", "cid").alias("_comp"))
     member = staged(lines.select("_rid", "doc_id", "_pos", "_id", "_h1", "_h2").join(named, ["_h1", "_h2"])
                     .drop("_h1", "_h2"), "member")
-    release(lines, classes, texts, open_, large, checked, second, third, label)
+    release(lines, classes, texts, facts, large, tested, label)
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_rid").alias("r"),
                      F.col("_pos").alias("p"))
     best = member.groupBy("_comp").agg(F.min(place).alias("_best"), F.count("*").alias("_size"))
@@ -172,10 +168,45 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("o", "cid").alias("a"), F.greatest("o", "cid").alias("b")).distinct()
 
 
-def _labels(tested: DataFrame) -> DataFrame:
-    """(cid, comp): the component of every line with a link."""
-    found = components(tested.filter("linked").select("a", "b"))
-    return found.select(F.col("id").alias("cid"), F.col("component").alias("comp"))
+def _named(members: DataFrame, label: DataFrame) -> DataFrame:
+    """``members`` (key, cid, len) with the component of each line."""
+    return members.select("key", "cid", "len").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+
+def _mixed(now: DataFrame, more_than: int) -> DataFrame:
+    """The rows of the groups that hold several components and more lines than given; many: their lines."""
+    sizes = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many"))
+    return now.join(sizes.filter((F.col("lo") < F.col("hi")) & (F.col("many") > more_than)).select("key", "many"), "key")
+
+
+def _to_hubs(large: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each line with one line of its group and size band (by a hash that differs per
+    ``turn``) that lies in another component: of near copies of one line most meet at once."""
+    banded = large.withColumn("band", F.floor(F.ln("len") / F.ln(F.lit(STEP))))
+    hubs = banded.groupBy("key", "band").agg(F.min(F.struct(
+        F.xxhash64(F.lit(turn), "cid").alias("h"), F.col("cid").alias("o"), F.col("comp").alias("c"))).alias("hub"))
+    met = banded.join(hubs, ["key", "band"]).filter(F.col("hub.c") != F.col("comp"))
+    return _pairs(met.select("cid", F.col("hub.o").alias("o")))
+
+
+def _advance(pairs: DataFrame, tested: DataFrame, label: DataFrame, facts: DataFrame,
+             texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``tested`` and ``label`` after a round over ``pairs``: those not compared yet are compared,
+    and the components that the new links join are merged, by the links between components only."""
+    new = staged(_checked(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), facts, texts), "checked")
+    ends = new.filter("linked").select("a", "b")
+    for side in ("a", "b"):
+        ends = ends.join(label.select(F.col("cid").alias(side), F.col("comp").alias("c" + side)), side, "left")
+    ends = ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b").distinct()
+    merged = staged(components(ends), "merged")
+    moved = label.join(merged.select(F.col("id").alias("comp"), "component"), "comp", "left").select(
+        "cid", F.coalesce("component", "comp").alias("comp"))
+    joined = merged.join(label.select(F.col("cid").alias("id")), "id", "left_anti").select(
+        F.col("id").alias("cid"), F.col("component").alias("comp"))
+    later = staged(moved.union(joined), "label")
+    both = staged(tested.union(new), "checked")
+    release(label, merged, tested, new)
+    return both, later
 
 
 def _facts(texts: DataFrame) -> DataFrame:
@@ -201,21 +232,29 @@ def _crossing(full: DataFrame) -> DataFrame:
     met = (c("x", "key") == c("y", "key")) & (c("x", "band") == c("y", "band")) & (c("x", "salt") == c("y", "salt"))
     n, m = c("x", "n"), c("y", "n")
     order = (n < m) | ((n == m) & (c("x", "cid") < c("y", "cid")))
-    differ = sum(F.bit_count(c("x", f"p{i}").bitwiseXOR(c("y", f"p{i}"))) for i in range(PARITY))
-    # |A & B| = (n + m - d) / 2, so similarity LINK percent bounds the difference d of the sets
-    allowed = (100 + LINK) * differ <= (100 - LINK) * (n + m)
-    pair = x.join(y, met & order & (c("x", "comp") != c("y", "comp")) & (100 * n >= LINK * m) & allowed)
+    pair = x.join(y, met & order & (c("x", "comp") != c("y", "comp")) & _allowed("x", "y"))
     return pair.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
 
 
-def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked): whether the exact shingle sets of both lines are similar enough."""
-    ab = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("line").alias("ta")), "a")
+def _allowed(x: str, y: str) -> Column:
+    """Whether the sizes and parity words of two lines allow a link."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    n, m = c(x, "n"), c(y, "n")
+    differ = sum(F.bit_count(c(x, f"p{i}").bitwiseXOR(c(y, f"p{i}"))) for i in range(PARITY))
+    # |A & B| = (n + m - d) / 2, so similarity LINK percent bounds the difference d of the sets
+    return (100 * F.least(n, m) >= LINK * F.greatest(n, m)) & ((100 + LINK) * differ <= (100 - LINK) * (n + m))
+
+
+def _checked(pairs: DataFrame, facts: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, linked): of the pairs whose bounds allow a link, whether the exact shingle sets of
+    both lines are similar enough. The bounds are read before any text."""
+    met = pairs.join(facts.alias("x"), F.col("a") == F.col("x.cid")).join(facts.alias("y"), F.col("b") == F.col("y.cid"))
+    ab = (met.filter(_allowed("x", "y")).select("a", "b", F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
+          .join(texts.select(F.col("cid").alias("a"), F.col("line").alias("ta")), "a")
           .join(texts.select(F.col("cid").alias("b"), F.col("line").alias("tb")), "b"))
-    sets = ab.select("a", "b", shingles(F.col("ta")).alias("sa"), shingles(F.col("tb")).alias("sb"))
-    sets = sets.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
-                       F.size(F.array_intersect("sa", "sb")).alias("both"))
-    return sets.select("a", "b", (100 * F.col("both") >= LINK * (F.col("na") + F.col("nb") - F.col("both"))).alias("linked"))
+    both = F.size(F.array_intersect(shingles(F.col("ta")), shingles(F.col("tb"))))
+    return ab.withColumn("both", both).select("a", "b", (
+        100 * F.col("both") >= LINK * (F.col("na") + F.col("nb") - F.col("both"))).alias("linked"))
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
