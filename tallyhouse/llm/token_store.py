@@ -10,7 +10,8 @@ Format, below one path of any file system Spark writes to:
 * ``dictionary`` (Parquet, one row): ``dict_hash`` (sha256), ``dictionary`` (bytes), ``width``;
 * ``frames`` (Parquet, uncompressed; one row per chunk): ``part``, ``chunk``, ``dict_hash``,
   ``payload`` (the chunk's zstandard frames one after another) and the offset index: arrays
-  ``doc_id``, ``offset`` (one more than documents), ``n_tokens``.
+  ``doc_id``, ``offset`` (one more than documents), ``n_tokens``; ``first_doc`` and ``last_doc`` are
+  the least and greatest doc_id (null where all are), so that Parquet statistics rule chunks out.
 
 Readers refuse a chunk whose dictionary hash is not that of the dictionary they hold.
 
@@ -46,20 +47,21 @@ SAMPLE_DOCS = 1_000        # documents it is trained on (about so many, by hash
 SAMPLE_CHARS = 20_000      # ... of those no longer than this
 LEVEL = 3
 CHUNK_BYTES = 4 << 20
-SLICE_BYTES = 4 << 20      # text tokenized at once in a task
-CACHE_WORDS = 200_000      # words a task remembers
+SLICE_BYTES = 2 << 20      # text tokenized at once in a task
+CACHE_WORDS = 100_000      # words a task remembers
 FRAMES = ("part int, chunk int, dict_hash string, payload binary, doc_id array<bigint>, "
-          "offset array<bigint>, n_tokens array<bigint>")
+          "offset array<bigint>, n_tokens array<bigint>, first_doc bigint, last_doc bigint")
+_ENCODERS: dict[tuple, "Encoder"] = {}     # the worker process's own encoder
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file, word by word with a bounded memory."""
+    """Ids of whole texts by a tokenizers file (its path or its bytes), word by word with a bounded memory."""
 
-    def __init__(self, path: str, end_id: int | None = 2, whole_texts: bool = False):
+    def __init__(self, source: str | bytes, end_id: int | None = 2, whole_texts: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_buffer(source) if isinstance(source, bytes) else Tokenizer.from_file(source)
         self.end = [] if end_id is None else [end_id]
         self.whole = whole_texts
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -122,16 +124,13 @@ class Encoder:
         return [raw[i:j] + end for i, j in zip(edge[:-1], edge[1:])]
 
 
-def encoder(path: str, end_id: int | None, whole_texts: bool) -> Encoder:
+def encoder(content: bytes, end_id: int | None, whole_texts: bool) -> Encoder:
     """The worker process's own encoder: reused by the tasks that run in it one after another."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_encoders_of_this_process", {})
-    key = (path, end_id, whole_texts)
-    if key not in kept:
-        kept.clear()
-        kept[key] = Encoder(path, end_id, whole_texts)
-    return kept[key]
+    key = (hashlib.sha256(content).digest(), end_id, whole_texts)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(content, end_id, whole_texts)
+    return _ENCODERS[key]
 
 
 def _slices(texts: pa.Array) -> Iterator[pa.Array]:
@@ -171,24 +170,27 @@ def _sample(base: DataFrame, total: int) -> DataFrame:
 
 def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | None = 2,
                 whole_texts: bool = False) -> None:
-    """Tokenize ``documents`` (doc_id, text) and write their store at ``path``."""
+    """Tokenize ``documents`` (doc_id, text) and write their store at ``path``. ``tokenizer`` is a
+    path on the driver; tasks get the bytes of that file."""
     spark = documents.sparkSession
+    with open(tokenizer, "rb") as file:
+        content = file.read()
     base = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sample = _sample(base, documents.count())
-    local = Encoder(tokenizer, end_id, whole_texts)
+    local = Encoder(content, end_id, whole_texts)
     learn = pa.array([r.text for r in sample.select("text").collect()], pa.string())
     dictionary = train_dictionary([x for part in _slices(learn) for x in local.encode(part)])
     mark, width = hashlib.sha256(dictionary).hexdigest(), local.dtype.itemsize
     spark.createDataFrame([(mark, bytearray(dictionary), width)],
                           "dict_hash string, dictionary binary, width int").coalesce(1).write.parquet(
         f"{path}/dictionary")
-    shared = spark.sparkContext.broadcast(dictionary)   # DICT_BYTES at most
+    shared = spark.sparkContext.broadcast((dictionary, content))   # DICT_BYTES at most, and one tokenizer file
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        texts_to_ids = encoder(tokenizer, end_id, whole_texts)
-        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zstd(shared.value))
+        texts_to_ids = encoder(shared.value[1], end_id, whole_texts)
+        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zstd(shared.value[0]))
         part, chunk = None, 0
         docs: list = []
         frames: list[bytes] = []
@@ -197,12 +199,14 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int | N
 
         def full() -> pa.RecordBatch:
             offset = np.r_[0, np.cumsum([len(x) for x in frames])].tolist()
+            first = next((d for d in docs if d is not None), None)     # ascending, nulls first
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int32()),
                 "dict_hash": pa.array([mark]), "payload": pa.array([b"".join(frames)], pa.binary()),
                 "doc_id": pa.array([docs], pa.list_(pa.int64())),
                 "offset": pa.array([offset], pa.list_(pa.int64())),
-                "n_tokens": pa.array([counts], pa.list_(pa.int64()))})
+                "n_tokens": pa.array([counts], pa.list_(pa.int64())),
+                "first_doc": pa.array([first], pa.int64()), "last_doc": pa.array([docs[-1]], pa.int64())})
 
         for batch in batches:
             names = iter(batch.column("doc_id").to_pylist())
@@ -281,15 +285,16 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
-    """The ids of one document (one list per stored row of that doc_id): reads the index of all
-    chunks, the payload of the chunk that holds it, and decompresses its frame only."""
+    """The ids of one document (one list per stored row of that doc_id): reads the chunks whose
+    first and last doc_id enclose it, and decompresses its frame only."""
     import zstandard
 
     head = spark.read.parquet(f"{path}/dictionary").first()
     grow = zstandard.ZstdDecompressor(dict_data=_zstd(bytes(head.dictionary)))
     frames = spark.read.schema(FRAMES).parquet(f"{path}/frames")
     out = []
-    for row in frames.filter(F.array_contains("doc_id", F.lit(doc_id))).toLocalIterator():
+    around = (F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id)
+    for row in frames.filter(around & F.array_contains("doc_id", F.lit(doc_id))).toLocalIterator():
         for i, name in enumerate(row.doc_id):
             if name == doc_id:
                 raw = grow.decompress(bytes(row.payload)[row.offset[i]:row.offset[i + 1]])

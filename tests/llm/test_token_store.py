@@ -65,6 +65,16 @@ def test_round_trip_in_chunks(spark, monkeypatch):
     for d in (0, 17, 399):
         assert token_store.lookup(spark, path, d) == [ids_of(rows[d][1])]
     assert token_store.lookup(spark, path, 4000) == []
+    frames = spark.read.parquet(f"{path}/frames").select("doc_id", "first_doc", "last_doc").collect()
+    assert len(frames) > 4 and all((min(r.doc_id), max(r.doc_id)) == (r.first_doc, r.last_doc) for r in frames)
+
+
+def test_lookup_among_null_doc_ids(spark):
+    path = fresh_path(spark, "store")
+    rows = [(None, "a b"), (None, "c"), (3, "d e f"), (3, "g"), (9, None)]
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), path, PATH)
+    assert sorted(token_store.lookup(spark, path, 3)) == sorted([ids_of("d e f"), ids_of("g")])
+    assert token_store.lookup(spark, path, 9) == [[2]] and token_store.lookup(spark, path, 4) == []
 
 
 def test_sample_of_one_doc_id(spark):
