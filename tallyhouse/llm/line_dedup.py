@@ -23,8 +23,9 @@ compare lower-cased and without white space at their ends; blank lines are struc
    already or excluded by a bound.
 4. Comparison is exact: Jaccard similarity of the sets of all SHINGLE-character shingles of both
    lines, at least LINK percent.
-5. Distributed union-find over the links, each round over the links between the components so far; the first line by (doc_id, line number) of each
-   component stays.
+5. Distributed union-find over the links; the rounds after the first merge only what lies two
+   links apart among the components so far, and a last union-find runs over what is left between
+   them. The first line by (doc_id, line number) of each component stays.
 
 All of it is DataFrame functions; what crosses the network are hashes, and texts of candidates.
 Signatures are high-recall, not exact: measured against brute force in
@@ -37,7 +38,8 @@ lines are equal; null doc_ids come last; an empty table gives no rows; other col
 
 from __future__ import annotations
 
-from functools import partial
+from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,29 +135,31 @@ def linked_lines(documents: DataFrame) -> DataFrame:
     tested = staged(_checked(_pairs(near), facts, texts), "checked")
     found = tested.filter("linked").select("a", "b")
     label = staged(components(found).select(F.col("id").alias("cid"), F.col("component").alias("comp")), "label")
-    open_ = staged(_mixed(_named(groups.select("key", "cid", "len"), label), 0), "open")
+    so_far = _SoFar([tested], label)
+    open_ = staged(_mixed(_named(groups.select("key", "cid", "len"), so_far.label), 0), "open")
     release(groups, wanted)
     before = [F.lag(F.struct("cid", "comp"), n).over(order) for n in range(1, LOOK_BACK + 1)]
     wide = open_.withColumn("_before", F.array(*before)).withColumn("_o", F.explode("_before"))
     apart = wide.filter(F.col("_o.comp") != F.col("comp")).select("cid", F.col("_o.cid").alias("o"))
-    tested, label = _advance(_pairs(apart), tested, label, facts, texts)
+    _advance(_pairs(apart), so_far, facts, texts)
 
-    large = staged(_mixed(_named(open_, label), LOOK_BACK + 1), "large")
+    large = staged(_mixed(_named(open_, so_far.label), LOOK_BACK + 1), "large")
     release(open_)
     for turn in range(TURNS):
         if large.isEmpty():
             break
-        tested, label = _advance(_to_hubs(large, turn), tested, label, facts, texts)
-        left = staged(_mixed(_named(large, label), LOOK_BACK + 1), "large")
+        _advance(_to_hubs(large, turn), so_far, facts, texts)
+        left = staged(_mixed(_named(large, so_far.label), LOOK_BACK + 1), "large")
         release(large)
         large = left
     if not large.isEmpty():
-        tested, label = _advance(_crossing(large.join(facts, "cid")), tested, label, facts, texts)
+        _advance(_crossing(large.join(facts, "cid")), so_far, facts, texts)
 
+    label = _settled(so_far)
     named = classes.join(label, "cid", "left").select("_h1", "_h2", F.coalesce("comp", "cid").alias("_comp"))
     member = staged(lines.select("_rid", "doc_id", "_pos", "_id", "_h1", "_h2").join(named, ["_h1", "_h2"])
                     .drop("_h1", "_h2"), "member")
-    release(lines, classes, texts, facts, large, tested, label)
+    release(lines, classes, texts, facts, large, *so_far.tested, so_far.label, so_far.ends, so_far.moved)
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_rid").alias("r"),
                      F.col("_pos").alias("p"))
     best = member.groupBy("_comp").agg(F.min(place).alias("_best"), F.count("*").alias("_size"))
@@ -189,24 +193,60 @@ def _to_hubs(large: DataFrame, turn: int) -> DataFrame:
     return _pairs(met.select("cid", F.col("hub.o").alias("o")))
 
 
-def _advance(pairs: DataFrame, tested: DataFrame, label: DataFrame, facts: DataFrame,
-             texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``tested`` and ``label`` after a round over ``pairs``: those not compared yet are compared,
-    and the components that the new links join are merged, by the links between components only."""
-    new = staged(_checked(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), facts, texts), "checked")
-    ends = new.filter("linked").select("a", "b")
+@dataclass
+class _SoFar:
+    """What the rounds know: pairs compared (a, b, linked), one table per round; the component
+    each linked line is known to lie in (label: cid, comp); the last round's links between
+    components (ends: a, b) and where it moved these (moved: id, component)."""
+
+    tested: list[DataFrame]
+    label: DataFrame
+    ends: DataFrame | None = None
+    moved: DataFrame | None = None
+
+
+def _advance(pairs: DataFrame, now: _SoFar, facts: DataFrame, texts: DataFrame) -> None:
+    """A round over ``pairs``: those not compared yet are compared, and every component moves to
+    the smallest within two links of it, so that a star of new links becomes one. Lines of one
+    label are connected; not all that are connected need have one label yet."""
+    known = reduce(DataFrame.union, [t.select("a", "b") for t in now.tested])
+    new = staged(_checked(pairs.join(known, ["a", "b"], "left_anti"), facts, texts), "checked")
+    now.tested.append(new)
+    links = new.filter("linked").select("a", "b")
+    for side in ("a", "b"):
+        links = links.join(now.label.select(F.col("cid").alias(side), F.col("comp").alias("c" + side)), side, "left")
+    links = links.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    if now.ends is not None:
+        links = links.union(_left_between(now))
+    ends = staged(links.filter("a <> b").distinct(), "ends")
+    both = ends.union(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
+    moved = staged(both.join(least, "b").groupBy(F.col("a").alias("id")).agg(F.min("m").alias("component")), "moved")
+    label = staged(_relabelled(now.label, moved), "label")
+    release(now.label, now.ends, now.moved)
+    now.label, now.ends, now.moved = label, ends, moved
+
+
+def _left_between(now: _SoFar) -> DataFrame:
+    """The links of the last round that still lie between components (a, b)."""
+    left = now.ends
     for side in ("a", "b"):
-        ends = ends.join(label.select(F.col("cid").alias(side), F.col("comp").alias("c" + side)), side, "left")
-    ends = ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b").distinct()
-    merged = staged(components(ends), "merged")
-    moved = label.join(merged.select(F.col("id").alias("comp"), "component"), "comp", "left").select(
+        left = left.join(now.moved.select(F.col("id").alias(side), F.col("component").alias("c" + side)), side)
+    return left.select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a <> b")
+
+
+def _relabelled(label: DataFrame, moved: DataFrame) -> DataFrame:
+    """``label`` after components moved; a line that no link had met before is its own component."""
+    lines = label.union(moved.select(F.col("id").alias("cid"), F.col("id").alias("comp")).join(
+        label.select("cid"), "cid", "left_anti"))
+    return lines.join(moved.select(F.col("id").alias("comp"), "component"), "comp", "left").select(
         "cid", F.coalesce("component", "comp").alias("comp"))
-    joined = merged.join(label.select(F.col("cid").alias("id")), "id", "left_anti").select(
-        F.col("id").alias("cid"), F.col("component").alias("comp"))
-    later = staged(moved.union(joined), "label")
-    both = staged(tested.union(new), "checked")
-    release(label, merged, tested, new)
-    return both, later
+
+
+def _settled(now: _SoFar) -> DataFrame:
+    """(cid, comp) of every linked line, all links counted."""
+    last = components(_left_between(now)).select(F.col("id").alias("comp"), "component")
+    return now.label.join(last, "comp", "left").select("cid", F.coalesce("component", "comp").alias("comp"))
 
 
 def _facts(texts: DataFrame) -> DataFrame:
