@@ -4,26 +4,26 @@ Every line of every document takes part; of each component of similar lines one
 compare lower-cased and without white space at their ends; blank lines are structure and stay.
 
 1. Equal lines collapse to a class (a 128-bit hash, counted with map-side aggregation), so a line
-   that fills a third of the table goes on as one row.
-2. MinHash signatures of one line per class: its ANCHOR-character shingles that begin at its
-   words are hashed; the SKETCH smallest distinct hashes are the signature. Short lines, lines
-   with few such shingles and lines with long unbroken runs have a signature of all their
+   that fills a third of the table goes on as one row. Texts and rows are looked up by bitmaps of
+   hashed keys, of a fixed size: only lines that may be wanted cross the network, and an exact
+   join follows. A line without copies and links takes no part in the last joins.
+2. MinHash signatures of one line per class: its anchors (ANCHOR words in a row) are hashed; the
+   SKETCH smallest distinct hashes are the signature. Short lines, lines with few anchors, with
+   long words on average or with long unbroken runs have a signature of all their
    SHINGLE-character shingles, the ones that are compared; lines of LONG to SHORT characters,
    lines of few anchors and unbroken lines have both, so that no rule parts similar lines that
    stand on either side of it. Bands are pairs of neighbours and next neighbours in a signature
    (all pairs of short signatures); a shared pair makes two lines candidates.
 3. Of every line in a group of two or more, the size of its shingle set and PARITY words of
    parity bits are made once; a pair whose sizes and words exclude a link is not compared further.
-   Within a band's group, lines sorted by length are compared with the group's first line and
-   with their predecessor. Links make components; in groups that still hold several, each line
-   is compared with those of the LOOK_BACK lines before it that lie in other components. In larger
-   groups that hold several components even then, lines are compared TURNS times with a hub of
-   their size band; what is left is split by size bands (salted), and every pair in different
-   components is compared that the bounds allow. So every pair of a group is compared, connected
-   already or excluded by a bound.
+   In a band's group of GROUP lines or fewer all pairs are compared. In larger groups lines are
+   compared with a hub of their size band, in up to TURNS turns while these connect lines; links
+   make components. Groups that hold several components even then are split by size bands
+   (salted), and every pair in different components is compared that the bounds allow. So every
+   pair of a group is compared, connected already or excluded by a bound.
 4. Comparison is exact: Jaccard similarity of the sets of all SHINGLE-character shingles of both
-   lines, at least LINK percent.
-5. Distributed union-find over the links; the rounds after the first merge only what lies two
+   lines (as 64-bit hashes), at least LINK percent.
+5. Distributed union-find over the links; a round merges only what lies two
    links apart among the components so far, and a last union-find runs over what is left between
    them. The first line by (doc_id, line number) of each component stays.
 
@@ -48,37 +48,53 @@ from .common import components, release, sheltered, staged
 
 SHINGLE = 8
 LINK = 80
-ANCHOR = 16
+ANCHOR = 3           # words of an anchor
+PIECE = 64           # shingles are cut from pieces of a line that begin at so many characters
 UNBROKEN = 40
+WIDE = 12            # characters a word, on average, from which a line's words are too few to stand for it
 LONG, SHORT = 40, 64     # lines of LONG characters or more are anchored, those under SHORT hashed at every character
 FEW = 6                  # so are lines of fewer anchors
 SKETCH = 8
 SMALL = 6            # signatures of so many hashes or fewer are banded by all their pairs
-LOOK_BACK = 24
+GROUP = 8            # lines of a group whose pairs are all compared at once
 PARITY = 16          # 64-bit words of parity bits per line of the exact round
 STEP = 1.26          # size bands: sizes of linked lines differ by 1.25 times at most
 SALT = 1000          # lines of a group per salt
-TURNS = 3            # turns of comparing the lines of large groups with a hub per size band
+TURNS = 4            # turns of comparing the lines of larger groups with a hub per size band, at most
+WORTH = 20           # another turn follows one that moved one line in so many
+BITMAP = 1 << 26     # bits of a bitmap of keys, 8 MB; a bucket of it holds BUCKET bits
+BUCKET = 1 << 15
 
 
 def normal(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(" \t\r\f\x0b")))
 
 
-def _smallest(found: Column) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))), 1, SKETCH)
+def _smallest(hashes: Column) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
 
 
-def anchored(line: Column) -> Column:
-    """The smallest hashes of a normal line's shingles at its words, sorted; none of a short line's."""
-    at_words = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{ANCHOR}}}))\S{{1,8}}"), F.lit(1))
-    return _smallest(F.when(F.length(line) >= LONG, at_words).otherwise(F.array().cast("array<string>")))
+def _nothing() -> Column:
+    return F.array().cast("array<bigint>")
 
 
-def everywhere(line: Column, anchors: Column) -> Column:
+def _next(hashes: Column, rest: Column) -> Column:
+    return F.zip_with(hashes, rest, lambda a, b: F.xxhash64(a, b))
+
+
+def anchored(line: Column, words: Column) -> Column:
+    """The smallest hashes of a normal line's anchors (ANCHOR words in a row, fewer at its end),
+    sorted; none of a short line's. ``words``: a column of the line split at spaces."""
+    one = F.transform(words, lambda w: F.xxhash64(w))
+    at_words = reduce(_next, [F.slice(one, i + 1, F.size(words)) for i in range(1, ANCHOR)], one)
+    return _smallest(F.when(F.length(line) >= LONG, at_words).otherwise(_nothing()))
+
+
+def everywhere(line: Column, words: Column, anchors: Column) -> Column:
     """The smallest hashes of all shingles of a normal line that its ``anchors`` do not stand for, sorted."""
-    use = (F.length(line) < SHORT) | (F.size(anchors) < FEW) | line.rlike(rf"\S{{{UNBROKEN}}}")
-    return _smallest(F.when(use, shingles(line)).otherwise(F.array().cast("array<string>")))
+    use = ((F.length(line) < SHORT) | (F.size(anchors) < FEW) | (F.length(line) > WIDE * F.size(words))
+           | F.exists(words, lambda w: F.length(w) >= UNBROKEN))
+    return _smallest(F.when(use, shingles(line)).otherwise(_nothing()))
 
 
 def _pair(sketch: Column, gap: int, i: Column) -> Column:
@@ -97,9 +113,16 @@ def bands(sketch: Column) -> Column:
 
 
 def shingles(line: Column) -> Column:
-    """The set of a line's SHINGLE-character shingles."""
-    return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(F.array_distinct(
-        F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))."), F.lit(1))))
+    """The set of a line's SHINGLE-character shingles, as 64-bit hashes (of eight ASCII
+    characters no two have one hash: xxhash64 maps eight bytes one to one)."""
+    # cutting at a character counts from the beginning, hence pieces
+    ends = PIECE + SHINGLE - 1
+    pieces = F.when(F.length(line) <= ends, F.array(line)).otherwise(F.filter(
+        F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{1,{ends}}})).{{1,{PIECE}}}"), F.lit(1)),
+        lambda p: F.length(p) >= SHINGLE))
+    cut = F.flatten(F.transform(pieces, lambda p: F.transform(
+        F.sequence(F.lit(1), F.length(p) - SHINGLE + 1), lambda i: F.xxhash64(F.substr(p, i, F.lit(SHINGLE))))))
+    return F.when(F.length(line) < SHINGLE, F.array(F.xxhash64(line))).otherwise(F.array_distinct(cut))
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -112,59 +135,106 @@ def linked_lines(documents: DataFrame) -> DataFrame:
     """Of ``documents`` (_rid, doc_id, text), one row per line that is not blank: _rid, doc_id, _pos, _comp (component), _first (whether
     it is the line kept)."""
     lines = _lines(documents).withColumns({
-        "_id": F.monotonically_increasing_id(), "_h1": F.xxhash64("line"),
-        "_h2": F.xxhash64(F.lit(7), "line"), "_len": F.length("line")})
+        "_id": F.monotonically_increasing_id(), "_h1": F.xxhash64("line"), "_h2": F.xxhash64(F.lit(7), "line")})
     lines = staged(lines, "lines")
-    classes = lines.groupBy("_h1", "_h2").agg(F.min("_id").alias("cid"))
-    classes = staged(classes, "classes")
-    reps = lines.select(F.col("_id").alias("cid"), F.col("_len").alias("len"), "line").join(
-        classes.select("cid"), "cid", "left_semi").withColumn("_at", anchored(F.col("line")))
-    reps = reps.withColumn("_all", everywhere(F.col("line"), F.col("_at"))).withColumn(
+    copies = lines.groupBy("_h1", "_h2").agg(F.min("_id").alias("cid"), F.count("*").alias("many"))
+    copies = staged(copies.filter("many > 1").select("_h1", "_h2", "cid"), "copies")
+    copied = _bitmap(copies, "_h1")
+    # class of every line that may have a copy; a line left out is its own
+    classes = staged(_maybe(lines.select("_id", "_h1", "_h2"), "_h1", copied).join(copies, ["_h1", "_h2"], "left")
+                     .select("_id", F.coalesce("cid", "_id").alias("cid")), "classes")
+    single = _maybe(lines.select("_id", "_h1", "line"), "_h1", copied, False).select(F.col("_id").alias("cid"), "line")
+    reps = single.union(_texts(lines, classes.filter("_id = cid").select("cid")))
+    reps = reps.withColumn("_words", F.split("line", " "))
+    reps = reps.withColumn("_at", anchored(F.col("line"), F.col("_words")))
+    reps = reps.withColumn("_all", everywhere(F.col("line"), F.col("_words"), F.col("_at"))).withColumn(
         "_keys", F.concat(bands(F.col("_at")), bands(F.col("_all"))))
-    reps = reps.select("cid", "len", F.explode(F.array_distinct("_keys")).alias("key"))
-    order = Window.partitionBy("key").orderBy("len", "cid")
-    groups = (reps.withColumns({"prev": F.lag("cid").over(order), "next": F.lead("cid").over(order),
-                                "hub": F.first("cid").over(order)})
-              .filter("prev is not null or next is not null"))
+    groups = (reps.select("cid", F.explode(F.array_distinct("_keys")).alias("key"))
+              .withColumn("many", F.count("*").over(Window.partitionBy("key"))).filter("many > 1"))
     groups = staged(groups, "groups")
-    wanted = staged(groups.select("cid").distinct(), "wanted")
-    texts = staged(lines.select(F.col("_id").alias("cid"), "line").join(wanted, "cid", "left_semi"), "texts")
+    texts = staged(_texts(lines, groups.select("cid").distinct()), "texts")
     facts = staged(_facts(texts), "facts")
 
-    near = groups.filter("prev is not null").select("cid", F.explode(F.array("prev", "hub")).alias("o"))
-    tested = staged(_checked(_pairs(near), facts, texts), "checked")
-    found = tested.filter("linked").select("a", "b")
-    label = staged(components(found).select(F.col("id").alias("cid"), F.col("component").alias("comp")), "label")
-    so_far = _SoFar([tested], label)
-    open_ = staged(_mixed(_named(groups.select("key", "cid", "len"), so_far.label), 0), "open")
-    release(groups, wanted)
-    before = [F.lag(F.struct("cid", "comp"), n).over(order) for n in range(1, LOOK_BACK + 1)]
-    wide = open_.withColumn("_before", F.array(*before)).withColumn("_o", F.explode("_before"))
-    apart = wide.filter(F.col("_o.comp") != F.col("comp")).select("cid", F.col("_o.cid").alias("o"))
-    _advance(_pairs(apart), so_far, facts, texts)
-
-    large = staged(_mixed(_named(open_, so_far.label), LOOK_BACK + 1), "large")
-    release(open_)
-    for turn in range(TURNS):
-        if large.isEmpty():
+    none = documents.sparkSession.range(0).select(F.col("id").alias("cid"), F.col("id").alias("comp"))
+    so_far = _SoFar([], none)
+    large = groups.filter(F.col("many") > GROUP).withColumn("comp", F.col("cid"))
+    near = _within(groups.filter(F.col("many") <= GROUP)).union(_to_hubs(large, facts, 0)).distinct()
+    _advance(_bounded(near, facts), so_far, texts)
+    large = staged(_mixed(_named(large, so_far.label)), "large")
+    release(groups)
+    for turn in range(1, TURNS):
+        lines_left = large.select("cid").distinct().count()
+        if not lines_left:
             break
-        _advance(_to_hubs(large, turn), so_far, facts, texts)
-        left = staged(_mixed(_named(large, so_far.label), LOOK_BACK + 1), "large")
+        _advance(_bounded(_to_hubs(large, facts, turn), facts), so_far, texts)
+        left = staged(_mixed(_named(large, so_far.label)), "large")
         release(large)
         large = left
+        if WORTH * so_far.moved.count() < lines_left:
+            break
     if not large.isEmpty():
-        _advance(_crossing(large.join(facts, "cid")), so_far, facts, texts)
+        _advance(_crossing(large.join(facts, "cid")), so_far, texts)
 
-    label = _settled(so_far)
-    named = classes.join(label, "cid", "left").select("_h1", "_h2", F.coalesce("comp", "cid").alias("_comp"))
-    member = staged(lines.select("_rid", "doc_id", "_pos", "_id", "_h1", "_h2").join(named, ["_h1", "_h2"])
-                    .drop("_h1", "_h2"), "member")
-    release(lines, classes, texts, facts, large, *so_far.tested, so_far.label, so_far.ends, so_far.moved)
+    label = staged(_settled(so_far), "label")
+    release(texts, facts, large, *so_far.tested, so_far.label, so_far.ends, so_far.moved)
+    member = staged(_members(lines, copied, classes, label), "member")
+    release(lines, copies, copied, classes, label)
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_rid").alias("r"),
                      F.col("_pos").alias("p"))
-    best = member.groupBy("_comp").agg(F.min(place).alias("_best"), F.count("*").alias("_size"))
-    return member.join(best, "_comp").withColumn(
-        "_first", (F.col("_rid") == F.col("_best.r")) & (F.col("_pos") == F.col("_best.p"))).drop("_id")
+    joint = member.filter("not _alone")
+    best = joint.groupBy("_comp").agg(F.min(place).alias("_best"), F.count("*").alias("_size"))
+    alone = member.filter("_alone").withColumns({"_best": place, "_size": F.lit(1).cast("long")})
+    return joint.join(best, "_comp").unionByName(alone).drop("_alone").withColumn(
+        "_first", (F.col("_rid") == F.col("_best.r")) & (F.col("_pos") == F.col("_best.p")))
+
+
+def _members(lines: DataFrame, copied: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
+    """_rid, doc_id, _pos, _comp of every line, and _alone: whether it has neither copies nor links."""
+    linked = _bitmap(label, "cid")
+    rows = _marked(_marked(lines.select("_rid", "doc_id", "_pos", "_id", "_h1"), "_h1", copied, "_c"), "_id", linked, "_l")
+    rows = rows.withColumn("_alone", ~(F.col("_c") | F.col("_l"))).drop("_h1", "_c", "_l")
+    joint = (rows.filter("not _alone").join(classes, "_id", "left").withColumn("cid", F.coalesce("cid", "_id"))
+             .join(label, "cid", "left").withColumn("_comp", F.coalesce("comp", "cid")))
+    out = ["_rid", "doc_id", "_pos", "_comp", "_alone"]
+    return joint.select(*out).union(rows.filter("_alone").withColumn("_comp", F.col("_id")).select(*out))
+
+
+def _place(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITMAP)) + 1
+
+
+def _bitmap(rows: DataFrame, key: str) -> DataFrame:
+    """A bitmap of hashed keys, of a size that does not grow with them: _bucket, _bits. It says
+    of a key that it is surely not among them, or that it may be."""
+    return staged(rows.select(_place(key).alias("x")).groupBy(F.bitmap_bucket_number("x").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("_bits")), "bitmap")
+
+
+def _marked(rows: DataFrame, key: str, bitmap: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``: whether the key may be in the bitmap."""
+    at = F.bitmap_bit_position(_place(key))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.withColumn("_bucket", F.bitmap_bucket_number(_place(key))).join(F.broadcast(bitmap), "_bucket", "left")
+    bit = F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(F.lit(1))
+    return met.withColumn(name, F.coalesce(bit == 1, F.lit(False))).drop("_bucket", "_bits")
+
+
+def _maybe(rows: DataFrame, key: str, bitmap: DataFrame, inside: bool = True) -> DataFrame:
+    """Of ``rows`` those whose key may be in the bitmap, or the others."""
+    return _marked(rows, key, bitmap, "_in").filter(F.col("_in") == F.lit(inside)).drop("_in")
+
+
+def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """cid and line of the ``wanted`` (cid) lines. A bitmap keeps most other texts out of the exchange."""
+    wanted = staged(wanted, "wanted")
+    rows = lines.select(F.col("_id").alias("cid"), "line")
+    return _maybe(rows, "cid", _bitmap(wanted, "cid")).join(wanted, "cid", "left_semi")
+
+
+def _within(members: DataFrame) -> DataFrame:
+    """All pairs (a < b) of the groups of ``members`` (key, cid)."""
+    x, y = members.select("key", F.col("cid").alias("a")), members.select("key", F.col("cid").alias("b"))
+    return x.join(y, "key").filter("a < b").select("a", "b")
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -173,20 +243,20 @@ def _pairs(df: DataFrame) -> DataFrame:
 
 
 def _named(members: DataFrame, label: DataFrame) -> DataFrame:
-    """``members`` (key, cid, len) with the component of each line."""
-    return members.select("key", "cid", "len").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    """``members`` (key, cid, many) with the component of each line."""
+    return members.select("key", "cid", "many").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
 
-def _mixed(now: DataFrame, more_than: int) -> DataFrame:
-    """The rows of the groups that hold several components and more lines than given; many: their lines."""
-    sizes = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many"))
-    return now.join(sizes.filter((F.col("lo") < F.col("hi")) & (F.col("many") > more_than)).select("key", "many"), "key")
+def _mixed(now: DataFrame) -> DataFrame:
+    """The rows of the groups that hold several components."""
+    spread = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return now.join(spread.filter("lo < hi").select("key"), "key", "left_semi")
 
 
-def _to_hubs(large: DataFrame, turn: int) -> DataFrame:
+def _to_hubs(large: DataFrame, facts: DataFrame, turn: int) -> DataFrame:
     """Pairs of each line with one line of its group and size band (by a hash that differs per
     ``turn``) that lies in another component: of near copies of one line most meet at once."""
-    banded = large.withColumn("band", F.floor(F.ln("len") / F.ln(F.lit(STEP))))
+    banded = large.join(facts.select("cid", "n"), "cid").withColumn("band", F.floor(F.ln("n") / F.ln(F.lit(STEP))))
     hubs = banded.groupBy("key", "band").agg(F.min(F.struct(
         F.xxhash64(F.lit(turn), "cid").alias("h"), F.col("cid").alias("o"), F.col("comp").alias("c"))).alias("hub"))
     met = banded.join(hubs, ["key", "band"]).filter(F.col("hub.c") != F.col("comp"))
@@ -205,12 +275,14 @@ class _SoFar:
     moved: DataFrame | None = None
 
 
-def _advance(pairs: DataFrame, now: _SoFar, facts: DataFrame, texts: DataFrame) -> None:
-    """A round over ``pairs``: those not compared yet are compared, and every component moves to
-    the smallest within two links of it, so that a star of new links becomes one. Lines of one
-    label are connected; not all that are connected need have one label yet."""
-    known = reduce(DataFrame.union, [t.select("a", "b") for t in now.tested])
-    new = staged(_checked(pairs.join(known, ["a", "b"], "left_anti"), facts, texts), "checked")
+def _advance(pairs: DataFrame, now: _SoFar, texts: DataFrame) -> None:
+    """A round over ``pairs`` that the bounds allow: those not compared yet are compared, and every
+    component moves to the smallest within two links of it, so that a star of new links becomes
+    one. Lines of one label are connected; not all that are connected need have one label yet."""
+    if now.tested:
+        known = reduce(DataFrame.union, [t.select("a", "b") for t in now.tested])
+        pairs = pairs.join(known, ["a", "b"], "left_anti")
+    new = staged(_checked(pairs, texts), "checked")
     now.tested.append(new)
     links = new.filter("linked").select("a", "b")
     for side in ("a", "b"):
@@ -253,7 +325,7 @@ def _facts(texts: DataFrame) -> DataFrame:
     """Per line the size n of its shingle set and PARITY words of parity bits: every shingle
     flips one bit, so the words of two lines differ in at most as many bits as their sets in
     shingles."""
-    hashed = texts.select("cid", F.explode(shingles(F.col("line"))).alias("s")).select("cid", F.xxhash64("s").alias("h"))
+    hashed = texts.select("cid", F.explode(shingles(F.col("line"))).alias("h"))
     word = F.pmod("h", F.lit(PARITY))
     bit = F.expr("shiftleft(1L, cast(pmod(shiftright(h, 32), 64) as int))")
     return hashed.groupBy("cid").agg(F.count("*").alias("n"), *[
@@ -285,16 +357,20 @@ def _allowed(x: str, y: str) -> Column:
     return (100 * F.least(n, m) >= LINK * F.greatest(n, m)) & ((100 + LINK) * differ <= (100 - LINK) * (n + m))
 
 
-def _checked(pairs: DataFrame, facts: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked): of the pairs whose bounds allow a link, whether the exact shingle sets of
-    both lines are similar enough. The bounds are read before any text."""
+def _bounded(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """The ``pairs`` whose bounds allow a link, before any text is read."""
     met = pairs.join(facts.alias("x"), F.col("a") == F.col("x.cid")).join(facts.alias("y"), F.col("b") == F.col("y.cid"))
-    ab = (met.filter(_allowed("x", "y")).select("a", "b", F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-          .join(texts.select(F.col("cid").alias("a"), F.col("line").alias("ta")), "a")
-          .join(texts.select(F.col("cid").alias("b"), F.col("line").alias("tb")), "b"))
-    both = F.size(F.array_intersect(shingles(F.col("ta")), shingles(F.col("tb"))))
-    return ab.withColumn("both", both).select("a", "b", (
-        100 * F.col("both") >= LINK * (F.col("na") + F.col("nb") - F.col("both"))).alias("linked"))
+    return met.filter(_allowed("x", "y")).select("a", "b")
+
+
+def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, linked): whether the shingle sets of both lines are similar enough."""
+    sets = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("line").alias("ta")), "a")
+            .join(texts.select(F.col("cid").alias("b"), F.col("line").alias("tb")), "b")
+            .select("a", "b", shingles(F.col("ta")).alias("sa"), shingles(F.col("tb")).alias("sb")))
+    both = F.size(F.array_intersect("sa", "sb"))
+    return sets.withColumns({"both": both, "sizes": F.size("sa") + F.size("sb")}).select(
+        "a", "b", (100 * F.col("both") >= LINK * (F.col("sizes") - F.col("both"))).alias("linked"))
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:

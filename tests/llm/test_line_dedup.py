@@ -137,6 +137,30 @@ def test_bounds_of_the_exact_round_lose_no_link(spark):
         assert want <= set(got) and len(got) == len(set(got))
 
 
+def test_bitmap_loses_no_key_and_keeps_others_out(spark):
+    lines = spark.range(4000).selectExpr("id - 7 AS _id", "cast(id AS string) AS line")
+    wanted = lines.filter("_id % 9 = 0").selectExpr("_id AS cid").union(spark.sql("SELECT 1L << 40")).coalesce(2)
+    want = {r.cid for r in wanted.collect()} & set(range(-7, 3993))
+    bitmap = line_dedup._bitmap(wanted, "cid")
+    rows = lines.withColumnRenamed("_id", "cid")
+    inside = [r.cid for r in line_dedup._maybe(rows, "cid", bitmap).collect()]
+    outside = [r.cid for r in line_dedup._maybe(rows, "cid", bitmap, False).collect()]
+    assert want <= set(inside) and len(inside) <= len(want) + 5
+    assert sorted(inside + outside) == list(range(-7, 3993))
+    assert {(r.cid, r.line) for r in line_dedup._texts(lines, wanted).collect()} == {(i, str(i + 7)) for i in want}
+
+
+def test_shingles_over_the_ends_of_pieces(spark):
+    r = random.Random(3)
+    lines = ["".join(r.choice("ab\u00e9\u4e2d\U0001f600 ") for _ in range(n)) for n in [*range(1, 12), *range(60, 76), *range(124, 140), 3000]]
+    lines += ["x" * 500, "ab" * 100]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    every = sorted(set().union(*map(sets, lines)))
+    hashes = {r.s: r.h for r in spark.createDataFrame([(x,) for x in every], "s string").withColumn("h", F.xxhash64("s")).collect()}
+    for row in df.select("i", line_dedup.shingles(F.col("line")).alias("s")).collect():
+        assert len(row.s) == len(set(row.s)) and set(row.s) == {hashes[x] for x in sets(lines[row.i])}
+
+
 def test_texts_lose_the_dropped_lines(spark):
     rows = corpus(2)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
