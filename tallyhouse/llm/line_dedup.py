@@ -62,8 +62,7 @@ STEP = 1.26          # size bands: sizes of linked lines differ by 1.25 times at
 SALT = 1000          # lines of a group per salt
 TURNS = 4            # turns of comparing the lines of larger groups with a hub per size band, at most
 WORTH = 20           # another turn follows one that moved one line in so many
-BITMAP = 1 << 26     # bits of a bitmap of keys, 8 MB; a bucket of it holds BUCKET bits
-BUCKET = 1 << 15
+BITMAP = 1 << 26     # bits of a bitmap of keys, 16 MB as 64-bit numbers of 32 bits each
 
 
 def normal(line: Column) -> Column:
@@ -78,15 +77,16 @@ def _nothing() -> Column:
     return F.array().cast("array<bigint>")
 
 
-def _next(hashes: Column, rest: Column) -> Column:
-    return F.zip_with(hashes, rest, lambda a, b: F.xxhash64(a, b))
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that a lambda holds: a column that a lambda reads is copied from its row for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def anchored(line: Column, words: Column) -> Column:
     """The smallest hashes of a normal line's anchors (ANCHOR words in a row, fewer at its end),
     sorted; none of a short line's. ``words``: a column of the line split at spaces."""
-    one = F.transform(words, lambda w: F.xxhash64(w))
-    at_words = reduce(_next, [F.slice(one, i + 1, F.size(words)) for i in range(1, ANCHOR)], one)
+    at_words = _bound(words, lambda all_: F.transform(all_, lambda w, i: F.xxhash64(
+        w, *[F.get(all_, i + k) for k in range(1, ANCHOR)])))
     return _smallest(F.when(F.length(line) >= LONG, at_words).otherwise(_nothing()))
 
 
@@ -122,7 +122,19 @@ def shingles(line: Column) -> Column:
         lambda p: F.length(p) >= SHINGLE))
     cut = F.flatten(F.transform(pieces, lambda p: F.transform(
         F.sequence(F.lit(1), F.length(p) - SHINGLE + 1), lambda i: F.xxhash64(F.substr(p, i, F.lit(SHINGLE))))))
-    return F.when(F.length(line) < SHINGLE, F.array(F.xxhash64(line))).otherwise(F.array_distinct(cut))
+    # a character of an ASCII line is a byte, found without counting
+    bytes_ = _bound(line.cast("binary"), lambda b: F.transform(
+        F.sequence(F.lit(1), F.octet_length(b) - SHINGLE + 1), lambda i: F.xxhash64(F.substr(b, i, F.lit(SHINGLE)))))
+    return F.when(F.length(line) < SHINGLE, F.array(F.xxhash64(line))).when(
+        F.octet_length(line) == F.length(line), F.array_distinct(bytes_)).otherwise(F.array_distinct(cut))
+
+
+def compared(line: Column) -> Column:
+    """A line's SHINGLE-character shingles, repeats included, as 64-bit hashes of their UTF-32 form: every
+    character has as many bytes, so none are counted to find one. A shorter line is one shingle."""
+    wide = F.lit(4 * SHINGLE)
+    return _bound(F.encode(line, "UTF-32"), lambda b: F.when(F.octet_length(b) < wide, F.array(F.xxhash64(b))).otherwise(
+        F.transform(F.sequence(F.lit(1), F.octet_length(b) - wide + 1, F.lit(4)), lambda i: F.xxhash64(F.substr(b, i, wide)))))
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -204,19 +216,24 @@ def _place(key: str) -> Column:
 
 
 def _bitmap(rows: DataFrame, key: str) -> DataFrame:
-    """A bitmap of hashed keys, of a size that does not grow with them: _bucket, _bits. It says
-    of a key that it is surely not among them, or that it may be."""
-    return staged(rows.select(_place(key).alias("x")).groupBy(F.bitmap_bucket_number("x").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("_bits")), "bitmap")
+    """A bitmap of hashed keys, of a size that does not grow with them: _bucket, _words (32 bits each, the
+    first byte highest). It says of a key that it is surely not among them, or that it may be."""
+    bits = rows.select(_place(key).alias("x")).groupBy(F.bitmap_bucket_number("x").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits"))
+    # numbers, as a row's array is read in place and its bytes are copied
+    words = _bound(F.col("bits"), lambda b: F.transform(F.sequence(F.lit(1), F.octet_length(b) - 3, F.lit(4)), lambda i: F.conv(
+        F.hex(F.substr(b, i, F.lit(4))), 16, 10).cast("long")))
+    return staged(bits.select("_bucket", words.alias("_words")), "bitmap")
 
 
 def _marked(rows: DataFrame, key: str, bitmap: DataFrame, name: str) -> DataFrame:
     """``rows`` with ``name``: whether the key may be in the bitmap."""
     at = F.bitmap_bit_position(_place(key))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     met = rows.withColumn("_bucket", F.bitmap_bucket_number(_place(key))).join(F.broadcast(bitmap), "_bucket", "left")
-    bit = F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(F.lit(1))
-    return met.withColumn(name, F.coalesce(bit == 1, F.lit(False))).drop("_bucket", "_bits")
+    word = F.get(F.col("_words"), F.shiftright(at, 5).cast("int"))
+    inside = (24 - 8 * F.pmod(F.shiftright(at, 3), F.lit(4)) + F.pmod(at, F.lit(8))).cast("int")
+    bit = F.call_function("shiftright", word, inside).bitwiseAND(F.lit(1))
+    return met.withColumn(name, F.coalesce(bit == 1, F.lit(False))).drop("_bucket", "_words")
 
 
 def _maybe(rows: DataFrame, key: str, bitmap: DataFrame, inside: bool = True) -> DataFrame:
@@ -325,7 +342,7 @@ def _facts(texts: DataFrame) -> DataFrame:
     """Per line the size n of its shingle set and PARITY words of parity bits: every shingle
     flips one bit, so the words of two lines differ in at most as many bits as their sets in
     shingles."""
-    hashed = texts.select("cid", F.explode(shingles(F.col("line"))).alias("h"))
+    hashed = texts.select("cid", F.explode(F.array_distinct(compared(F.col("line")))).alias("h"))
     word = F.pmod("h", F.lit(PARITY))
     bit = F.expr("shiftleft(1L, cast(pmod(shiftright(h, 32), 64) as int))")
     return hashed.groupBy("cid").agg(F.count("*").alias("n"), *[
@@ -334,9 +351,11 @@ def _facts(texts: DataFrame) -> DataFrame:
 
 def _crossing(full: DataFrame) -> DataFrame:
     """Every pair (a < b) of a group whose members lie in different components and whose sizes
-    and parity words allow a link, once each. A group is joined in parts: by size band, as the
-    larger set of a link lies in the band of the smaller or in the next, and by salt."""
-    full = full.withColumns({"band": F.floor(F.ln("n") / F.ln(F.lit(STEP))), "salts": F.ceil(F.col("many") / SALT)})
+    and parity words allow a link, once: in the first of the groups that hold both. A group is joined
+    in parts: by size band, as the larger set of a link lies in the band of the smaller or in the
+    next, and by salt."""
+    keys = full.groupBy("cid").agg(F.collect_set("key").alias("keys"))
+    full = full.join(keys, "cid").withColumns({"band": F.floor(F.ln("n") / F.ln(F.lit(STEP))), "salts": F.ceil(F.col("many") / SALT)})
     x = full.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).withColumn(
         "band", F.explode(F.array(F.col("band"), F.col("band") + 1))).alias("x")
     y = full.withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts"))).alias("y")
@@ -344,8 +363,9 @@ def _crossing(full: DataFrame) -> DataFrame:
     met = (c("x", "key") == c("y", "key")) & (c("x", "band") == c("y", "band")) & (c("x", "salt") == c("y", "salt"))
     n, m = c("x", "n"), c("y", "n")
     order = (n < m) | ((n == m) & (c("x", "cid") < c("y", "cid")))
-    pair = x.join(y, met & order & (c("x", "comp") != c("y", "comp")) & _allowed("x", "y"))
-    return pair.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+    first = F.array_min(F.array_intersect(c("x", "keys"), c("y", "keys"))) == c("x", "key")
+    pair = x.join(y, met & order & (c("x", "comp") != c("y", "comp")) & _allowed("x", "y") & first)
+    return pair.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"), (n + m).alias("sizes"))
 
 
 def _allowed(x: str, y: str) -> Column:
@@ -358,19 +378,17 @@ def _allowed(x: str, y: str) -> Column:
 
 
 def _bounded(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """The ``pairs`` whose bounds allow a link, before any text is read."""
+    """The ``pairs`` whose bounds allow a link, before any text is read, and the sizes of both sets in sum."""
     met = pairs.join(facts.alias("x"), F.col("a") == F.col("x.cid")).join(facts.alias("y"), F.col("b") == F.col("y.cid"))
-    return met.filter(_allowed("x", "y")).select("a", "b")
+    return met.filter(_allowed("x", "y")).select("a", "b", (F.col("x.n") + F.col("y.n")).alias("sizes"))
 
 
 def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked): whether the shingle sets of both lines are similar enough."""
+    """(a, b, linked) of ``pairs`` (a, b, sizes): whether the shingle sets of both lines are similar enough."""
     sets = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("line").alias("ta")), "a")
             .join(texts.select(F.col("cid").alias("b"), F.col("line").alias("tb")), "b")
-            .select("a", "b", shingles(F.col("ta")).alias("sa"), shingles(F.col("tb")).alias("sb")))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return sets.withColumns({"both": both, "sizes": F.size("sa") + F.size("sb")}).select(
-        "a", "b", (100 * F.col("both") >= LINK * (F.col("sizes") - F.col("both"))).alias("linked"))
+            .select("a", "b", "sizes", F.size(F.array_intersect(compared(F.col("ta")), compared(F.col("tb")))).alias("both")))
+    return sets.select("a", "b", (100 * F.col("both") >= LINK * (F.col("sizes") - F.col("both"))).alias("linked"))
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:

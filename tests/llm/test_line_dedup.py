@@ -137,6 +137,31 @@ def test_bounds_of_the_exact_round_lose_no_link(spark):
         assert want <= set(got) and len(got) == len(set(got))
 
 
+def test_a_pair_of_many_groups_is_met_once(spark):
+    lines = [("x" * i + " the same line of several words %d" % i) for i in range(6)]
+    facts = line_dedup._facts(spark.createDataFrame(list(enumerate(lines)), "cid long, line string"))
+    groups = [(k, i, 9) for k in range(4) for i in range(6) if k != i]
+    full = spark.createDataFrame(groups, "key long, cid long, many long").withColumn("comp", F.col("cid")).join(facts, "cid")
+    x, y = full.alias("x"), full.alias("y")
+    join = line_dedup._crossing(full)
+    got = sorted((r.a, r.b) for r in join.collect())
+    want = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cid") < F.col("y.cid")) & line_dedup._allowed("x", "y"))
+    assert got == sorted({tuple(r) for r in want.select("x.cid", "y.cid").collect()}) and got
+    # no row is made twice and thrown away behind the join
+    assert "HashAggregate(keys=[a" not in join._jdf.queryExecution().toString()
+
+
+def test_compared_sets_are_the_shingles(spark):
+    lines = ["", "a", "abcdefg", "abcdefgh", "abcdefghi", "x" * 200, "caf\u00e9 \u4e2d\u6587 \U0001f600 and a tail", "\U0001f600" * 9, "\u4e2d" * 7]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string").select("i", line_dedup.compared(F.col("line")).alias("s"))
+    for r in df.collect():
+        line = lines[r.i]
+        assert len(r.s) == max(1, len(line) - line_dedup.SHINGLE + 1) and len(set(r.s)) == len(sets(line))
+    pairs = spark.createDataFrame([("caf\u00e9 and more", "a caf\u00e9 and so"), ("abcdefgh\u00e9", "abcdefghi")], "a string, b string").select(
+        "a", "b", F.size(F.array_intersect(line_dedup.compared(F.col("a")), line_dedup.compared(F.col("b")))).alias("n")).collect()
+    assert all(r.n == len(sets(r.a) & sets(r.b)) for r in pairs) and [r.n for r in pairs] == [2, 1]
+
+
 def test_bitmap_loses_no_key_and_keeps_others_out(spark):
     lines = spark.range(4000).selectExpr("id - 7 AS _id", "cast(id AS string) AS line")
     wanted = lines.filter("_id % 9 = 0").selectExpr("_id AS cid").union(spark.sql("SELECT 1L << 40")).coalesce(2)
