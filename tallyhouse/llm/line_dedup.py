@@ -173,7 +173,11 @@ def linked_lines(documents: DataFrame) -> DataFrame:
     near = _within(groups.filter(F.col("many") <= GROUP)).union(_to_hubs(large, facts, 0)).distinct()
     _advance(_bounded(near, facts), so_far, texts)
     large = staged(_mixed(_named(large, so_far.label)), "large")
-    release(groups)
+    # what follows is about these lines alone
+    wanted = staged(large.select("cid").distinct(), "wanted")
+    kept = [staged(t.join(wanted, "cid", "left_semi"), "kept") for t in (texts, facts)]
+    release(groups, texts, facts, wanted)
+    texts, facts = kept
     for turn in range(1, TURNS):
         lines_left = large.select("cid").distinct().count()
         if not lines_left:
